@@ -13,7 +13,7 @@ import uuid
 import zlib
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 FORMATS = ("GZIP", "DEFLATE", "ZLIB", "NONE", "AUTO")
 
@@ -23,7 +23,9 @@ BASE64_PATTERN = r"^[A-Za-z0-9+/\-_]+={0,2}$"
 GZIP_MAGIC = "1F8B"
 ZLIB_MAGICS = ("7801", "785E", "789C", "78DA")
 
-DECODED = "value string, error_class string, error_message string"
+DECODED = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("value", "error_class", "error_message")]
+)
 
 STRICT_BASE64 = re.compile(r"[A-Za-z0-9+/]*(={0,2})", re.ASCII)
 URL_OR_STRICT = re.compile(r"[A-Za-z0-9+/\-_]+={0,2}", re.ASCII)
@@ -226,7 +228,7 @@ def decode_object(data: Column, fmt: str | None = None, try_base64: bool = True)
     """Struct of an object's content as text, decompressed when ``fmt`` is given."""
     if fmt is None:
         return F.struct(
-            F.decode(data, F.lit("UTF-8")).alias("value"),
+            F.make_valid_utf8(data.cast("string")).alias("value"),
             F.lit(None).cast("string").alias("error_class"),
             F.lit(None).cast("string").alias("error_message"),
         )

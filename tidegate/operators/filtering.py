@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidegate.functions.policy import compile_policy
 
@@ -16,11 +16,10 @@ def flag_messages(df: DataFrame, policy: str | None, name: str = "passed") -> Da
     return df.withColumn(name, compile_policy(policy))
 
 
-def filter_counters(df: DataFrame, policy: str | None, by: list[Column] = ()) -> DataFrame:
-    flag = compile_policy(policy)
+def filter_counters(df: DataFrame, policy: str | None, by: list[str] = ()) -> DataFrame:
     return (
-        df.select(*by, flag.alias("passed"))
-        .groupBy(*[F.col(c._jc.toString()) if not isinstance(c, str) else c for c in by])
+        flag_messages(df, policy)
+        .groupBy(*by)
         .agg(
             F.count_if("passed").alias("messages_passed"),
             F.count_if(~F.col("passed")).alias("messages_filtered"),

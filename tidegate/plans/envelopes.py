@@ -7,7 +7,7 @@ import zlib
 from base64 import b64encode
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # The three queues the events are spread over.
 QUEUES = [
@@ -35,9 +35,17 @@ def price_text(value: Column) -> Column:
     return value.cast("decimal(18,2)").cast("string")
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with ``ts`` as an instant whose UTC clock reads as stored, whatever
+    the session's time zone."""
+    e = table(spark, sf_dir, "events")
+    local = F.col("ts").cast("timestamp")
+    return e.withColumn("ts", F.from_utc_timestamp(local, F.current_timezone()))
+
+
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per event, over three queues, the last one ordered."""
-    e = table(spark, sf_dir, "events")
+    e = events(spark, sf_dir)
     user = F.col("user_id").cast("string")
     queue = F.element_at(
         F.array(*[F.lit(q) for q in QUEUES]), (F.col("user_id") % 3 + 1).cast("int")
@@ -71,7 +79,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("user_id") % 5 == 0, F.map_concat(shared, vip))
         .otherwise(shared).alias("message_attributes"),
         queue.alias("queue_url"),
-        F.col("ts").cast("timestamp").alias("received_at"),
+        F.col("ts").alias("received_at"),
     )
 
 
@@ -97,12 +105,12 @@ def pack_bytes(kind: str, text: str) -> bytes:
     return zlib.compress(data) if kind == "zlib" else data
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def packed(kinds: pd.Series, texts: pd.Series) -> pd.Series:
     return pd.Series([pack_bytes(k, t) for k, t in zip(kinds, texts)], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def packed_base64(kinds: pd.Series, texts: pd.Series) -> pd.Series:
     return pd.Series(
         [t if k == "none" else b64encode(pack_bytes(k, t)).decode() for k, t in zip(kinds, texts)],
