@@ -28,20 +28,10 @@ def dedup_machine(window_ms: int) -> Machine:
     return Machine(1, window_ms, (), steps)
 
 
-def flag_duplicates(
-    df: DataFrame,
-    window_ms: int = DEFAULT_DEDUP_WINDOW_MS,
-    segment_ms: int = SEGMENT_MS,
-    name: str = "duplicate",
-) -> DataFrame:
-    """Every row with a flag. The state is per queue and id; the clock is
-    ``received_at`` in milliseconds, ties in message id order."""
-    if window_ms <= 0:
-        return df.withColumn(name, F.lit(False))
-    machine = dedup_machine(window_ms)
+def keyed_rows(df: DataFrame, segment_ms: int) -> DataFrame:
     t = F.unix_millis("received_at")
     # Exempt rows get a filler key that spreads them over tasks.
-    keyed = df.withColumns(
+    return df.withColumns(
         {
             "dedup_key": F.coalesce(dedup_id(), F.concat(F.lit("\x00"), "message_id")),
             "exempt": dedup_id().isNull(),
@@ -49,11 +39,34 @@ def flag_duplicates(
             "segment": F.floor(t / F.lit(segment_ms)),
         }
     )
+
+
+def dedup_states(
+    df: DataFrame, window_ms: int, segment_ms: int = SEGMENT_MS, **carry
+) -> DataFrame:
+    """Entry states of the segments; ``carry`` passes states between micro-batches."""
     # Within one millisecond only the first row can be taken: distinct instants
-    # are enough for the summaries, and they shrink a hot id before its shuffle.
-    instants = keyed.where(~F.col("exempt")).select(*KEYS, "segment", "t_ms").distinct()
-    entries = entry_states(instants, machine, KEYS, [], segment_ms)
-    marked = apply_gates(keyed, machine, KEYS, ["message_id"], entries)
+    # are enough here, and they shrink a hot id before its shuffle.
+    keyed = keyed_rows(df, segment_ms).where(~F.col("exempt"))
+    instants = keyed.select(*KEYS, "segment", "t_ms").distinct()
+    return entry_states(instants, dedup_machine(window_ms), KEYS, [], segment_ms, **carry)
+
+
+def flag_duplicates(
+    df: DataFrame,
+    window_ms: int = DEFAULT_DEDUP_WINDOW_MS,
+    segment_ms: int = SEGMENT_MS,
+    name: str = "duplicate",
+    states: DataFrame | None = None,
+) -> DataFrame:
+    """Every row with a flag. The state is per queue and id; the clock is
+    ``received_at`` in milliseconds, ties in message id order."""
+    if window_ms <= 0:
+        return df.withColumn(name, F.lit(False))
+    if states is None:
+        states = dedup_states(df, window_ms, segment_ms)
+    keyed = keyed_rows(df, segment_ms)
+    marked = apply_gates(keyed, dedup_machine(window_ms), KEYS, ["message_id"], states)
     return marked.withColumn(
         name, ~F.col("exempt") & (F.col("taken_layer") < 0)
     ).drop("dedup_key", "exempt", "t_ms", "segment", "taken_layer")

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 NEXT_ROW = -1  # gate value: the very next row is taken
 ANY_LAYER = -1  # summary step that holds for every layer
 SEGMENT_MS = 600_000
+BEFORE, FINAL = -(2**62), 2**62  # segment numbers ahead of and behind all others
 
 
 @dataclass(frozen=True)
@@ -141,7 +142,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterato
         yield joined(pending)
 
 
-def summarise_segments(machine: Machine, keys: list[str], segment_ms: int):
+def summarise_segments(machine: Machine, keys: list[str], segment_ms: int, every_entry: bool):
     names = keys + ["segment"]
 
     def run(batches):
@@ -158,7 +159,7 @@ def summarise_segments(machine: Machine, keys: list[str], segment_ms: int):
             first[starts] = True
             previous = np.roll(t, 1)
             horizon = column(batch, "segment") * segment_ms + machine.reach_ms
-            entry = np.flatnonzero(first | (previous < horizon))
+            entry = np.flatnonzero(first | every_entry | (previous < horizon))
             group = chains.group[entry]
             parts = []
             for layer in range(machine.layers):
@@ -183,13 +184,34 @@ def summarise_segments(machine: Machine, keys: list[str], segment_ms: int):
     return run
 
 
-def walk_segments(keys: list[str]):
+def group_finals(batch, starts):
+    """Final state of keys that need no walk: the outcome of their first fresh entry."""
+    layer = column(batch, "layer")
+    group = np.repeat(np.arange(len(starts)), np.append(starts[1:], batch.num_rows) - starts)
+    fresh = np.flatnonzero((layer == 0) | (layer == ANY_LAYER))
+    groups, at = np.unique(group[fresh], return_index=True)
+    rows = fresh[at]
+    return groups, rows
+
+
+def walk_segments(keys: list[str], finals: bool, keep_after_ms: int, forget_before_ms: int):
+    """Entry states of segments and, if wanted, the final state of each key under
+    the segment number ``FINAL``. A final gate that no later row can meet is left out."""
+
+    def lasting(layer, gate):
+        return gate > (keep_after_ms if layer == 0 else forget_before_ms)
+
     def run(batches):
         key = segment = None
         state, entered, matched = (0, NEXT_ROW), None, False
+        fields = None
         for batch in batches:
             if not batch.num_rows:
                 continue
+            if fields is None:
+                fields = [batch.schema.field(k) for k in keys] + [
+                    pa.field(n, pa.int64()) for n in ("segment", "layer_in", "gate_in")
+                ]
             # Keys that lie within one segment of this batch need no walk, unless
             # they may go on in a neighbouring batch.
             starts = run_starts(batch, keys)
@@ -197,12 +219,22 @@ def walk_segments(keys: list[str]):
             segments = column(batch, "segment")
             walk = segments[starts] != segments[ends - 1]
             walk[0] = walk[-1] = True
-            chosen = np.flatnonzero(np.repeat(walk, ends - starts))
-            part = batch.take(pa.array(chosen))
-            columns = [part.column(n).to_pylist() for n in part.schema.names]
             found = []
+            if finals and not walk.all():
+                groups, rows = group_finals(batch, starts)
+                rows = rows[~walk[groups]]
+                part = batch.take(pa.array(rows))
+                for *row_key, layer, gate in zip(
+                    *[part.column(n).to_pylist() for n in keys + ["out_layer", "out_gate"]]
+                ):
+                    if lasting(layer, gate):
+                        found.append((*row_key, FINAL, layer, gate))
+            part = batch.take(pa.array(np.flatnonzero(np.repeat(walk, ends - starts))))
+            columns = [part.column(n).to_pylist() for n in part.schema.names]
             for *row_key, row_segment, layer, entry_ms, out_layer, out_gate in zip(*columns):
                 if row_key != key:
+                    if finals and key is not None and lasting(*state):
+                        found.append((*key, FINAL, *state))
                     key, segment, state = row_key, None, (0, NEXT_ROW)
                 if row_segment != segment:
                     segment, entered, matched = row_segment, state, False
@@ -210,12 +242,12 @@ def walk_segments(keys: list[str]):
                         found.append((*key, segment, *state))
                 if not matched and layer in (entered[0], ANY_LAYER) and entry_ms >= entered[1]:
                     state, matched = (out_layer, out_gate), True
-            fields = [part.schema.field(k) for k in keys] + [
-                pa.field(n, pa.int64()) for n in ("segment", "layer_in", "gate_in")
-            ]
             if found:
                 arrays = [pa.array(v, type=f.type) for v, f in zip(zip(*found), fields)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
+        if finals and key is not None and lasting(*state):
+            arrays = [pa.array([v], type=f.type) for v, f in zip((*key, FINAL, *state), fields)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
 
     return run
 
@@ -255,28 +287,54 @@ def add_fields(df: DataFrame, names: list[str]):
 
 
 def entry_states(
-    df: DataFrame, machine: Machine, keys: list[str], order: list[str], segment_ms: int
+    df: DataFrame,
+    machine: Machine,
+    keys: list[str],
+    order: list[str],
+    segment_ms: int,
+    initial: DataFrame | None = None,
+    finals: bool = False,
+    keep_after_ms: int = NEXT_ROW,
+    forget_before_ms: int = NEXT_ROW,
 ) -> DataFrame:
-    """(keys, segment, layer_in, gate_in) of the segments not entered afresh."""
+    """(keys, segment, layer_in, gate_in) of the segments not entered afresh.
+
+    ``initial`` (keys, layer_in, gate_in) holds states left by earlier rows; with
+    ``finals`` the states this frame leaves are added, see ``final_states``."""
     by = keys + ["segment"]
     narrow = df.select(*by, "t_ms", *dict.fromkeys((*machine.columns, *order)))
+    steps = ["layer", "entry_ms", "out_layer", "out_gate"]
     summaries = (
         narrow.repartition(*by)
         .sortWithinPartitions(*by, "t_ms", *order)
         .mapInArrow(
-            summarise_segments(machine, keys, segment_ms),
-            add_fields(narrow.select(*by), ["layer", "entry_ms", "out_layer", "out_gate"]),
+            # A carried gate may lie beyond late rows: then every entry counts.
+            summarise_segments(machine, keys, segment_ms, initial is not None),
+            add_fields(narrow.select(*by), steps),
         )
     )
+    if initial is not None:
+        before = initial.select(
+            *keys, F.lit(BEFORE).alias("segment"), F.lit(ANY_LAYER).cast("bigint").alias("layer"),
+            F.lit(FINAL).alias("entry_ms"), F.col("layer_in").alias("out_layer"),
+            F.col("gate_in").alias("out_gate"),
+        )
+        summaries = summaries.unionByName(before)
     return (
         summaries.repartition(*keys)
         .sortWithinPartitions(*by, "entry_ms")
         .mapInArrow(
-            walk_segments(keys), add_fields(narrow.select(*by), ["layer_in", "gate_in"])
+            walk_segments(keys, finals, keep_after_ms, forget_before_ms),
+            add_fields(narrow.select(*by), ["layer_in", "gate_in"]),
         )
     )
 
 
+def final_states(states: DataFrame, keys: list[str]) -> DataFrame:
+    """The states to start the next frame with."""
+    return states.where(F.col("segment") == FINAL).select(*keys, "layer_in", "gate_in")
+
+
 def apply_gates(
     df: DataFrame,
     machine: Machine,
@@ -287,6 +345,7 @@ def apply_gates(
     """Run every segment forward from its entry state. Adds ``taken_layer``: the
     layer a row was taken in, -1 for a row the gate held back."""
     by = keys + ["segment"]
+    entries = entries.where(F.col("segment") != FINAL)
     started = df.join(entries, by, "left").withColumns(
         {
             "layer_in": F.coalesce("layer_in", F.lit(0).cast("bigint")),

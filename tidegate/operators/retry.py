@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -35,41 +37,55 @@ def retry_machine(max_retries: int) -> Machine:
     return Machine(layers, MAX_BACKOFF_MS, ("failed", "waits"), steps)
 
 
-def retry_decisions(
-    df: DataFrame,
-    max_retries: int = DEFAULT_MAX_RETRIES,
-    base_ms: int = DEFAULT_BACKOFF_MS,
-    multiplier: float = 2.0,
-    jitter: float = 0.3,
-    seed: int = 0,
-    dead_letter: bool = True,
-    segment_ms: int = SEGMENT_MS,
-) -> DataFrame:
-    """Every delivery with ``decision`` (emit, retry, backoff, dlq or drop), the
-    failure count ``attempt`` and ``backoff_ms``. A delivery failed when it has an
-    ``error_class``; redeliveries share queue and message id."""
-    machine = retry_machine(max_retries)
+@dataclass(frozen=True)
+class RetryPolicy:
+    max_retries: int = DEFAULT_MAX_RETRIES
+    base_ms: int = DEFAULT_BACKOFF_MS
+    multiplier: float = 2.0
+    jitter: float = 0.3
+    seed: int = 0
+    dead_letter: bool = True
+    segment_ms: int = SEGMENT_MS
+
+
+def keyed_rows(df: DataFrame, policy: RetryPolicy) -> DataFrame:
     t = F.unix_millis("received_at")
-    keyed = df.withColumns(
+    return df.withColumns(
         {
             "t_ms": t,
-            "segment": F.floor(t / F.lit(segment_ms)),
+            "segment": F.floor(t / F.lit(policy.segment_ms)),
             "failed": F.col("error_class").isNotNull(),
             "waits": backoff_schedule(
-                F.col("message_id"), max_retries, base_ms, multiplier, jitter, seed
+                F.col("message_id"), policy.max_retries, policy.base_ms,
+                policy.multiplier, policy.jitter, policy.seed,
             ),
             "tie_order": F.coalesce("receipt_handle", F.lit("")),
         }
     )
-    entries = entry_states(keyed, machine, KEYS, ORDER, segment_ms)
-    marked = apply_gates(keyed, machine, KEYS, ORDER, entries)
+
+
+def retry_states(df: DataFrame, policy: RetryPolicy, **carry) -> DataFrame:
+    """Entry states of the segments; ``carry`` passes states between micro-batches."""
+    machine = retry_machine(policy.max_retries)
+    return entry_states(keyed_rows(df, policy), machine, KEYS, ORDER, policy.segment_ms, **carry)
+
+
+def retry_decisions(
+    df: DataFrame, policy: RetryPolicy = RetryPolicy(), states: DataFrame | None = None
+) -> DataFrame:
+    """Every delivery with ``decision`` (emit, retry, backoff, dlq or drop), the
+    failure count ``attempt`` and ``backoff_ms``. A delivery failed when it has an
+    ``error_class``; redeliveries share queue and message id."""
+    if states is None:
+        states = retry_states(df, policy)
+    machine = retry_machine(policy.max_retries)
+    marked = apply_gates(keyed_rows(df, policy), machine, KEYS, ORDER, states)
     layer, failed = F.col("taken_layer"), F.col("failed")
     attempt = F.when((layer >= 0) & failed, layer + 1).otherwise(0).cast("int")
-    exhausted = attempt >= max_retries
     decision = (
         F.when(layer < 0, "backoff")
         .when(~failed, "emit")
-        .when(exhausted, "dlq" if dead_letter else "drop")
+        .when(attempt >= policy.max_retries, "dlq" if policy.dead_letter else "drop")
         .otherwise("retry")
     )
     wait = F.when(decision == "retry", F.try_element_at("waits", attempt)).otherwise(0)

@@ -1,0 +1 @@
+"""Plans: the pipeline, the message envelopes and the registered queries."""

@@ -10,7 +10,9 @@ from tidegate.operators.deadletter import to_dlq
 from tidegate.operators.dedup import flag_duplicates, tracked_ids
 from tidegate.operators.filtering import filter_messages
 from tidegate.operators.ordering import fifo_order, group_positions
-from tidegate.operators.retry import remaining_backoff_ms, retry_decisions, retry_status
+from tidegate.operators.retry import (
+    RetryPolicy, remaining_backoff_ms, retry_decisions, retry_status,
+)
 from tidegate.plans.envelopes import QUEUES, event_messages, events
 from tidegate.plans.registry import EVENTS_SQL, query
 
@@ -174,7 +176,7 @@ def deliveries(spark, sf_dir):
     retry_sql(3, 1, "SELECT event_id, decision, attempt FROM fold WHERE rn > 0"),
 )
 def retry_attempts(spark, sf_dir):
-    done = retry_decisions(deliveries(spark, sf_dir), 3, 1, jitter=0.0)
+    done = retry_decisions(deliveries(spark, sf_dir), RetryPolicy(3, 1, jitter=0.0))
     return done.select("event_id", "decision", F.col("attempt").cast("bigint").alias("attempt"))
 
 
@@ -187,7 +189,7 @@ def retry_attempts(spark, sf_dir):
 )
 def retry_gate(spark, sf_dir):
     """Waits near the cap, so that many redeliveries come too early."""
-    done = retry_decisions(deliveries(spark, sf_dir), 5, 400_000, jitter=0.0)
+    done = retry_decisions(deliveries(spark, sf_dir), RetryPolicy(5, 400_000, jitter=0.0))
     return done.select(
         "event_id", "decision", F.col("attempt").cast("bigint").alias("attempt"), "backoff_ms"
     )
@@ -200,7 +202,7 @@ def retry_gate(spark, sf_dir):
            CAST(CASE WHEN failed THEN 1 ELSE 0 END AS BIGINT) AS attempt FROM deliveries""",
 )
 def retry_none_allowed(spark, sf_dir):
-    done = retry_decisions(deliveries(spark, sf_dir), 0, 1000)
+    done = retry_decisions(deliveries(spark, sf_dir), RetryPolicy(0, 1000))
     return done.select("event_id", "decision", F.col("attempt").cast("bigint").alias("attempt"))
 
 
@@ -250,7 +252,7 @@ def retry_backoff_jitter(spark, sf_dir):
     WHERE f.decision = 'retry'"""),
 )
 def retry_status_report(spark, sf_dir):
-    done = retry_decisions(deliveries(spark, sf_dir), 3, 1000, jitter=0.0)
+    done = retry_decisions(deliveries(spark, sf_dir), RetryPolicy(3, 1000, jitter=0.0))
     status = retry_status(done)
     return status.withColumn(
         "remaining_ms", remaining_backoff_ms(F.col("next_retry_ms"), F.lit(1706658000000))
@@ -268,7 +270,7 @@ def retry_status_report(spark, sf_dir):
     WHERE f.decision = 'dlq'"""),
 )
 def dlq_records(spark, sf_dir):
-    done = retry_decisions(deliveries(spark, sf_dir), 3, 1000, jitter=0.0)
+    done = retry_decisions(deliveries(spark, sf_dir), RetryPolicy(3, 1000, jitter=0.0))
     dead = to_dlq(done.where(F.col("decision") == "dlq"), "dead-letters", 3, keep=("event_id",))
     named = F.map_from_entries(
         F.transform("headers", lambda h: F.struct(h["key"], h["value"].cast("string")))
@@ -291,7 +293,7 @@ def dlq_records(spark, sf_dir):
     FROM fold WHERE rn > 0 GROUP BY queue_url"""),
 )
 def retry_drop_without_dlq(spark, sf_dir):
-    done = retry_decisions(deliveries(spark, sf_dir), 2, 1000, jitter=0.0, dead_letter=False)
+    done = retry_decisions(deliveries(spark, sf_dir), RetryPolicy(2, 1000, jitter=0.0, dead_letter=False))
     return done.groupBy("queue_url").agg(
         F.count_if(F.col("decision") == "drop").alias("dropped"),
         F.count_if(F.col("decision") == "dlq").alias("dead_letters"),
