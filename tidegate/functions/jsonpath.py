@@ -45,14 +45,3 @@ def json_leaf(col: Column, parts: list[str]) -> Column:
         F.get_json_object(doc, json_path(parts)),
         F.when(has_key, F.lit("null")),
     )
-
-
-def json_text_leaf(col: Column, parts: list[str]) -> Column:
-    """The leaf only where it is a JSON string."""
-    leaf = F.get_json_object(compact_json(col), json_path(parts))
-    # A first letter no other kind of value starts with settles most cases cheaply.
-    kind = F.schema_of_variant(
-        F.try_variant_get(F.try_parse_json(col), json_path(parts), "variant")
-    )
-    other = leaf.rlike(r"^[-0-9tfn{\[]")
-    return F.when(~other, leaf).when(kind == "STRING", leaf)

@@ -267,6 +267,53 @@ def decode_leaf(body: Column, parts: list[str], fmt: str, try_base64: bool) -> C
     return decode(body)
 
 
+LEAF_STATE = T.StructType(
+    [
+        T.StructField("present", T.BooleanType()),
+        T.StructField("direct", T.BooleanType()),
+        T.StructField("address", T.StringType()),
+        T.StructField("plain", T.StringType()),
+        T.StructField("error_class", T.StringType()),
+        T.StructField("error_message", T.StringType()),
+    ]
+)
+
+
+def inspect_leaf(
+    body: Column, parts: list[str], fmt: str, try_base64: bool, scheme: str
+) -> Column:
+    """Struct about the text leaf at ``parts``: whether there is one, its
+    decompressed text, and the object address that the leaf is (``direct``) or
+    that was packed in it."""
+    fmt = check_format(fmt)
+
+    def address(text: str) -> str | None:
+        trimmed = text.strip(BLANKS)
+        return trimmed if trimmed.startswith(scheme) and len(trimmed) > len(scheme) else None
+
+    def work(text):
+        parent = find_parent(read_json(text), parts) if text else None
+        if parent is None:
+            return (False, False, None, None)
+        leaf = parent[parts[-1]]
+        found = address(leaf)
+        if found:
+            return (True, True, found, None)
+        plain = inflate_text(leaf, fmt, try_base64) if leaf else leaf
+        return (True, False, address(plain), plain)
+
+    @F.pandas_udf(LEAF_STATE)
+    def inspect(bodies: pd.Series) -> pd.DataFrame:
+        results = _results(bodies, work)
+        states = [v if v is not None else (False, False, None, None) for v in results["value"]]
+        out = pd.DataFrame(states, columns=["present", "direct", "address", "plain"], dtype=object)
+        return out.assign(
+            error_class=results["error_class"], error_message=results["error_message"]
+        )
+
+    return inspect(body)
+
+
 def replace_leaf(body: Column, parts: list[str], leaf: Column, as_json: bool) -> Column:
     """Struct of the body with its text leaf at ``parts`` set to ``leaf`` (kept
     where that is null), as JSON where it parses if ``as_json``, else as text."""

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegate.functions.jsonpath import compact_json, json_path, json_text_leaf, split_path
-from tidegate.functions.payload import (
-    decode_object, decode_text, replace_leaf,
-)
+from tidegate.functions.jsonpath import compact_json, json_path, split_path
+from tidegate.functions.payload import decode_object, inspect_leaf, replace_leaf
 from tidegate.operators.errors import outcome, settle, track_errors, usable
 from tidegate.sources.objects import URI_PATTERN, URI_SCHEME
 
@@ -20,13 +18,10 @@ def trimmed(col: Column) -> Column:
     return F.regexp_replace(col, BLANKS, "")
 
 
-def as_uri(col: Column, with_key: bool = False) -> Column:
+def as_uri(col: Column) -> Column:
     """The trimmed text where it is an object address, else null."""
     text = trimmed(col)
-    test = text.startswith(URI_SCHEME)
-    if with_key:
-        test = test & (F.length(text) > len(URI_SCHEME))
-    return F.when(test, text)
+    return F.when(text.startswith(URI_SCHEME), text)
 
 
 def fetch(
@@ -36,35 +31,49 @@ def fetch(
     out: str,
     fmt: str | None = None,
     try_base64: bool = True,
+    plain: Column | None = None,
 ) -> DataFrame:
     """Add struct ``out`` (value, error_class, error_message) for the address in
-    column ``uri``; null where there is no address.
+    column ``uri``; null where there is no address. Rows for which ``plain`` holds
+    get the object's text as it is, whatever ``fmt`` says.
 
     Each object is read and decoded once, then copied at most once per salt that
     its messages really use. Rows without an address get keys of their own, so
     they do not pile up in one task.
     """
-    salt = F.pmod(F.xxhash64("message_id"), F.lit(SALTS)).cast("int")
+    address = F.col(uri).isNotNull() & F.col(uri).rlike(URI_PATTERN)
     rows = df.withColumns(
         {
             "fetch_key": F.coalesce(F.col(uri), F.concat(F.lit(" "), "message_id")),
-            "fetch_salt": salt,
+            "fetch_salt": F.pmod(F.xxhash64("message_id"), F.lit(SALTS)).cast("int"),
+            "fetch_plain": F.lit(fmt is None) if plain is None else F.coalesce(plain, F.lit(False)),
         }
     )
-    # At most SALTS values per address: a bounded set, pre-aggregated on the map side.
-    wanted = (
-        rows.where(F.col(uri).isNotNull() & F.col(uri).rlike(URI_PATTERN))
-        .groupBy(F.col(uri).alias("fetch_key"))
-        .agg(F.collect_set("fetch_salt").alias("fetch_salts"))
-    )
-    decoded = (
-        objects.withColumnRenamed("uri", "fetch_key")
-        .join(wanted, "fetch_key")
-        .select("fetch_key", "fetch_salts", decode_object(F.col("content"), fmt, try_base64).alias(out))
-        .select("fetch_key", F.explode("fetch_salts").alias("fetch_salt"), out)
-    )
-    joined = rows.join(decoded, ["fetch_key", "fetch_salt"], "left")
     none = F.lit(None)
+    if df.isStreaming:
+        # A micro-batch joins the static objects directly.
+        decoded = objects.withColumnRenamed("uri", "fetch_key").withColumn(
+            "fetch_plain", F.explode(F.array(F.lit(True), F.lit(False)))
+        )
+        decoded = decoded.select("fetch_key", "fetch_plain", content_of(fmt, try_base64).alias(out))
+        joined = rows.join(decoded, ["fetch_key", "fetch_plain"], "left")
+    else:
+        # At most 2 * SALTS uses per address: a bounded set, pre-aggregated on the map side.
+        wanted = (
+            rows.where(address).groupBy("fetch_key")
+            .agg(F.collect_set(F.struct("fetch_plain", "fetch_salt")).alias("uses"))
+        )
+        ways = F.array_distinct(F.transform("uses", lambda u: u["fetch_plain"]))
+        salts = F.filter("uses", lambda u: u["fetch_plain"] == F.col("fetch_plain"))
+        decoded = (
+            objects.withColumnRenamed("uri", "fetch_key")
+            .join(wanted, "fetch_key")
+            .select("fetch_key", "uses", "content", F.explode(ways).alias("fetch_plain"))
+            .select("fetch_key", salts.alias("uses"), content_of(fmt, try_base64).alias(out))
+            .select("fetch_key", F.explode("uses").alias("use"), out)
+            .select("fetch_key", "use.*", out)
+        )
+        joined = rows.join(decoded, ["fetch_key", "fetch_plain", "fetch_salt"], "left")
     missing = F.when(
         F.col(uri).rlike(URI_PATTERN),
         outcome(none, F.lit("ObjectNotFound"), F.concat(F.lit("Object not found: "), F.col(uri))),
@@ -73,7 +82,16 @@ def fetch(
     )
     return joined.withColumn(
         out, F.when(F.col(uri).isNotNull(), F.coalesce(F.col(out), missing))
-    ).drop("fetch_key", "fetch_salt")
+    ).drop("fetch_key", "fetch_salt", "fetch_plain")
+
+
+def content_of(fmt: str | None, try_base64: bool) -> Column:
+    """Object content as text: as it is where ``fetch_plain`` holds, else decoded."""
+    as_it_is = decode_object(F.col("content"))
+    if fmt is None:
+        return as_it_is
+    packed = F.when(~F.col("fetch_plain"), F.col("content"))
+    return F.when(F.col("fetch_plain"), as_it_is).otherwise(decode_object(packed, fmt, try_base64))
 
 
 def keep_or(result: str, value: Column) -> Column:
@@ -161,19 +179,27 @@ def decode_and_fetch(
     parts = split_path(path)
     if not parts:
         return track_errors(df)
-    rows = track_errors(df)
-    rows = rows.withColumn("leaf", json_text_leaf(usable(F.col("body")), parts))
-    rows = reject_non_json(rows)
-    rows = rows.withColumn("direct_uri", as_uri(usable(F.col("leaf")), with_key=True))
-    rows = settle_fetch(fetch(rows, objects, "direct_uri", "direct", fmt, try_base64), "direct")
-    packed = usable(F.when(F.col("direct_uri").isNull(), F.col("leaf")))
+    rows = track_errors(df).withColumn(
+        "leaf", inspect_leaf(usable(F.col("body")), parts, fmt, try_base64, URI_SCHEME)
+    )
     rows = rows.withColumns(
-        {"plain": decode_text(packed, fmt, try_base64), "plain_text": F.lit(None).cast("string")}
+        {
+            "fetch_uri": F.col("leaf.address"),
+            "leaf_result": outcome(
+                F.col("leaf.plain"), F.col("leaf.error_class"), F.col("leaf.error_message")
+            ),
+        }
     )
-    rows = settle(rows, "plain", "plain_text")
-    rows = rows.withColumn("inner_uri", as_uri(usable(F.col("plain_text")), with_key=True))
-    rows = settle_fetch(fetch(rows, objects, "inner_uri", "inner"), "inner")
-    text = F.coalesce("inner_text", "direct_text", "plain_text")
-    return put_leaf(rows, parts, text, "leaf", True).drop(
-        "leaf", "direct_uri", "direct_text", "plain_text", "inner_uri", "inner_text"
+    # One lookup serves both kinds of address; an inner one is not unpacked again.
+    rows = fetch(rows, objects, "fetch_uri", "fetched", fmt, try_base64, plain=~F.col("leaf.direct"))
+    rows = rows.withColumns(
+        {
+            "leaf_result": F.coalesce("fetched", "leaf_result"),
+            "leaf_text": F.lit(None).cast("string"),
+            "leaf_there": F.when(F.col("leaf.present"), F.lit(True)),
+        }
+    ).drop("leaf", "fetched", "fetch_uri")
+    rows = settle(rows, "leaf_result", "leaf_text")
+    return put_leaf(rows, parts, F.col("leaf_text"), "leaf_there", True).drop(
+        "leaf_text", "leaf_there"
     )

@@ -20,15 +20,7 @@ def stack_text() -> Column:
     ).otherwise(text)
 
 
-def to_dlq(
-    failed: DataFrame,
-    topic: str | None,
-    max_retries: int = DEFAULT_MAX_RETRIES,
-    keep: tuple[str, ...] = (),
-) -> DataFrame:
-    """Dead-letter records of exhausted messages: the body as received, keyed by
-    message id, with the error in the headers. No topic, no record."""
-    body = "original_body" if "original_body" in failed.columns else "body"
+def dead_letter_columns(topic: str | None, max_retries: int, body: str) -> list[Column]:
     attempt = F.col("attempt")
     headers = F.array(
         header("sqs.message.id", F.col("message_id")),
@@ -42,8 +34,7 @@ def to_dlq(
         header("retry.exhausted", (attempt >= max_retries).cast("string")),
         header("sqs.md5.of.body", F.col("md5_of_body")),
     )
-    rows = failed if topic and topic.strip() else failed.where(F.lit(False))
-    return rows.select(
+    return [
         F.create_map(F.lit("queue_url"), F.col("queue_url")).alias("source_partition"),
         F.create_map(
             F.lit("message_id"), F.col("message_id"), F.lit("dlq"), F.lit("true")
@@ -55,5 +46,17 @@ def to_dlq(
         F.col("received_at").alias("timestamp"),
         F.filter(headers, lambda h: h["value"].isNotNull()).alias("headers"),
         F.col("message_id"),
-        *keep,
-    )
+    ]
+
+
+def to_dlq(
+    failed: DataFrame,
+    topic: str | None,
+    max_retries: int = DEFAULT_MAX_RETRIES,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """Dead-letter records of exhausted messages: the body as received, keyed by
+    message id, with the error in the headers. No topic, no record."""
+    body = "original_body" if "original_body" in failed.columns else "body"
+    rows = failed if topic and topic.strip() else failed.where(F.lit(False))
+    return rows.select(*dead_letter_columns(topic, max_retries, body), *keep)

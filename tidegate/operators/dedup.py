@@ -28,13 +28,14 @@ def dedup_machine(window_ms: int) -> Machine:
     return Machine(1, window_ms, (), steps)
 
 
-def keyed_rows(df: DataFrame, segment_ms: int) -> DataFrame:
+def keyed_rows(df: DataFrame, segment_ms: int, eligible: Column | None) -> DataFrame:
     t = F.unix_millis("received_at")
+    compared = dedup_id() if eligible is None else F.when(eligible, dedup_id())
     # Exempt rows get a filler key that spreads them over tasks.
     return df.withColumns(
         {
-            "dedup_key": F.coalesce(dedup_id(), F.concat(F.lit("\x00"), "message_id")),
-            "exempt": dedup_id().isNull(),
+            "dedup_key": F.coalesce(compared, F.concat(F.lit("\x00"), "message_id")),
+            "exempt": compared.isNull(),
             "t_ms": t,
             "segment": F.floor(t / F.lit(segment_ms)),
         }
@@ -42,12 +43,16 @@ def keyed_rows(df: DataFrame, segment_ms: int) -> DataFrame:
 
 
 def dedup_states(
-    df: DataFrame, window_ms: int, segment_ms: int = SEGMENT_MS, **carry
+    df: DataFrame,
+    window_ms: int,
+    segment_ms: int = SEGMENT_MS,
+    eligible: Column | None = None,
+    **carry,
 ) -> DataFrame:
     """Entry states of the segments; ``carry`` passes states between micro-batches."""
     # Within one millisecond only the first row can be taken: distinct instants
     # are enough here, and they shrink a hot id before its shuffle.
-    keyed = keyed_rows(df, segment_ms).where(~F.col("exempt"))
+    keyed = keyed_rows(df, segment_ms, eligible).where(~F.col("exempt"))
     instants = keyed.select(*KEYS, "segment", "t_ms").distinct()
     return entry_states(instants, dedup_machine(window_ms), KEYS, [], segment_ms, **carry)
 
@@ -58,14 +63,16 @@ def flag_duplicates(
     segment_ms: int = SEGMENT_MS,
     name: str = "duplicate",
     states: DataFrame | None = None,
+    eligible: Column | None = None,
 ) -> DataFrame:
     """Every row with a flag. The state is per queue and id; the clock is
-    ``received_at`` in milliseconds, ties in message id order."""
+    ``received_at`` in milliseconds, ties in message id order. Rows that are not
+    ``eligible`` are neither duplicates nor sightings."""
     if window_ms <= 0:
         return df.withColumn(name, F.lit(False))
     if states is None:
-        states = dedup_states(df, window_ms, segment_ms)
-    keyed = keyed_rows(df, segment_ms)
+        states = dedup_states(df, window_ms, segment_ms, eligible)
+    keyed = keyed_rows(df, segment_ms, eligible)
     marked = apply_gates(keyed, dedup_machine(window_ms), KEYS, ["message_id"], states)
     return marked.withColumn(
         name, ~F.col("exempt") & (F.col("taken_layer") < 0)

@@ -83,8 +83,7 @@ def record_headers(with_attributes: bool = True, schema_type: str | None = None)
     return F.filter(headers, lambda h: h["value"].isNotNull())
 
 
-def to_records(
-    df: DataFrame,
+def record_columns(
     topic: str,
     partition: int | None = None,
     with_attributes: bool = True,
@@ -92,11 +91,9 @@ def to_records(
     fifo_auto_detect: bool = True,
     schema_type: str | None = None,
     value: Column | None = None,
-    keep: tuple[str, ...] = (),
-) -> DataFrame:
-    """One topic record per message. ``value`` defaults to the body; ``keep``
-    names further columns to carry along."""
-    return df.select(
+) -> list[Column]:
+    """The columns of a topic record, computed from a message row."""
+    return [
         F.create_map(F.lit("queue_url"), F.col("queue_url")).alias("source_partition"),
         F.create_map(F.lit("message_id"), F.col("message_id")).alias("source_offset"),
         F.lit(topic).alias("topic"),
@@ -106,5 +103,10 @@ def to_records(
         F.col("received_at").alias("timestamp"),
         record_headers(with_attributes, schema_type).alias("headers"),
         F.col("message_id"),
-        *keep,
-    )
+    ]
+
+
+def to_records(df: DataFrame, topic: str, keep: tuple[str, ...] = (), **options) -> DataFrame:
+    """One topic record per message. ``value`` defaults to the body; ``keep``
+    names further columns to carry along; other options as in ``record_columns``."""
+    return df.select(*record_columns(topic, **options), *keep)

@@ -290,8 +290,8 @@ def schema_drift(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def validation_report(df: DataFrame, schema: T.StructType) -> DataFrame:
     """One row per (message, field, violation); the messages themselves flow on."""
-    drift = schema_drift(df, schema)
-    value = F.try_parse_json("body")
+    drift = schema_drift(df, schema).withColumn("parsed", F.try_parse_json("body"))
+    value = F.col("parsed")
     wrong = []
     for field in schema.fields:
         child = variant_step(value, field.name, "variant")

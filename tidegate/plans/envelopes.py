@@ -8,6 +8,7 @@ from base64 import b64encode
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from tidegate.sources.messages import spread
 
 # The three queues the events are spread over.
 QUEUES = [
@@ -18,8 +19,10 @@ QUEUES = [
 BUCKET = "ingest-bucket"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A given table, narrowed to the columns in use before it is spread."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df.select(*columns) if columns else df)
 
 
 def text_attribute(data_type: str, value: Column) -> Column:
@@ -132,7 +135,7 @@ def json_string(col: Column) -> Column:
 
 def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts as bodies: plain, gzip + base64 or zlib + base64 by id."""
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", ["doc_id", "text"])
     body = packed_base64(kind_of(F.col("doc_id")), F.col("text"))
     packs = d.select("doc_id", body.alias("packed"))
     return packs.select(*plain_message(F.col("doc_id"), F.col("packed")))
@@ -140,7 +143,7 @@ def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event envelopes whose ``detail.data`` holds a whole page, packed by id."""
-    p = table(spark, sf_dir, "pages")
+    p = table(spark, sf_dir, "pages", ["page_id", "html"])
     leaf = packed_base64(kind_of(F.col("page_id")), F.col("html"))
     body = F.concat(
         F.lit('{"version":"0","id":"'), F.col("page_id").cast("string"),
@@ -156,7 +159,7 @@ def document_uri(number: Column) -> Column:
 def document_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Object store content derived from the documents: every id not divisible
     by 10, packed by id."""
-    d = table(spark, sf_dir, "documents").where("doc_id % 10 <> 0")
+    d = table(spark, sf_dir, "documents", ["doc_id", "text"]).where("doc_id % 10 <> 0")
     return d.select(
         document_uri(F.col("doc_id")).alias("uri"),
         packed(kind_of(F.col("doc_id")), F.col("text")).alias("content"),
@@ -166,7 +169,10 @@ def document_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as JSON bodies; some lack a field, some carry an extra one, some
     are arrays, some are no JSON."""
-    o = table(spark, sf_dir, "orders")
+    o = table(
+        spark, sf_dir, "orders",
+        ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"],
+    )
     key = F.col("o_orderkey")
     status = F.when(key % 7 == 0, F.lit("")).otherwise(
         F.concat(F.lit(',"status":"'), F.col("o_orderstatus"), F.lit('"'))

@@ -93,15 +93,12 @@ def record_summary(records: DataFrame) -> DataFrame:
 
 @query("flow_records", RECORDS_SQL)
 def flow_records(spark, sf_dir):
-    pipe = flow()
-    return record_summary(pipe.output(pipe.process(packed_events(spark, sf_dir))))
+    return record_summary(flow().run(spark, packed_events(spark, sf_dir)).output())
 
 
 @query("pipeline_metrics", METRICS_SQL)
 def flow_metrics(spark, sf_dir):
-    pipe = flow()
-    messages = packed_events(spark, sf_dir)
-    return pipe.metrics(pipe.receive(messages), pipe.process(messages))
+    return flow().run(spark, packed_events(spark, sf_dir)).metrics()
 
 
 @query(
@@ -110,9 +107,7 @@ def flow_metrics(spark, sf_dir):
     SELECT queue_url, COUNT(*) AS acked FROM ev GROUP BY queue_url""",
 )
 def flow_acknowledged(spark, sf_dir):
-    pipe = flow()
-    messages = packed_events(spark, sf_dir)
-    ledger = pipe.ledger(pipe.receive(messages), pipe.process(messages))
+    ledger = flow().run(spark, packed_events(spark, sf_dir)).ledger()
     return ledger.groupBy("queue_url").agg(F.countDistinct("message_id").alias("acked"))
 
 

@@ -94,7 +94,7 @@ def decompress_leaf(spark, sf_dir):
 )
 def decompress_leaf_json(spark, sf_dir):
     """A packed JSON leaf comes back as an object."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
     inner = F.concat(
         F.lit('{"customer":'), F.col("o_custkey").cast("string"),
         F.lit(',"status":"'), F.col("o_orderstatus"), F.lit('"}'),
@@ -150,7 +150,7 @@ def decompress_or_keep(spark, sf_dir):
     FROM documents""",
 )
 def object_uri_parse(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id")
+    d = table(spark, sf_dir, "documents", ["doc_id"])
     n = F.col("doc_id") % 5
     uri = (
         F.when(n == 0, F.lit("http://x/y")).when(n == 1, F.lit("s3://only-bucket"))
@@ -173,7 +173,7 @@ FROM documents"""
 
 def claim_messages(spark, sf_dir, wrap=None):
     """Three of four documents by reference, the fourth in full (mixed mode)."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = table(spark, sf_dir, "documents", ["doc_id", "text"])
     leaf = F.when(
         F.col("doc_id") % 4 != 3, F.concat(F.lit(" "), document_uri(F.col("doc_id")))
     ).otherwise(F.col("text"))
@@ -212,7 +212,7 @@ def claim_check_field(spark, sf_dir):
     FROM documents WHERE doc_id % 10 = 0 OR doc_id % 10 = 5 GROUP BY ALL""",
 )
 def claim_check_missing(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id")
+    d = table(spark, sf_dir, "documents", ["doc_id"])
     uri = F.when(F.col("doc_id") % 10 == 5, F.lit("s3://bucket-alone")).otherwise(
         document_uri(F.col("doc_id"))
     )
@@ -235,7 +235,7 @@ def claim_check_missing(spark, sf_dir):
 )
 def claim_check_hot_object(spark, sf_dir):
     """Two of five messages point at one object."""
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    e = table(spark, sf_dir, "events", ["event_id", "user_id", "event_type"])
     target = F.when(F.col("event_type").isin("click", "view"), F.lit(1)).otherwise(
         F.col("user_id") % 100 + 1
     )
@@ -252,7 +252,7 @@ def claim_check_hot_object(spark, sf_dir):
 )
 def decode_then_fetch(spark, sf_dir):
     """By id: an address, packed text, a packed address, plain text."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = table(spark, sf_dir, "documents", ["doc_id", "text"])
     n = F.col("doc_id") % 4
     plain_uri = F.concat(F.lit(f"s3://{BUCKET}/plain/"), F.col("doc_id").cast("string"))
     leaf = (

@@ -5,25 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.operators.ack import ack_ledger
 from tidegate.operators.claimcheck import claim_check, decode_and_fetch
-from tidegate.operators.deadletter import to_dlq
+from tidegate.operators.deadletter import dead_letter_columns
 from tidegate.operators.decompress import decompress_body
 from tidegate.operators.dedup import flag_duplicates
 from tidegate.operators.errors import track_errors
 from tidegate.operators.extract import extract_field
 from tidegate.operators.filtering import flag_messages
 from tidegate.operators.metrics import pipeline_metrics
-from tidegate.operators.records import to_records
+from tidegate.operators.records import record_columns
 from tidegate.operators.retry import RetryPolicy, retry_decisions
 from tidegate.schemas import DEFAULT_DEDUP_WINDOW_MS
+from tidegate.session import materialize
 from tidegate.sources.messages import project_attributes
 
 Step = Callable[[DataFrame], DataFrame]
 
 LEDGER_COLUMNS = ["queue_url", "message_id", "receipt_handle"]
+FOLD_COLUMNS = ["delivery_id", *LEDGER_COLUMNS, "received_at", "attributes", "error_class"]
+
+
+def emitted() -> Column:
+    return F.col("decision") == "emit"
 
 
 @dataclass(frozen=True)
@@ -64,58 +70,69 @@ class Pipeline:
         return flag_messages(wanted, self.policy)
 
     def convert(self, received: DataFrame) -> DataFrame:
-        """The ``value`` of each message that passed, or its error."""
+        """The ``value`` of each message that passed, or its error, and the body as
+        it came. To be stored once: the folds after it only read narrow columns."""
         df = track_errors(received.where("passed"))
         for step in self.steps:
             df = step(df)
-        df = df.withColumn("value", F.col("body"))
-        return extract_field(df, self.extract_path, self.extract_fail_on_missing)
+        df = df.withColumn("value", F.col("body")).drop("body", "passed")
+        df = extract_field(df, self.extract_path, self.extract_fail_on_missing)
+        return df.withColumn("delivery_id", F.monotonically_increasing_id())
 
     def retry_policy(self) -> RetryPolicy:
         named = bool(self.dlq_topic and self.dlq_topic.strip())
         return replace(self.retry, dead_letter=named)
 
     def decide(self, converted: DataFrame, states: DataFrame | None = None) -> DataFrame:
-        return retry_decisions(converted, self.retry_policy(), states)
+        """Retry decisions of stored rows, without their bodies."""
+        return retry_decisions(converted.select(*FOLD_COLUMNS), self.retry_policy(), states)
 
     def deduplicate(self, decided: DataFrame, states: DataFrame | None = None) -> DataFrame:
         """Only converted messages count as sightings, so a message that failed
         first is not lost as its own duplicate."""
-        emitted = decided.where(F.col("decision") == "emit")
-        flagged = flag_duplicates(emitted, self.dedup_window_ms, states=states)
-        others = decided.where(F.col("decision") != "emit").withColumn("duplicate", F.lit(False))
-        return flagged.unionByName(others)
+        return flag_duplicates(decided, self.dedup_window_ms, states=states, eligible=emitted())
 
-    def process(self, messages: DataFrame) -> DataFrame:
-        """Every message that passed, with ``decision`` and ``duplicate``."""
-        return self.deduplicate(self.decide(self.convert(self.receive(messages))))
+    def run(self, spark: SparkSession, messages: DataFrame) -> "Outcome":
+        """The whole path over a table. What is expensive to compute and read more
+        than once lies in the shared folder, so lost executors cost little."""
+        received = self.receive(messages)
+        converted = materialize(spark, self.convert(received), "converted")
+        decided = self.deduplicate(self.decide(converted))
+        return Outcome(self, received, converted, materialize(spark, decided, "decided"))
 
-    # --- results of processed rows ---
 
-    def records(self, processed: DataFrame) -> DataFrame:
-        good = processed.where((F.col("decision") == "emit") & ~F.col("duplicate"))
-        return to_records(
-            good, self.topic, self.partition, self.attributes_enabled, value=F.col("value")
+@dataclass(frozen=True)
+class Outcome:
+    """Results: ``converted`` has the values, ``decided`` what becomes of each row."""
+
+    pipeline: Pipeline
+    received: DataFrame
+    converted: DataFrame
+    decided: DataFrame
+
+    def output(self) -> DataFrame:
+        """Topic records and dead letters from one pass over the values."""
+        pipe = self.pipeline
+        leaving = self.decided.where((emitted() & ~F.col("duplicate")) | (F.col("decision") == "dlq"))
+        rows = self.converted.join(leaving.select("delivery_id", "decision", "attempt"), "delivery_id")
+        good = record_columns(
+            pipe.topic, pipe.partition, pipe.attributes_enabled, value=F.col("value")
         )
+        dead = dead_letter_columns(pipe.dlq_topic, pipe.retry.max_retries, "original_body")
+        record = F.when(emitted(), F.struct(*good)).otherwise(F.struct(*dead))
+        return rows.select(record.alias("record")).select("record.*")
 
-    def dead_letters(self, processed: DataFrame) -> DataFrame:
-        dead = processed.where(F.col("decision") == "dlq")
-        return to_dlq(dead, self.dlq_topic, self.retry.max_retries)
-
-    def output(self, processed: DataFrame) -> DataFrame:
-        return self.records(processed).unionByName(self.dead_letters(processed))
-
-    def ledger(self, received: DataFrame, processed: DataFrame) -> DataFrame:
+    def ledger(self) -> DataFrame:
         """Acknowledgements: emitted, duplicate, dead, dropped and filtered-out messages."""
-        done = processed.where(F.col("decision").isin("emit", "dlq", "drop"))
-        rejected = received.where(~F.col("passed"))
+        done = self.decided.where(F.col("decision").isin("emit", "dlq", "drop"))
+        rejected = self.received.where(~F.col("passed"))
         handled = done.select(*LEDGER_COLUMNS).unionByName(rejected.select(*LEDGER_COLUMNS))
-        return ack_ledger(handled, self.delete_enabled)
+        return ack_ledger(handled, self.pipeline.delete_enabled)
 
-    def metrics(self, received: DataFrame, processed: DataFrame) -> DataFrame:
-        seen = processed.select("queue_url", F.lit(True).alias("passed"), "decision", "duplicate")
-        rejected = received.where(~F.col("passed")).select(
+    def metrics(self) -> DataFrame:
+        seen = self.decided.select("queue_url", F.lit(True).alias("passed"), "decision", "duplicate")
+        rejected = self.received.where(~F.col("passed")).select(
             "queue_url", "passed", F.lit(None).cast("string").alias("decision"),
             F.lit(False).alias("duplicate"),
         )
-        return pipeline_metrics(seen.unionByName(rejected), self.delete_enabled)
+        return pipeline_metrics(seen.unionByName(rejected), self.pipeline.delete_enabled)

@@ -30,6 +30,16 @@ def read_messages(
     return reader.load(path)
 
 
+def spread(df: DataFrame, workers: int | None = None) -> DataFrame:
+    """Let ``workers`` tasks share one queue. Without a number: as many as there are
+    cores, and only where the frame has fewer partitions (a few large files);
+    a frame that is spread already is not shuffled again."""
+    if workers is not None:
+        return df.repartition(workers)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def attribute_names(text: str | None) -> list[str]:
     """Comma list -> trimmed names, blanks dropped."""
     return [n.strip() for n in (text or "").split(",") if n.strip()]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegate.operators.dedup import KEYS as DEDUP_KEYS, dedup_states
 from tidegate.operators.gated import final_states
 from tidegate.operators.retry import KEYS as RETRY_KEYS, retry_states
-from tidegate.plans.pipeline import Pipeline
+from tidegate.plans.pipeline import FOLD_COLUMNS, Outcome, Pipeline, emitted
 from tidegate.sinks.topics import append_ledger, batch_path, write_topic
 
 # Fixed value: a queue keeps a message for two weeks at most.
@@ -75,30 +75,25 @@ class MicroBatches:
         retry = self.stored(
             spark,
             retry_states(
-                converted, pipe.retry_policy(),
+                converted.select(*FOLD_COLUMNS), pipe.retry_policy(),
                 initial=self.before(spark, "retry", RETRY_KEYS, batch_id), **carry,
             ),
             "retry", batch_id,
         )
-        decided = self.stored(spark, pipe.decide(converted, retry), "decided", batch_id)
-        emitted = decided.where(F.col("decision") == "emit")
+        decided = pipe.decide(converted, retry)
         dedup = self.stored(
             spark,
             dedup_states(
-                emitted, pipe.dedup_window_ms,
+                decided, pipe.dedup_window_ms, eligible=emitted(),
                 initial=self.before(spark, "dedup", DEDUP_KEYS, batch_id), **carry,
             ),
             "dedup", batch_id,
         )
-        write_topic(pipe.output(pipe.deduplicate(decided, dedup)), self.folders.records, batch_id)
-        narrow = decided.select(
-            "queue_url", "message_id", "receipt_handle", "received_at", "attributes", "decision"
-        )
-        outcome = pipe.deduplicate(narrow, dedup)
-        append_ledger(pipe.ledger(received, outcome), self.folders.ledger, batch_id)
-        pipe.metrics(received, outcome).write.mode("overwrite").parquet(
-            batch_path(self.folders.metrics, batch_id)
-        )
+        decided = self.stored(spark, pipe.deduplicate(decided, dedup), "decided", batch_id)
+        outcome = Outcome(pipe, received, converted, decided)
+        write_topic(outcome.output(), self.folders.records, batch_id)
+        append_ledger(outcome.ledger(), self.folders.ledger, batch_id)
+        outcome.metrics().write.mode("overwrite").parquet(batch_path(self.folders.metrics, batch_id))
 
 
 def start_stream(
