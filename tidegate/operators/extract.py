@@ -35,25 +35,23 @@ def extract_field(
     if isinstance(schema, T.StructType):
         leaf = struct_leaf(schema, value, parts)
         found = F.lit(None).cast("string") if leaf is None else leaf
-        text = F.to_json(value)
-        rows = rows.withColumn(column, text)
-        broken = F.lit(False)
+        text, broken = F.to_json(value), F.lit(False)
     else:
-        found = json_leaf(usable(value), parts)
-        text = value
+        found, text = json_leaf(usable(value), parts), value
         broken = compact_json(value).isNull()
+    rows = rows.withColumns({"found": found, column: text})
+    kept = F.coalesce(F.col("found"), F.col(column))
     if not fail_on_missing:
-        return rows.withColumn(column, F.coalesce(found, F.col(column)))
-    empty = F.coalesce(value.isNull() | (F.col(column) == ""), F.lit(True))
-    failed = found.isNull() & ~empty & F.col("error_class").isNull()
+        return rows.withColumn(column, kept).drop("found")
+    # Null and empty values have nothing to miss.
+    failed = F.coalesce(
+        F.col("found").isNull() & (F.col(column) != "") & F.col("error_class").isNull(), F.lit(False)
+    )
     result = outcome(
-        F.coalesce(found, F.col(column)),
-        F.when(failed, F.when(broken, "JsonError").otherwise("FieldMissing")),
-        F.when(
-            failed,
-            F.when(broken, "Invalid JSON in message").otherwise(
-                f"Field path '{path}' not found in message"
-            ),
+        kept,
+        F.when(failed & broken, "JsonError").when(failed, "FieldMissing"),
+        F.when(failed & broken, "Invalid JSON in message").when(
+            failed, f"Field path '{path}' not found in message"
         ),
     )
-    return settle(rows.withColumn("extracted", result), "extracted", column)
+    return settle(rows.withColumn("extracted", result), "extracted", column).drop("found")

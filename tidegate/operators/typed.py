@@ -39,41 +39,47 @@ def json_kind(value) -> str:
     return "array" if isinstance(value, list) else "object"
 
 
-def describe(value, path: list[str], found: list) -> None:
+def describe(value, path: tuple, found: list) -> None:
     """(path, position, kind) of every field; an array speaks through its first element."""
     if isinstance(value, dict):
         for position, (name, child) in enumerate(value.items()):
-            where = path + [name]
+            where = path + (name,)
             found.append((where, position, json_kind(child)))
             describe(child, where, found)
     elif isinstance(value, list) and value:
-        where = path + [ITEM]
+        where = path + (ITEM,)
         found.append((where, 0, json_kind(value[0])))
         describe(value[0], where, found)
 
 
-FIELD_NOTE = T.StructType(
-    [
-        T.StructField("path", T.ArrayType(T.StringType())),
-        T.StructField("position", T.IntegerType()),
-        T.StructField("kind", T.StringType()),
-    ]
-)
+FIELD_NOTES = "path array<string>, kind string, position int, n_messages bigint"
+NOTES_HELD = 100_000  # notes a task holds before it hands them on
 
 
-@F.pandas_udf(T.ArrayType(FIELD_NOTE))
-def described(bodies: pd.Series) -> pd.Series:
-    out = []
-    for body in bodies:
-        found: list = []
-        try:
-            value = json.loads(body) if body else None
-            if isinstance(value, dict):
-                describe(value, [], found)
-        except (ValueError, RecursionError):
-            found = []
-        out.append([{"path": p, "position": n, "kind": k} for p, n, k in found])
-    return pd.Series(out, dtype=object)
+def note_fields(batches):
+    """Counts of (path, kind) over a task's bodies: aggregated before the shuffle."""
+
+    def table(notes):
+        rows = [(list(path), kind, at, n) for (path, kind), (at, n) in notes.items()]
+        return pd.DataFrame(rows, columns=["path", "kind", "position", "n_messages"])
+
+    notes: dict = {}
+    for pdf in batches:
+        for body in pdf["body"]:
+            found: list = []
+            try:
+                value = json.loads(body)
+                if isinstance(value, dict):
+                    describe(value, (), found)
+            except (ValueError, RecursionError):
+                continue
+            for path, position, kind in found:
+                at, n = notes.get((path, kind), (position, 0))
+                notes[path, kind] = (min(at, position), n + 1)
+        if len(notes) > NOTES_HELD:
+            yield table(notes)
+            notes = {}
+    yield table(notes)
 
 
 def is_json_object(body: Column) -> Column:
@@ -84,13 +90,11 @@ def is_json_object(body: Column) -> Column:
 def observed_fields(df: DataFrame) -> DataFrame:
     """(path, kinds, position, n_messages): one row per field path over all object
     bodies. Partial aggregation keeps the shuffle to one row per path and task."""
-    fields = df.where(is_json_object(F.col("body"))).select(
-        F.explode(described(F.col("body"))).alias("f")
-    )
-    return fields.groupBy(F.col("f.path").alias("path")).agg(
-        F.collect_set("f.kind").alias("kinds"),  # nine kinds at most
-        F.min("f.position").alias("position"),
-        F.count("*").alias("n_messages"),
+    notes = df.where(is_json_object(F.col("body"))).select("body").mapInPandas(note_fields, FIELD_NOTES)
+    return notes.groupBy("path").agg(
+        F.collect_set("kind").alias("kinds"),  # nine kinds at most
+        F.min("position").alias("position"),
+        F.sum("n_messages").alias("n_messages"),
     )
 
 

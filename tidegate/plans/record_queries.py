@@ -33,7 +33,9 @@ def records_default(spark, sf_dir):
 
 
 def exploded_headers(records):
-    return records.select("message_id", F.posexplode("headers").alias("position", "h")).select(
+    # The outer form: headers are never empty, and the inner one would compute them
+    # a second time in a filter of its own.
+    return records.select("message_id", F.posexplode_outer("headers").alias("position", "h")).select(
         "message_id", F.col("position").cast("bigint").alias("position"),
         F.col("h.key").alias("header"), F.col("h.value").cast("string").alias("text"),
     )
