@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -17,16 +18,26 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
 }
 
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-}
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "tidegate_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tidegate-package-")
+    archive = shutil.make_archive(
+        os.path.join(folder, "tidegate"), "zip", os.path.dirname(package), "tidegate"
+    )
+    context.addPyFile(archive)
+    context.tidegate_shipped = True
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings the operators rely on to an existing session."""
-    for key, value in {**SETTINGS, **STATE_STORE}.items():
+    for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
