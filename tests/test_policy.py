@@ -56,3 +56,21 @@ def test_counters(spark):
     df = frame(spark, [message(f"msg-{i}", user={"n": str(i)}) for i in range(5)])
     row = filter_counters(df, '{"n":[{"numeric":["<",2]}]}').first()
     assert (row.messages_passed, row.messages_filtered) == (2, 3)
+
+
+def test_promoted_attributes_reach_the_scan(spark, tmp_path):
+    from tidegate.sources.messages import read_messages
+    from tidegate.sources.queues import land_messages
+
+    binary = {"data_type": "Binary", "string_value": None, "binary_value": b"x"}
+    users = [{"Type": "order"}, {"Type": "urgent-1"}, {"Type": "other"}, {}, {"Type": binary}]
+    df = frame(spark, [message(f"msg-{i}", user=u) for i, u in enumerate(users)])
+    land_messages(df, str(tmp_path / "in"), ["Type"])
+    landed = read_messages(spark, str(tmp_path / "in"), promoted=["Type"])
+    kept = filter_messages(landed, '{"Type":["order",{"prefix":"urgent-"}]}')
+    assert sorted(r.message_id for r in kept.collect()) == ["msg-0", "msg-1"]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(promoted.Type.text,order)" in plan and "StringStartsWith(promoted.Type.text,urgent-)" in plan
+    for policy in ('{"Type":[{"exists":true}]}', '{"Type":[{"exists":false}]}', '{"Type":["other",{"numeric":["<",1]}]}'):
+        plain = in_order(flag_messages(df, policy), "passed")
+        assert in_order(flag_messages(landed, policy), "passed") == plain

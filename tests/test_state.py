@@ -193,5 +193,7 @@ def test_order(spark):
                        for i, (g, s) in enumerate(rows)])
     placed = {(r.group_id, int(r.sequence)): r.position for r in group_positions(df, 50).collect()}
     assert placed == {(g, s): p for g in ("a", "b") for p, s in enumerate((9, 10, 99, 100, 18446744073709551615), 1)}
+    lost = df.withColumn("attributes", F.map_filter("attributes", lambda k, v: k == "MessageGroupId"))
+    assert group_positions(lost, 50).count() == len(rows)  # rows without a sequence stay
     seen = fifo_order(df, 3).select("group_id", "sequence").collect()
     assert [(r.group_id, int(r.sequence)) for r in seen] == sorted((g, s) for g, s in rows)

@@ -73,9 +73,21 @@ def numeric_condition(text: Column, spec) -> Column | None:
     return reduce(and_, tests)
 
 
-def one_condition(attribute: Column, condition) -> Column | None:
+class Attribute:
+    """Presence and text of one user attribute, from the map or from a promoted column."""
+
+    def __init__(self, name: str, attributes: Column, promoted: tuple[str, ...]):
+        if name in promoted:
+            stored = F.col("promoted")[name]
+            self.present, self.text = stored["present"], stored["text"]
+        else:
+            entry = F.try_element_at(attributes, F.lit(name))
+            self.present, self.text = entry.isNotNull(), entry["string_value"]
+
+
+def one_condition(attribute: Attribute, condition) -> Column | None:
     """The column of one condition, or None for a kind that is not known."""
-    text = attribute["string_value"]
+    text = attribute.text
     if isinstance(condition, str):
         return text == F.lit(str(condition))
     if not isinstance(condition, dict):
@@ -83,7 +95,7 @@ def one_condition(attribute: Column, condition) -> Column | None:
     ((kind, spec),) = condition.items()
     kind = kind.lower()
     if kind == "exists":
-        return attribute.isNotNull() if spec is True else attribute.isNull()
+        return attribute.present if spec is True else ~attribute.present
     if kind == "prefix" and isinstance(spec, str) and not isinstance(spec, NumberText):
         return F.startswith(text, F.lit(spec))
     if kind == "numeric":
@@ -91,14 +103,24 @@ def one_condition(attribute: Column, condition) -> Column | None:
     return None
 
 
-def compile_policy(text: str | None, attributes: Column | None = None) -> Column:
+def policy_condition(
+    text: str | None, attributes: Column | None = None, promoted: tuple[str, ...] = ()
+) -> Column:
     """AND over attributes of OR over conditions; an attribute without a usable
-    condition matches nothing."""
+    condition matches nothing. Unknown counts as no, as in any ``where``: nothing
+    is negated, and bare comparisons can reach the file scan."""
     attributes = F.col("message_attributes") if attributes is None else attributes
     rules = []
     for name, conditions in parse_policy(text).items():
-        attribute = F.try_element_at(attributes, F.lit(name))
+        attribute = Attribute(name, attributes, promoted)
         tests = [one_condition(attribute, c) for c in conditions]
-        tests = [F.coalesce(t, F.lit(False)) for t in tests if t is not None]
+        tests = [t for t in tests if t is not None]
         rules.append(reduce(or_, tests) if tests else F.lit(False))
     return reduce(and_, rules) if rules else F.lit(True)
+
+
+def compile_policy(
+    text: str | None, attributes: Column | None = None, promoted: tuple[str, ...] = ()
+) -> Column:
+    """The same as a flag that is never null."""
+    return F.coalesce(policy_condition(text, attributes, promoted), F.lit(False))

@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidegate.functions.policy import compile_policy
+from tidegate.functions.policy import compile_policy, policy_condition
+
+
+def promoted_names(df: DataFrame) -> tuple[str, ...]:
+    """Attributes that were written as columns when the messages were landed."""
+    return tuple(df.schema["promoted"].dataType.fieldNames()) if "promoted" in df.columns else ()
 
 
 def filter_messages(df: DataFrame, policy: str | None) -> DataFrame:
-    return df.where(compile_policy(policy))
+    """Messages that pass. Conditions on promoted attributes reach the file scan."""
+    return df.where(policy_condition(policy, promoted=promoted_names(df)))
 
 
 def flag_messages(df: DataFrame, policy: str | None, name: str = "passed") -> DataFrame:
     """Keep every row with a flag: both sides of the split from one scan."""
-    return df.withColumn(name, compile_policy(policy))
+    return df.withColumn(name, compile_policy(policy, promoted=promoted_names(df)))
 
 
 def filter_counters(df: DataFrame, policy: str | None, by: list[str] = ()) -> DataFrame:

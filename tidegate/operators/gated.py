@@ -28,6 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tidegate.operators.ranking import null_safe_join
+
 NEXT_ROW = -1  # gate value: the very next row is taken
 ANY_LAYER = -1  # summary step that holds for every layer
 SEGMENT_MS = 600_000
@@ -346,7 +348,7 @@ def apply_gates(
     layer a row was taken in, -1 for a row the gate held back."""
     by = keys + ["segment"]
     entries = entries.where(F.col("segment") != FINAL)
-    started = df.join(entries, by, "left").withColumns(
+    started = null_safe_join(df, entries, by, "left").withColumns(
         {
             "layer_in": F.coalesce("layer_in", F.lit(0).cast("bigint")),
             "gate_in": F.coalesce("gate_in", F.lit(NEXT_ROW).cast("bigint")),

@@ -22,8 +22,13 @@ def split_row_number(
     numbered = rows.withColumn(
         "split_rank", F.row_number().over(W.partitionBy(*by).orderBy(*order))
     )
-    return (
-        numbered.join(shifts, by)
-        .withColumn(name, (F.col("split_rank") + F.col("split_shift")).cast("bigint"))
-        .drop(cut, "split_rank", "split_shift")
-    )
+    joined = null_safe_join(numbered, shifts, by, "inner")
+    position = (F.col("split_rank") + F.col("split_shift")).cast("bigint")
+    return joined.withColumn(name, position).drop(cut, "split_rank", "split_shift")
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join in which null keys meet each other, so that no row is lost."""
+    other = right.withColumnsRenamed({k: f"right_{k}" for k in keys})
+    same = [left[k].eqNullSafe(other[f"right_{k}"]) for k in keys]
+    return left.join(other, same, how).drop(*[f"right_{k}" for k in keys])

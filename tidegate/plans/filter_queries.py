@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidegate.functions.policy import policy_condition
 from tidegate.operators.filtering import filter_counters, filter_messages
 from tidegate.plans.envelopes import QUEUES, event_messages, events
 from tidegate.plans.registry import EVENTS_SQL, query
+from tidegate.session import run_dir
 from tidegate.sources.messages import (
-    project_attributes, queue_assignment, queue_list, union_queues,
+    project_attributes, queue_assignment, queue_list, read_messages, union_queues,
 )
+from tidegate.sources.queues import land_messages
 
 POLICIES = {
     "filter_none": (None, "TRUE"),
@@ -49,6 +52,24 @@ for _name, (_policy, _where) in POLICIES.items():
     )
 
 
+@query(
+    "filter_landed",
+    f"""WITH {EVENTS_SQL}
+    SELECT message_id, queue_url, body FROM ev
+    WHERE event_type IN ('error', 'view') AND (NOT vip OR price LIKE '1%')""",
+)
+def filter_landed(spark, sf_dir):
+    """Messages written to a landing folder and read back, with attributes as columns."""
+    path = run_dir(spark, "landing")
+    land_messages(event_messages(spark, sf_dir), path, ["Type", "vip"])
+    landed = read_messages(spark, path, promoted=["Type", "vip"])
+    rows = landed.where(policy_condition('{"Type":["error",{"prefix":"vi"}]}', promoted=("Type",)))
+    either = filter_messages(rows, '{"vip":[{"exists":false}]}').unionByName(
+        filter_messages(rows, '{"vip":["gold"],"price":[{"prefix":"1"}]}')
+    )
+    return either.select("message_id", "queue_url", "body")
+
+
 @query(
     "filter_empty_list",
     f"""WITH {EVENTS_SQL}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidegate.schemas import BASE_SYSTEM_ATTRIBUTES, FIFO_SYSTEM_ATTRIBUTES, MESSAGE_SCHEMA
 
@@ -12,17 +12,42 @@ MAX_RECEIVE_BATCH = 10
 MAX_WAIT_SECONDS = 20
 
 
+def promote_attributes(df: DataFrame, names: list[str]) -> DataFrame:
+    """Add a ``promoted`` struct with presence and text of some user attributes.
+    Written to the landing folder, policies on them prune files and row groups."""
+    entry = lambda n: F.try_element_at("message_attributes", F.lit(n))
+    fields = [
+        F.struct(
+            entry(n).isNotNull().alias("present"), entry(n)["string_value"].alias("text")
+        ).alias(n)
+        for n in names
+    ]
+    return df.withColumn("promoted", F.struct(*fields))
+
+
+def landing_schema(promoted: list[str]) -> T.StructType:
+    if not promoted:
+        return MESSAGE_SCHEMA
+    pair = T.StructType(
+        [T.StructField("present", T.BooleanType()), T.StructField("text", T.StringType())]
+    )
+    names = T.StructType([T.StructField(n, pair) for n in promoted])
+    return T.StructType(MESSAGE_SCHEMA.fields + [T.StructField("promoted", names)])
+
+
 def read_messages(
     spark: SparkSession,
     path: str,
     streaming: bool = False,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
+    promoted: list[str] = (),
 ) -> DataFrame:
     """Messages of a landing folder as a table or as a stream."""
+    schema = landing_schema(list(promoted))
     if not streaming:
-        return spark.read.schema(MESSAGE_SCHEMA).format(fmt).load(path)
-    reader = spark.readStream.schema(MESSAGE_SCHEMA).format(fmt)
+        return spark.read.schema(schema).format(fmt).load(path)
+    reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger is not None:
         if max_files_per_trigger < 1:
             raise ValueError("max_files_per_trigger must be at least 1")

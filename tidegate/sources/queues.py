@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidegate.schemas import DEFAULT_RECEIVE_BATCH, DEFAULT_WAIT_SECONDS, MESSAGE_SCHEMA
-from tidegate.sources.messages import MAX_RECEIVE_BATCH, MAX_WAIT_SECONDS
+from tidegate.sources.messages import MAX_RECEIVE_BATCH, MAX_WAIT_SECONDS, promote_attributes
 
 Receive = Callable[[str, int, int], Iterable[dict]]
 """``receive(queue_url, max_messages, wait_seconds)`` -> message dicts by column name."""
@@ -59,6 +59,8 @@ def receive_messages(
     return tasks.repartition(len(work), "queue_url", "worker").mapInArrow(poll, MESSAGE_SCHEMA)
 
 
-def land_messages(received: DataFrame, path: str) -> None:
-    """Append what was received to the landing folder."""
-    received.write.mode("append").parquet(path)
+def land_messages(received: DataFrame, path: str, promoted: list[str] = ()) -> None:
+    """Append what was received to the landing folder, the attributes most policies
+    ask for also as columns."""
+    rows = promote_attributes(received, list(promoted)) if promoted else received
+    rows.write.mode("append").parquet(path)
