@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidegate.operators.retry import RetryPolicy
-from tidegate.plans.envelopes import event_messages, events, packed_base64, kind_of
+from tidegate.plans.envelopes import event_messages, kind_of, packed_base64
 from tidegate.plans.pipeline import Pipeline
 from tidegate.plans.registry import EVENTS_SQL, query
+from tidegate.plans.state_queries import ALL_FLAGS, dedup_sql
 from tidegate.session import run_dir
 from tidegate.sources.messages import read_messages
 from tidegate.streaming.pipeline import read_batches, run_available
+from tidegate.streaming.stateful import dedup_stream
 
 WINDOW_MS = 4 * 86_400_000
 
@@ -111,15 +113,18 @@ def flow_acknowledged(spark, sf_dir):
     return ledger.groupBy("queue_url").agg(F.countDistinct("message_id").alias("acked"))
 
 
-def streamed(spark, sf_dir):
-    """Land the messages ten days at a time, then work the folder off in
-    micro-batches of two files. Files are taken in the order they were written."""
-    root = run_dir(spark, "stream")
-    messages = packed_events(spark, sf_dir)
+def landed_stream(spark, messages: DataFrame, root: str) -> DataFrame:
+    """Land messages ten days at a time; the stream takes the folder in micro-batches
+    of two files, in the order they were written."""
     day = F.dayofmonth("received_at")
     for part in (day <= 10, (day > 10) & (day <= 20), day > 20):
         messages.where(part).repartition(2).write.mode("append").parquet(f"{root}/landing")
-    source = read_messages(spark, f"{root}/landing", streaming=True, max_files_per_trigger=2)
+    return read_messages(spark, f"{root}/landing", streaming=True, max_files_per_trigger=2)
+
+
+def streamed(spark, sf_dir):
+    root = run_dir(spark, "stream")
+    source = landed_stream(spark, packed_events(spark, sf_dir), root)
     return run_available(source, flow(), root, lateness_ms=WINDOW_MS)
 
 
@@ -135,3 +140,15 @@ def stream_metrics(spark, sf_dir):
     counts = read_batches(spark, folders.metrics).drop("batch_id")
     names = [c for c in counts.columns if c != "queue_url"]
     return counts.groupBy("queue_url").agg(*[F.sum(n).alias(n) for n in names])
+
+
+@query("stream_dedup", dedup_sql(WINDOW_MS, ALL_FLAGS))
+def stream_dedup(spark, sf_dir):
+    """De-duplication by the stateful operator, its output appended to a folder."""
+    root = run_dir(spark, "dedup-stream")
+    flagged = dedup_stream(landed_stream(spark, event_messages(spark, sf_dir), root), WINDOW_MS)
+    (
+        flagged.writeStream.format("parquet").trigger(availableNow=True)
+        .option("checkpointLocation", f"{root}/progress").start(f"{root}/flags").awaitTermination()
+    )
+    return spark.read.parquet(f"{root}/flags").select("message_id", "duplicate")
