@@ -28,7 +28,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("stream", "flow", "pipeline"))))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("stream", "flow", "queue_metrics"))))
 def test_no_pairwise_joins(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

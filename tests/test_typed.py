@@ -78,6 +78,16 @@ def test_drift_and_report(spark):
     assert report == [("msg-1", "b", "missing_required"), ("msg-1", "c", "extra"), ("msg-2", "a", "wrong_type"), ("msg-2", "c", "extra")]
 
 
+def test_report_looks_inside(spark):
+    schema = T.StructType.fromDDL("u struct<id:bigint,v:struct<w:string>>, t array<string>, n array<struct<k:bigint>>")
+    df = bodies(
+        spark, '{"u":{"id":"x","v":{"w":1},"free":2},"t":["a",1],"n":[{"k":1}]}',
+        '{"u":{"id":1,"v":null},"t":["a",null],"n":[]}', '{"u":[],"t":{},"n":[1]}')
+    report = sorted(tuple(r) for r in validation_report(df, schema).collect())
+    assert report == [("msg-0", "t", "wrong_type"), ("msg-0", "u.id", "wrong_type"), ("msg-0", "u.v.w", "wrong_type"),
+                      ("msg-2", "n", "wrong_type"), ("msg-2", "t", "wrong_type"), ("msg-2", "u", "wrong_type")]
+
+
 def test_catalog(spark):
     layout = "subject string, version bigint, schema_id bigint, profile string, schema_json string, fingerprint string"
     empty = spark.createDataFrame([], layout)

@@ -293,19 +293,17 @@ def schema_drift(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def validation_report(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """One row per (message, field, violation); the messages themselves flow on."""
+    """One row per (message, field, violation); the messages themselves flow on.
+    The top level is closed and all its fields are required; inner objects are open,
+    and the types of their fields and of array items are checked."""
     drift = schema_drift(df, schema).withColumn("parsed", F.try_parse_json("body"))
-    value = F.col("parsed")
-    wrong = []
-    for field in schema.fields:
-        child = variant_step(value, field.name, "variant")
-        bad = child.isNotNull() & ~F.is_variant_null(child) & ~right_kind(child, field.dataType)
-        wrong.append(F.when(bad, F.lit(field.name)))
-    wrong_type = F.filter(F.array(*wrong), lambda n: n.isNotNull()) if wrong else F.array().cast("array<string>")
+    names = [F.when(test, F.lit(path)) for path, test in type_checks(F.col("parsed"), schema, "")]
+    none = F.array().cast("array<string>")
+    wrong_type = F.filter(F.array(*names), lambda n: n.isNotNull()) if names else none
 
-    def rows(names: Column, violation: str) -> Column:
+    def rows(listed: Column, violation: str) -> Column:
         return F.transform(
-            names, lambda n: F.struct(n.alias("field"), F.lit(violation).alias("violation"))
+            listed, lambda n: F.struct(n.alias("field"), F.lit(violation).alias("violation"))
         )
 
     listed = F.concat(
@@ -318,13 +316,28 @@ def validation_report(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def type_checks(value: Column, schema: T.StructType, prefix: str) -> list[tuple[str, Column]]:
+    """(dotted path, whether the value there has the wrong type)."""
+    found = []
+    for field in schema.fields:
+        path = prefix + field.name
+        child = variant_step(value, field.name, "variant")
+        given = child.isNotNull() & ~F.is_variant_null(child)
+        found.append((path, given & ~right_kind(child, field.dataType)))
+        if isinstance(field.dataType, T.StructType):
+            found += type_checks(child, field.dataType, path + ".")
+    return found
+
+
 def right_kind(value: Column, kind: T.DataType) -> Column:
     """JSON type of a variant against the schema's type (no coercion)."""
     seen = F.schema_of_variant(value)
     if isinstance(kind, T.StructType):
         return seen.startswith("OBJECT")
     if isinstance(kind, T.ArrayType):
-        return seen.startswith("ARRAY")
+        items = F.try_variant_get(value, "$", "array<variant>")
+        every = F.forall(items, lambda v: F.is_variant_null(v) | right_kind(v, kind.elementType))
+        return seen.startswith("ARRAY") & F.coalesce(every, F.lit(False))
     if isinstance(kind, (T.IntegerType, T.LongType)):
         return seen == "BIGINT"
     if isinstance(kind, (T.DoubleType, T.FloatType)):

@@ -153,15 +153,18 @@ def page_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_uri(number: Column) -> Column:
-    return F.concat(F.lit(f"s3://{BUCKET}/docs/"), number.cast("string"), F.lit(".bin"))
+    """Address of a document; every tenth one is a stale address with no object."""
+    folder = F.when(number % 10 == 0, "gone").otherwise("docs")
+    return F.concat(F.lit(f"s3://{BUCKET}/"), folder, F.lit("/"), number.cast("string"), F.lit(".bin"))
 
 
 def document_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Object store content derived from the documents: every id not divisible
-    by 10, packed by id."""
-    d = table(spark, sf_dir, "documents", ["doc_id", "text"]).where("doc_id % 10 <> 0")
+    """Object store content: every document, packed by id."""
+    d = table(spark, sf_dir, "documents", ["doc_id", "text"])
     return d.select(
-        document_uri(F.col("doc_id")).alias("uri"),
+        F.concat(
+            F.lit(f"s3://{BUCKET}/docs/"), F.col("doc_id").cast("string"), F.lit(".bin")
+        ).alias("uri"),
         packed(kind_of(F.col("doc_id")), F.col("text")).alias("content"),
     )
 

@@ -98,7 +98,7 @@ def flow_records(spark, sf_dir):
     return record_summary(flow().run(spark, packed_events(spark, sf_dir)).output())
 
 
-@query("pipeline_metrics", METRICS_SQL)
+@query("queue_metrics", METRICS_SQL)
 def flow_metrics(spark, sf_dir):
     return flow().run(spark, packed_events(spark, sf_dir)).metrics()
 
@@ -128,7 +128,7 @@ def streamed(spark, sf_dir):
     return run_available(source, flow(), root, lateness_ms=WINDOW_MS)
 
 
-@query("stream_pipeline", RECORDS_SQL)
+@query("stream_records", RECORDS_SQL)
 def stream_records(spark, sf_dir):
     folders = streamed(spark, sf_dir)
     return record_summary(read_batches(spark, folders.records))
