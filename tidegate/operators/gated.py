@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidegate.operators.ranking import null_safe_join
@@ -53,12 +54,18 @@ def column(batch, name: str) -> np.ndarray:
 
 def run_starts(batch, names: list[str]) -> np.ndarray:
     """Indexes where a new run of equal values begins."""
-    change = np.zeros(batch.num_rows, dtype=bool)
-    if len(change):
+    rows = batch.num_rows
+    change = np.zeros(rows, dtype=bool)
+    if rows:
         change[0] = True
     for name in names:
-        values = column(batch, name)
-        change[1:] |= values[1:] != values[:-1]
+        values = batch.column(name)
+        if values.null_count:
+            values = column(batch, name)
+            change[1:] |= values[1:] != values[:-1]
+        elif rows > 1:
+            differs = pc.not_equal(values.slice(1), values.slice(0, rows - 1))
+            change[1:] |= differs.to_numpy(zero_copy_only=False)
     return np.flatnonzero(change)
 
 
