@@ -96,6 +96,20 @@ def test_stream_equals_table_and_resumes(spark):
     assert total == 5
 
 
+def keep_the_fifth(queue, entries):
+    assert queue in (FIFO, "https://queue.example.com/123456789012/test-queue") and len(entries) <= 10
+    return [m for m, _ in entries if m == "m-5"]
+
+
+def test_stream_deletes_after_writing(spark):
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    frame(spark, MESSAGES).coalesce(1).write.parquet(f"{root}/landing")
+    source = read_messages(spark, f"{root}/landing", streaming=True)
+    folders = run_available(source, pipeline(), root, delete=keep_the_fifth)
+    assert [r.message_id for r in read_batches(spark, folders.undeleted).collect()] == ["m-5"]
+    assert read_batches(spark, folders.ledger).count() == 7
+
+
 def test_replayed_batch_changes_nothing(spark):
     from tidegate.streaming.pipeline import MicroBatches, StreamFolders
 

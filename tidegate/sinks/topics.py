@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 from tidegate.operators.ack import ACK_BATCH
 
 
+Delete = Callable[[str, list[tuple[str, str]]], Iterable[str]]
+"""``delete(queue_url, [(message_id, receipt_handle), ...])`` -> ids it could not delete."""
+
+
 def batch_path(root: str, batch_id: int) -> str:
     return f"{root}/batch_id={batch_id}"
 
@@ -30,12 +34,9 @@ def append_ledger(ledger: DataFrame, root: str, batch_id: int) -> None:
     ledger.write.mode("overwrite").parquet(batch_path(root, batch_id))
 
 
-def delete_acknowledged(
-    ledger: DataFrame, delete: Callable[[str, list[tuple[str, str]]], Iterable[str]]
-) -> DataFrame:
+def delete_acknowledged(ledger: DataFrame, delete: Delete) -> DataFrame:
     """Run the delete requests of a ledger on the executors, at most ten entries
-    each. ``delete(queue_url, [(message_id, receipt_handle), ...])`` gives the ids
-    it could not delete; those are reported and come again."""
+    each. What could not be deleted is reported and comes again."""
 
     def run(batches):
         for pdf in batches:

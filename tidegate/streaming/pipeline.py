@@ -17,7 +17,9 @@ from tidegate.operators.dedup import KEYS as DEDUP_KEYS, dedup_states
 from tidegate.operators.gated import final_states
 from tidegate.operators.retry import KEYS as RETRY_KEYS, retry_states
 from tidegate.plans.pipeline import FOLD_COLUMNS, Outcome, Pipeline, emitted
-from tidegate.sinks.topics import append_ledger, batch_path, write_topic
+from tidegate.sinks.topics import (
+    Delete, append_ledger, batch_path, delete_acknowledged, write_topic,
+)
 
 # Fixed value: a queue keeps a message for two weeks at most.
 RETENTION_MS = 14 * 86_400_000
@@ -29,22 +31,31 @@ class StreamFolders:
 
     records: str
     ledger: str
+    undeleted: str
     metrics: str
     progress: str
 
     @staticmethod
     def below(root: str) -> "StreamFolders":
-        return StreamFolders(*(os.path.join(root, n) for n in ("records", "ledger", "metrics", "progress")))
+        names = ("records", "ledger", "undeleted", "metrics", "progress")
+        return StreamFolders(*(os.path.join(root, n) for n in names))
 
 
 class MicroBatches:
     """``foreachBatch`` body. ``lateness_ms``: how far behind the newest message a
     later one may lie and still meet its duplicate."""
 
-    def __init__(self, pipeline: Pipeline, folders: StreamFolders, lateness_ms: int):
+    def __init__(
+        self,
+        pipeline: Pipeline,
+        folders: StreamFolders,
+        lateness_ms: int,
+        delete: Delete | None = None,
+    ):
         self.pipeline = pipeline
         self.folders = folders
         self.lateness_ms = lateness_ms
+        self.delete = delete
 
     def stored(self, spark, df: DataFrame, name: str, batch_id: int) -> DataFrame:
         path = batch_path(os.path.join(self.folders.progress, name), batch_id)
@@ -93,6 +104,10 @@ class MicroBatches:
         outcome = Outcome(pipe, received, converted, decided)
         write_topic(outcome.output(), self.folders.records, batch_id)
         append_ledger(outcome.ledger(), self.folders.ledger, batch_id)
+        if self.delete is not None:
+            written = spark.read.parquet(batch_path(self.folders.ledger, batch_id))
+            missed = delete_acknowledged(written, self.delete)
+            missed.write.mode("overwrite").parquet(batch_path(self.folders.undeleted, batch_id))
         outcome.metrics().write.mode("overwrite").parquet(batch_path(self.folders.metrics, batch_id))
 
 
@@ -103,20 +118,29 @@ def start_stream(
     lateness_ms: int = 60_000,
     available_now: bool = True,
     interval: str = "10 seconds",
+    delete: Delete | None = None,
 ):
-    """Start the stream; results lie in the folders below ``root``."""
+    """Start the stream; results lie in the folders below ``root``. With ``delete``
+    the executors also send the delete requests of each batch, after its records and
+    ledger are written; what could not be deleted is listed and comes again."""
     folders = StreamFolders.below(root)
     writer = (
-        messages.writeStream.foreachBatch(MicroBatches(pipeline, folders, lateness_ms))
+        messages.writeStream.foreachBatch(MicroBatches(pipeline, folders, lateness_ms, delete))
         .option("checkpointLocation", os.path.join(folders.progress, "offsets"))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start(), folders
 
 
-def run_available(messages: DataFrame, pipeline: Pipeline, root: str, lateness_ms: int = 60_000):
+def run_available(
+    messages: DataFrame,
+    pipeline: Pipeline,
+    root: str,
+    lateness_ms: int = 60_000,
+    delete: Delete | None = None,
+):
     """Work off everything that is there, then stop."""
-    query, folders = start_stream(messages, pipeline, root, lateness_ms)
+    query, folders = start_stream(messages, pipeline, root, lateness_ms, delete=delete)
     query.awaitTermination()
     return folders
 
