@@ -9,7 +9,7 @@ from tidegate.operators.ack import ack_ledger, pending
 from tidegate.operators.dedup import dedup_states, drop_duplicates, flag_duplicates, tracked_ids
 from tidegate.operators.gated import final_states
 from tidegate.operators.ordering import fifo_order, group_positions
-from tidegate.operators.retry import RetryPolicy, retry_decisions, retry_states, retry_status
+from tidegate.operators.retry import RetryPolicy, retry_decisions, retry_status
 from tidegate.sinks.topics import delete_acknowledged
 from tests.helpers import frame, in_order, message
 

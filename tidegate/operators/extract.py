@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidegate.functions.jsonpath import compact_json, json_leaf, split_path
-from tidegate.operators.errors import outcome, settle, track_errors, usable
+from tidegate.operators.errors import outcome, settle, usable
 
 
 def struct_leaf(schema: T.DataType, col: Column, parts: list[str]) -> Column | None:

@@ -9,9 +9,9 @@ from tidegate.operators.catalog import (
 )
 from tidegate.operators.records import to_records
 from tidegate.operators.typed import (
-    conform, inferred_fields, is_json_object, schema_drift, validation_report,
+    conform, inferred_fields, schema_drift, validation_report,
 )
-from tidegate.plans.envelopes import events, order_messages, table
+from tidegate.plans.envelopes import events, order_messages
 from tidegate.plans.registry import query
 
 OBJECTS_SQL = """
