@@ -4,28 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidegate.llm import line_quality
 from tidegate.llm.ngram_join import ngram_jaccard_join
 from tidegate.llm.pfp_dedup import remove_repeated_strings
+from tidegate.llm.toxicity import is_held_out, toxicity_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity_scores(spark, docs, labels).select(
+        "doc_id", F.coalesce(is_held_out(), F.lit(False)).alias("held_out"), "score", "predicted"
+    )
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_strings(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.clean_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(spark, table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op5_line_quality": op5_line_quality,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_line_quality": line_quality.oracle_sql(),
+}
