@@ -27,6 +27,8 @@ PERCENT = 75
 #: Most shingles in the table of heavy ones, so that it may be broadcast (16 bytes each).
 #: A shingle beyond it counts as light: only the order differs, never a result.
 HEAVY_ROWS = 50_000
+#: Times from which a shingle counts as heavy.
+HEAVY = 8
 #: Words of 64 bits in a set's parity sketch.
 SKETCH = 8
 
@@ -127,7 +129,8 @@ def rolling() -> Rolling:
 
 
 def heavy_shingles(docs: DataFrame, words: int, most: int = HEAVY_ROWS):
-    """(shingles, counts) of the most frequent shingles, sorted by shingle; at most `most`.
+    """(shingles, counts, squares): the most frequent shingles in order, at most `most`, and
+    the sum of squared counts of all lighter ones that repeat.
 
     A task counts within runs of whole texts and passes on what it saw twice or more, so
     little is exchanged; the counts only order shingles, so this loses nothing.
@@ -142,13 +145,14 @@ def heavy_shingles(docs: DataFrame, words: int, most: int = HEAVY_ROWS):
         )
 
     seen = per_text(docs.select("text"), count, "shingle long, n long")
-    top = (
-        seen.groupBy("shingle").agg(F.sum("n").alias("n")).where("n >= 8")
-        .orderBy(F.desc("n"), "shingle").limit(most).toPandas().sort_values("shingle")
+    counted = materialize(
+        docs.sparkSession, seen.groupBy("shingle").agg(F.sum("n").alias("n")), "ngram-counts"
     )
+    top = counted.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "shingle").limit(most).toPandas()
+    squares = counted.where(F.col("n") < HEAVY).agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0
     value = top["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(value)
-    return value[order], top["n"].to_numpy(np.int64)[order]
+    return value[order], top["n"].to_numpy(np.int64)[order], float(squares)
 
 
 def boundary_size(load: float, percent: int) -> int:
@@ -290,9 +294,10 @@ def ngram_jaccard_join(
         F.min_by(F.struct("doc_id", "tie"), F.struct("doc_id", "tie")).alias("of")
     ).select("node", "of.*")
     heavy = heavy_shingles(keyed, words)
-    load = about.agg(F.sum("n_shingles")).first()[0] or 1
-    boundary = boundary_size(float((heavy[1].astype(float) ** 2).sum()) / load, percent)
-    repeated = keep_repeated(signatures(keyed, words, percent, heavy, boundary), "sig", ["doc_id", "tie"])
+    # Lists that are scanned are those of light shingles: how many others one meets there.
+    load = heavy[2] / (about.agg(F.sum("n_shingles")).first()[0] or 1)
+    boundary = boundary_size(load, percent)
+    repeated = keep_repeated(signatures(keyed, words, percent, heavy[:2], boundary), "sig", ["doc_id", "tie"])
     lists = materialize(
         spark,
         repeated.join(nodes, ["doc_id", "tie"]).join(
