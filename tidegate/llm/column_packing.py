@@ -10,20 +10,23 @@ any corpus; everything that grows is Spark's.
 
 from __future__ import annotations
 
+import os
 import zlib
-from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from tokenizers import Tokenizer
 
-from tidegate.llm.common import Rolling, pieces, text_buffer
-from tidegate.session import configure, materialize
+from tidegate.llm.common import Rolling, pieces, prepare, text_buffer
+from tidegate.session import materialize
 
 CAPACITY = 1024
 #: Tokens by which lengths are rounded up to classes.
-GRAIN = 4
+GRAIN = 8
 END_ID = 0
+#: Weight of the best known dual prices in those that price the next pattern.
+SMOOTH = 0.6
 #: Chunks of text whose ids a worker remembers.
 REMEMBERED = 400_000
 
@@ -41,15 +44,10 @@ class Encoder:
     """
 
     def __init__(self, path: str) -> None:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_file(path)
         self.rolling = Rolling()
         self.known: dict[int, int] = {}
-        self.ids: list[np.ndarray] = []
         self.flat = np.zeros(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
         self.strange = [c.encode() for c in _STRANGE_BLANKS]
@@ -85,8 +83,9 @@ class Encoder:
         for mark in self.strange:
             at = text.find(mark)
             while at >= 0:
-                odd.add(int(np.searchsorted(offsets, at, "right")) - 1)
-                at = text.find(mark, int(offsets[max(odd)]) if False else at + 1)
+                i = int(np.searchsorted(offsets, at, "right")) - 1
+                odd.add(i)
+                at = text.find(mark, int(offsets[i + 1]))
         if odd:
             first = np.isin(start, offsets[:-1])
             keep = first | ~np.isin(row, list(odd))
@@ -107,7 +106,7 @@ class Encoder:
         return ids, np.concatenate([[0], np.cumsum(counts)])
 
 
-_ENCODERS: OrderedDict[str, Encoder] = OrderedDict()
+_ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
@@ -176,13 +175,14 @@ def best_pattern(prices: np.ndarray, slots: int) -> tuple[float, np.ndarray]:
     return float(worth[slots]), pattern
 
 
-def solve_patterns(demand: np.ndarray, most_rounds: int = 4000) -> list[tuple[np.ndarray, float]]:
+def solve_patterns(demand: np.ndarray, gap: float = 0.002, most_rounds: int = 4000) -> list[tuple[np.ndarray, float]]:
     """Patterns and how often to use each, from the linear program's optimum.
 
     Revised simplex: the basis starts with one pattern per class, the dual prices come
-    from the kept inverse, and the dearest pattern enters until none is worth more than a
-    sequence. most_rounds only ends the search for a still better mix; any basis covers
-    the whole demand.
+    from the kept inverse, and the dearest pattern enters. The sum in use is at most the
+    worth of the dearest pattern times the optimum, so the search ends within `gap` of it;
+    most_rounds too only ends the search for a still better mix, as any basis covers the
+    whole demand.
     """
     slots = demand.size
     live = np.flatnonzero(demand)
@@ -192,15 +192,31 @@ def solve_patterns(demand: np.ndarray, most_rounds: int = 4000) -> list[tuple[np
     basis[np.arange(live.size), live] = slots // (live + 1)
     inverse = np.diag(1.0 / basis[np.arange(live.size), live])
     amount = inverse @ demand[live]
+    cost = np.ones(live.size)
+    need, held, best = demand.astype(float), None, 0.0
     for step in range(most_rounds):
         if step % 200 == 199:
             inverse = np.linalg.inv(basis[:, live].T.astype(float))
             amount = np.maximum(inverse @ demand[live], 0)
         prices = np.zeros(slots)
-        prices[live] = inverse.sum(0)
-        worth, pattern = best_pattern(np.maximum(prices, 0), slots)
-        if worth <= 1 + 1e-7:
-            break
+        prices[live] = cost @ inverse
+        lowest = int(prices.argmin())
+        if prices[lowest] < -1e-7:
+            # Holding more of a class than asked for is free: let its surplus enter.
+            pattern = np.zeros(slots, np.int64)
+            pattern[lowest] = -1
+        else:
+            # Prices between the current and the best known ones waver less.
+            calm = prices if held is None else SMOOTH * held + (1 - SMOOTH) * prices
+            worth, pattern = best_pattern(calm, slots)
+            if pattern @ prices <= 1 + 1e-9:
+                worth, pattern = best_pattern(prices, slots)
+                held = None
+                if worth <= 1 + gap:
+                    break
+            bound = prices @ need / worth
+            if held is None or bound > best:
+                held, best = calm, bound
         direction = inverse @ pattern[live]
         limits = np.where(direction > 1e-9, amount / np.where(direction > 1e-9, direction, 1), np.inf)
         out = int(limits.argmin())
@@ -212,8 +228,8 @@ def solve_patterns(demand: np.ndarray, most_rounds: int = 4000) -> list[tuple[np
         row = inverse[out] / direction[out]
         inverse = inverse - np.outer(direction, row)
         inverse[out] = row
-        basis[out] = pattern
-    return [(p, a) for p, a in zip(basis, amount) if a > 1e-9]
+        basis[out], cost[out] = pattern, pattern.min() >= 0
+    return [(p, a) for p, a in zip(basis, amount) if a > 1e-9 and p.min() >= 0]
 
 
 def fill_rest(demand: np.ndarray) -> list[np.ndarray]:
@@ -271,7 +287,7 @@ def pack_documents(
     Sequence numbers are dense; within one, pieces follow without gaps from 0. Repeated
     rows and null ids are documents of their own. Other columns are ignored.
     """
-    configure(spark)
+    prepare(spark)
     cut = materialize(spark, cut_documents(docs, path, capacity), "packing-pieces")
     full = cut.where(F.col("length") == capacity)
     rest = cut.where(F.col("length") < capacity).withColumn(

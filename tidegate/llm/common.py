@@ -8,7 +8,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.session import materialize
+from tidegate.session import configure, materialize
+
+#: Results that are read again lie in tables of the shared folder, so the shuffle files of a
+#: finished query are of no more use.
+SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    configure(spark)
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 #: Bytes of text handled by one round of array operations.
 PIECE_BYTES = 1 << 21

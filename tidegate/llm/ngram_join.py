@@ -18,9 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidegate.llm.common import (
-    GOLDEN, Rolling, connected_components, keep_repeated, mix, per_text, real_id, signed, stream, with_key,
+    GOLDEN, Rolling, connected_components, keep_repeated, mix, per_text, prepare, real_id, signed,
+    stream, with_key,
 )
-from tidegate.session import configure, materialize
+from tidegate.session import materialize
 
 WORDS = 5
 PERCENT = 75
@@ -30,7 +31,7 @@ HEAVY_ROWS = 50_000
 #: Times from which a shingle counts as heavy.
 HEAVY = 8
 #: Words of 64 bits in a set's parity sketch.
-SKETCH = 8
+SKETCH = 4
 
 
 def byte_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -218,20 +219,22 @@ def signatures(docs: DataFrame, words: int, percent: int, heavy, boundary: int)
     return per_text(docs, function, "sig long, doc_id long, tie int, pos int")
 
 
-def may_link(percent: int):
-    """The tests a pair (a, b) of list members must pass before its sets are compared."""
-    total = F.col("na") + F.col("nb")
-    need = F.ceil(total * F.lit(percent) / F.lit(100 + percent))
+def fits(percent: int):
+    """Sizes and places in the order allow members a and b of a list to be linked."""
+    need = F.ceil((F.col("na") + F.col("nb")) * F.lit(percent) / F.lit(100 + percent))
     left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    apart = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(SKETCH)), F.lit(0))
-    return (
-        (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        & ((F.col("pa") < 0) | (F.col("pb") < 0) | (left >= need))
-        & (apart * (100 + percent) <= total * (100 - percent))
+    return (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (
+        (F.col("pa") < 0) | (F.col("pb") < 0) | (left >= need)
     )
 
 
-def side(lists: DataFrame, s: str, more: list[str] | None = None) -> DataFrame:
+def near(percent: int):
+    """The parity sketches of a and b differ in no more places than linked sets can."""
+    apart = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(SKETCH)), F.lit(0))
+    return apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+
+
+def side(lists: DataFrame, s: str, more: list | None = None) -> DataFrame:
     sketch = [F.col(f"s{i}").alias(f"{s}{i}") for i in range(SKETCH)]
     return lists.select(
         "sig", F.col("node").alias(s), F.col("n_shingles").alias(f"n{s}"), F.col("pos").alias(f"p{s}"),
@@ -239,8 +242,20 @@ def side(lists: DataFrame, s: str, more: list[str] | None = None) -> DataFrame:
     )
 
 
-def verified(spark, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are alike enough."""
+def verified(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int,
+             percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole shingle sets are alike enough.
+
+    Sets are made of the texts of the nodes in question only.
+    """
+
+    def members(data, offsets, batch):
+        row, value = shingle_sets(data, offsets, words, rolling())
+        cuts = np.searchsorted(row, np.arange(offsets.size))
+        found = [value[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("node"), pa.array(found, pa.binary())], ["node", "members"]
+        )
 
     def compare(batches):
         for batch in batches:
@@ -251,6 +266,11 @@ def verified(spark, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFram
                 keep[i] = 100 * common >= percent * (x.size + y.size - common)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
+    pairs = materialize(spark, pairs, "ngram-pairs")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = docs.join(nodes.join(asked, "node").select("doc_id", "tie", "node"), ["doc_id", "tie"])
+    sets = per_text(texts, members, "node long, members binary").dropDuplicates(["node"])
+    sets = materialize(spark, sets, "ngram-members")
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("members").alias("sb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(
@@ -258,21 +278,6 @@ def verified(spark, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFram
     )
 
 
-def set_table(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(node, members): the whole shingle set of the documents wanted (doc_id, tie, node)."""
-
-    def function(data, offsets, batch):
-        row, value = shingle_sets(data, offsets, words, rolling())
-        cuts = np.searchsorted(row, np.arange(offsets.size))
-        members = [value[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-        return pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.array(members, pa.binary())], ["node", "members"]
-        )
-
-    texts = docs.join(wanted.select("doc_id", "tie", "node"), ["doc_id", "tie"])
-    return per_text(texts, function, "node long, members binary").dropDuplicates(["node"])
-
-
 def ngram_jaccard_join(
     spark: SparkSession, docs: DataFrame, words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -284,40 +289,41 @@ def ngram_jaccard_join(
     doc_id stays null and, having no order, never names a component unless it stands alone.
     Repeated rows come back as often as they came in. Other columns are ignored.
     """
-    configure(spark)
+    prepare(spark)
     keyed = with_key(docs)
     about = materialize(spark, describe(keyed, words), "ngram-sets")
     full = about.where("n_shingles > 0")
     sketch = [f"s{i}" for i in range(SKETCH)]
     # Any document of a node can stand for it: the one that sorts first.
-    nodes = full.groupBy("node").agg(
-        F.min_by(F.struct("doc_id", "tie"), F.struct("doc_id", "tie")).alias("of")
-    ).select("node", "of.*")
+    first = F.min_by(F.struct("doc_id", "tie", "n_shingles", *sketch), F.struct("doc_id", "tie"))
+    nodes = materialize(spark, full.groupBy("node").agg(first.alias("of")).select("node", "of.*"), "ngram-nodes")
     heavy = heavy_shingles(keyed, words)
     # Lists that are scanned are those of light shingles: how many others one meets there.
     load = heavy[2] / (about.agg(F.sum("n_shingles")).first()[0] or 1)
     boundary = boundary_size(load, percent)
     repeated = keep_repeated(signatures(keyed, words, percent, heavy[:2], boundary), "sig", ["doc_id", "tie"])
     lists = materialize(
-        spark,
-        repeated.join(nodes, ["doc_id", "tie"]).join(
-            full.select("doc_id", "tie", "n_shingles", *sketch).dropDuplicates(["doc_id", "tie"]),
-            ["doc_id", "tie"],
-        ),
-        "ngram-lists",
+        spark, repeated.join(nodes.select("doc_id", "tie", "node", "n_shingles"), ["doc_id", "tie"])
+        .select("sig", "node", "n_shingles", "pos"), "ngram-lists",
     )
-    ids = lists.select("doc_id", "tie", "node").distinct()
-    sets = materialize(spark, set_table(keyed, ids, words), "ngram-members")
 
     # First scan: every member of a list against its pivot.
     pivots = lists.groupBy("sig").agg(
-        F.max_by(
-            F.struct("node", "n_shingles", "pos", *sketch), F.struct(F.xxhash64("node"), "node")
-        ).alias("p"), F.min("node").alias("low"), F.max("node").alias("high"),
-    ).where("low < high").select("sig", "p.*")
-    starred = side(lists, "a").join(side(pivots, "b"), "sig").where("a <> b").where(may_link(percent))
-    pairs = starred.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = materialize(spark, verified(spark, pairs, sets, percent), "ngram-links")
+        F.max_by(F.struct("node", "n_shingles", "pos"), F.struct(F.xxhash64("node"), "node")).alias("p"),
+        F.min("node").alias("low"), F.max("node").alias("high"),
+    ).where("low < high").select(
+        "sig", F.col("p.node").alias("b"), F.col("p.n_shingles").alias("nb"), F.col("p.pos").alias("pb")
+    )
+    starred = lists.select(
+        "sig", F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("pos").alias("pa")
+    ).join(pivots, "sig").where("a <> b").where(fits(percent))
+    starred = starred.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for s in "ab":
+        starred = starred.join(
+            nodes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n{s}"),
+                         *[F.col(c).alias(f"{s}{i}") for i, c in enumerate(sketch)]), s)
+    pairs = starred.where(near(percent)).select("a", "b")
+    links = materialize(spark, verified(spark, keyed, nodes, pairs, words, percent), "ngram-links")
     groups = materialize(spark, connected_components(spark, links, "ngram-groups"), "ngram-grouped")
 
     # Second scan: within a list, only members of different groups, the largest group of
@@ -327,14 +333,18 @@ def ngram_jaccard_join(
     major = weight.groupBy("sig").agg(
         F.max_by("component", F.struct("n", "component")).alias("major"), F.count("*").alias("groups")
     ).where("groups > 1").select("sig", "major")
-    open_lists = materialize(spark, placed.join(major, "sig"), "ngram-open")
+    open_lists = materialize(
+        spark, placed.join(major, "sig").join(nodes.select("node", *sketch), "node"), "ngram-open"
+    )
     minor = side(open_lists.where("component <> major"), "a", [F.col("component").alias("ca")])
-    every = side(open_lists, "b", [F.col("component").alias("cb"), (F.col("component") == F.col("major")).alias("in_major")])
+    every = side(
+        open_lists, "b", [F.col("component").alias("cb"), (F.col("component") == F.col("major")).alias("in_major")]
+    )
     crossed = minor.join(every, "sig").where(
         (F.col("ca") != F.col("cb")) & (F.col("in_major") | (F.col("a") < F.col("b")))
-    ).where(may_link(percent))
+    ).where(fits(percent) & near(percent))
     pairs = crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    late = verified(spark, pairs, sets, percent)
+    late = verified(spark, keyed, nodes, pairs, words, percent)
     star = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = connected_components(spark, late.unionByName(star), "ngram-components")
 

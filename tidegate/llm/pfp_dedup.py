@@ -19,9 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidegate.llm.common import (
-    Rolling, keep_repeated, mix, per_text, pieces, signed, text_buffer, with_key,
+    Rolling, keep_repeated, mix, per_text, pieces, prepare, signed, text_buffer,
+    with_key,
 )
-from tidegate.session import configure, materialize
+from tidegate.session import materialize
 
 LENGTH = 400
 #: Bytes a trigger looks at, mean bytes between triggers (a power of two), windows of a block.
@@ -374,7 +375,7 @@ def remove_repeated_strings(spark: SparkSession, docs: DataFrame, length: int =
     """
     if length <= TRIGGER + BLOCK:
         raise ValueError(f"length must be over {TRIGGER + BLOCK}")
-    configure(spark)
+    prepare(spark)
     keyed = with_key(docs)
     spans = repeated_spans(spark, keyed, length)
     cut = materialize(

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.llm import line_quality
+from tidegate.llm.column_packing import pack_documents
 from tidegate.llm.ngram_join import ngram_jaccard_join
 from tidegate.llm.pfp_dedup import remove_repeated_strings
 from tidegate.llm.toxicity import is_held_out, toxicity_scores
@@ -35,6 +37,11 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_column_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return pack_documents(spark, table(spark, sf_dir, "documents"), path)
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(spark, table(spark, sf_dir, "documents"))
 
@@ -43,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op5_line_quality": op5_line_quality,
+    "op8_column_packing": op8_column_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 

@@ -17,7 +17,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.session import configure, materialize
+from tidegate.llm.common import prepare
+from tidegate.session import materialize
 
 #: Labelled rows used at most, per class: the bound of the training sample.
 SAMPLE_PER_CLASS = 12_000
@@ -260,7 +261,7 @@ def toxicity_scores(
     that are null or neither 0 nor 1 are not learned from, of repeated labels the toxic
     one counts. Other columns are ignored.
     """
-    configure(spark)
+    prepare(spark)
     model = train_toxicity(spark, docs, labels)
     scored = model.score(docs, keep or ["doc_id"])
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
