@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import line_quality
+from tidegate.llm import line_quality, url_aliases
+from tidegate.llm.arc_convert import pages_through_archives
 from tidegate.llm.column_packing import pack_documents
 from tidegate.llm.ngram_join import ngram_jaccard_join
 from tidegate.llm.pfp_dedup import remove_repeated_strings
@@ -18,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_arc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_through_archives(spark, table(spark, sf_dir, "pages"))
+
+
+def op6_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_aliases.judge_urls(spark, table(spark, sf_dir, "pages"), url_aliases.RULES)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity_scores(spark, docs, labels).select(
@@ -47,6 +56,8 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_arc_convert": op1_arc_convert,
+    "op6_url_aliases": op6_url_aliases,
     "op2_toxicity": op2_toxicity,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op5_line_quality": op5_line_quality,
