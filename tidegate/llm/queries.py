@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegate.llm import line_quality, url_aliases
 from tidegate.llm.arc_convert import pages_through_archives
 from tidegate.llm.column_packing import pack_documents
+from tidegate.llm.lcp_fingerprint import locally_consistent_fingerprints
 from tidegate.llm.ngram_join import ngram_jaccard_join
 from tidegate.llm.pfp_dedup import remove_repeated_strings
+from tidegate.llm.sentence_spans import remove_repeated_sentences
 from tidegate.llm.toxicity import is_held_out, toxicity_scores
 
 
@@ -23,6 +25,15 @@ def op1_arc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_through_archives(spark, table(spark, sf_dir, "pages"))
 
 
+def op4_lcp_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return locally_consistent_fingerprints(spark, table(spark, sf_dir, "documents"))
+
+
+def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeated_sentences(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_sentences", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_aliases.judge_urls(spark, table(spark, sf_dir, "pages"), url_aliases.RULES)
 
@@ -57,6 +68,8 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_arc_convert": op1_arc_convert,
+    "op4_lcp_fingerprint": op4_lcp_fingerprint,
+    "op9_sentence_spans": op9_sentence_spans,
     "op6_url_aliases": op6_url_aliases,
     "op2_toxicity": op2_toxicity,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
