@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from tidegate.llm.common import Rolling, pieces, prepare, text_buffer
+from tidegate.llm.common import SegmentMemo, pieces, prepare, text_buffer
 from tidegate.session import materialize
 
 CAPACITY = 1024
@@ -27,8 +27,6 @@ GRAIN = 8
 END_ID = 0
 #: Weight of the best known dual prices in those that price the next pattern.
 SMOOTH = 0.6
-#: Chunks of text whose ids a worker remembers.
-REMEMBERED = 400_000
 
 #: White space beyond ASCII's, which the pre-tokenizer treats like a blank.
 _STRANGE_BLANKS = [chr(c) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
@@ -38,72 +36,40 @@ class Encoder:
     """Token ids of whole texts by the tokenizer file, remembering words.
 
     Byte-level pre-tokenization cuts before a blank that stands alone between characters
-    that are none, so a text is the chunks between such places and its ids are those of
-    its chunks in order. Each different chunk is encoded once. Texts with blanks other
+    that are none, so a text is the segments between such places and its ids are those of
+    its segments in order. Each different segment is encoded once. Texts with blanks other
     than space, line feed and the like are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.rolling = Rolling()
-        self.known: dict[int, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.starts = np.zeros(1, np.int64)
+        self.memo = SegmentMemo(self.tokenize)
         self.strange = [c.encode() for c in _STRANGE_BLANKS]
 
-    def _learn(self, chunks: list[str], names: list[int]) -> None:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        new = [np.array(e.ids, np.uint32) for e in found]
-        base = len(self.starts) - 1
-        self.known.update(zip(names, range(base, base + len(new))))
-        sizes = np.fromiter(map(len, new), np.int64, len(new))
-        self.flat = np.concatenate([self.flat, *new])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+    def tokenize(self, segments: list[bytes]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([s.decode() for s in segments], add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts end to end, where each text's ids start)."""
-        n = offsets.size - 1
-        if not data.size:
-            return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
-        if len(self.known) > REMEMBERED:
-            self.known, self.flat, self.starts = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         blank = np.zeros(256, bool)
         blank[[32, *range(9, 14), *range(28, 32)]] = True
         is_blank = blank[data]
         cut = np.zeros(data.size, bool)
         alone = (data == 32) | (data == 10)
         cut[1:-1] = alone[1:-1] & ~is_blank[:-2] & ~is_blank[2:]
-        cut[offsets[:-1][offsets[:-1] < data.size]] = True
-        start = np.flatnonzero(cut)
-        row = np.searchsorted(offsets, start, "right") - 1
         text = data.tobytes()
-        # Texts with strange blanks stay in one chunk.
-        odd = set()
         for mark in self.strange:
             at = text.find(mark)
             while at >= 0:
                 i = int(np.searchsorted(offsets, at, "right")) - 1
-                odd.add(i)
+                cut[offsets[i] : offsets[i + 1]] = False
                 at = text.find(mark, int(offsets[i + 1]))
-        if odd:
-            first = np.isin(start, offsets[:-1])
-            keep = first | ~np.isin(row, list(odd))
-            start, row = start[keep], row[keep]
-        end = np.append(start[1:], data.size)
-        name = self.rolling.ranges(self.rolling.sums(data), start, end)
-        unique, index, inverse = np.unique(name, return_index=True, return_inverse=True)
-        names = unique.tolist()
-        fresh = [i for i, key in enumerate(names) if key not in self.known]
-        if fresh:
-            at = index[fresh]
-            self._learn([text[a:b].decode() for a, b in zip(start[at], end[at])], [names[i] for i in fresh])
-        slot = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))[inverse]
-        size = self.starts[slot + 1] - self.starts[slot]
-        total = np.cumsum(size)
-        ids = self.flat[np.repeat(self.starts[slot] - (total - size), size) + np.arange(total[-1])]
-        counts = np.bincount(row, weights=size, minlength=n).astype(np.int64)
-        return ids, np.concatenate([[0], np.cumsum(counts)])
+        return cut
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, where each text's ids start)."""
+        return self.memo.encode(data, offsets, self.cuts(data, offsets))
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -101,6 +101,61 @@ def pieces(offsets: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
+#: Segments of text whose ids a worker remembers.
+REMEMBERED = 400_000
+
+
+class SegmentMemo:
+    """Ids of texts that are cut into segments, each different segment encoded once.
+
+    tokenize(list of segments as bytes) gives an array of ids for each.
+    """
+
+    def __init__(self, tokenize: Callable[[list[bytes]], list[np.ndarray]]) -> None:
+        self.tokenize = tokenize
+        self.rolling = Rolling()
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.flat = np.zeros(0, np.uint32)
+        self.starts = np.zeros(1, np.int64)
+
+    def learn(self, segments: list[bytes], names: list[int]) -> None:
+        new = self.tokenize(segments)
+        base = len(self.starts) - 1
+        self.known.update(zip(names, range(base, base + len(new))))
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        self.flat = np.concatenate([self.flat, *new])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, where each text's ids start); cut marks segment
+        starts beside those of the texts."""
+        n = offsets.size - 1
+        if not data.size:
+            return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        cut[offsets[:-1][offsets[:-1] < data.size]] = True
+        start = np.flatnonzero(cut)
+        row = np.searchsorted(offsets, start, "right") - 1
+        end = np.append(start[1:], data.size)
+        name = self.rolling.ranges(self.rolling.sums(data), start, end)
+        unique, index, inverse = np.unique(name, return_index=True, return_inverse=True)
+        names = unique.tolist()
+        fresh = [i for i, key in enumerate(names) if key not in self.known]
+        if fresh:
+            at = index[fresh]
+            self.learn([data[a:b].tobytes() for a, b in zip(start[at], end[at])], [names[i] for i in fresh])
+        slot = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))[inverse]
+        size = self.starts[slot + 1] - self.starts[slot]
+        total = np.cumsum(size)
+        ids = self.flat[np.repeat(self.starts[slot] - (total - size), size) + np.arange(total[-1])]
+        counts = np.bincount(row, weights=size, minlength=n).astype(np.int64)
+        return ids, np.concatenate([[0], np.cumsum(counts)])
+
+
 def per_text(
     df: DataFrame,
     function: Callable[[np.ndarray, np.ndarray, pa.RecordBatch], pa.RecordBatch | None],

@@ -13,6 +13,7 @@ from tidegate.llm.column_packing import pack_documents
 from tidegate.llm.lcp_fingerprint import locally_consistent_fingerprints
 from tidegate.llm.ngram_join import ngram_jaccard_join
 from tidegate.llm.pfp_dedup import remove_repeated_strings
+from tidegate.llm.piece_scan import encode_pieces, encoding_digests
 from tidegate.llm.sentence_spans import remove_repeated_sentences
 from tidegate.llm.toxicity import is_held_out, toxicity_scores
 
@@ -29,6 +30,11 @@ def op4_lcp_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return locally_consistent_fingerprints(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return encoding_digests(encode_pieces(spark, table(spark, sf_dir, "documents"), path), path)
+
+
 def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_sentences(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_sentences", "n_removed", "n_spans", "kept_sha256")
@@ -69,6 +75,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_arc_convert": op1_arc_convert,
     "op4_lcp_fingerprint": op4_lcp_fingerprint,
+    "op7_piece_scan": op7_piece_scan,
     "op9_sentence_spans": op9_sentence_spans,
     "op6_url_aliases": op6_url_aliases,
     "op2_toxicity": op2_toxicity,
