@@ -22,6 +22,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def discard(spark: SparkSession, table: DataFrame) -> None:
+    """Remove the files of a table that materialize wrote, once nothing reads it any more."""
+    files = table.inputFiles()
+    if files:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Bytes of text handled by one round of array operations.
 PIECE_BYTES = 1 << 21
 GOLDEN = 0x9E3779B97F4A7C15

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidegate.llm.common import (
-    GOLDEN, Rolling, connected_components, keep_repeated, mix, per_text, prepare, real_id, signed,
+    GOLDEN, Rolling, connected_components, discard, keep_repeated, mix, per_text, prepare, real_id, signed,
     stream, with_key,
 )
 from tidegate.session import materialize
@@ -30,8 +30,9 @@ PERCENT = 75
 HEAVY_ROWS = 50_000
 #: Times from which a shingle counts as heavy.
 HEAVY = 8
-#: Words of 64 bits in a set's parity sketch.
+#: Words of 64 bits in a set's parity sketch, and bits of the wide one of candidates.
 SKETCH = 4
+WIDE = 8192
 
 
 def byte_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -246,17 +247,33 @@ def verified(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: Data
              percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose whole shingle sets are alike enough.
 
-    Sets are made of the texts of the nodes in question only.
+    Sets are made of the texts of the nodes in question only. A pair is first tested on
+    wide parity sketches, which no linked pair fails, and the rest on the sets.
     """
 
     def members(data, offsets, batch):
         row, value = shingle_sets(data, offsets, words, rolling())
         cuts = np.searchsorted(row, np.arange(offsets.size))
-        found = [value[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+        sets = [value[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        place = (value % np.uint64(WIDE)).astype(np.int64)
+        bits = [np.bincount(place[a:b], minlength=WIDE) & 1 for a, b in zip(cuts[:-1], cuts[1:])]
         return pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.array(found, pa.binary())], ["node", "members"]
+            [batch.column("node"), pa.array(np.diff(cuts)),
+             pa.array([np.packbits(x.astype(np.uint8)).tobytes() for x in bits], pa.binary()),
+             pa.array([x.tobytes() for x in sets], pa.binary())],
+            ["node", "n", "sketch", "members"],
         )
 
+    def could(batches):
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            for i, (x, y, total) in enumerate(zip(
+                batch.column("sa"), batch.column("sb"), batch.column("total").to_numpy(zero_copy_only=False)
+            )):
+                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
+                keep[i] = int(np.bitwise_count(x ^ y).sum()) * (100 + percent) <= total * (100 - percent)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
     def compare(batches):
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
@@ -266,16 +283,23 @@ def verified(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: Data
                 keep[i] = 100 * common >= percent * (x.size + y.size - common)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
+    def with_both(rows, column):
+        for s in "ab":
+            rows = rows.join(sets.select(
+                F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col(column).alias(f"s{s}")), s)
+        return rows
+
     pairs = materialize(spark, pairs, "ngram-pairs")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = docs.join(nodes.join(asked, "node").select("doc_id", "tie", "node"), ["doc_id", "tie"])
-    sets = per_text(texts, members, "node long, members binary").dropDuplicates(["node"])
-    sets = materialize(spark, sets, "ngram-members")
-    left = sets.select(F.col("node").alias("a"), F.col("members").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("members").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(
-        compare, "a long, b long"
-    )
+    made = per_text(texts, members, "node long, n long, sketch binary, members binary")
+    sets = materialize(spark, made.dropDuplicates(["node"]), "ngram-members")
+    left = with_both(pairs, "sketch").select("a", "b", "sa", "sb", (F.col("na") + F.col("nb")).alias("total"))
+    close = materialize(spark, left.mapInArrow(could, "a long, b long"), "ngram-close")
+    links = with_both(close, "members").select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
+    links = materialize(spark, links, "ngram-links")
+    discard(spark, sets)
+    return links
 
 
 def ngram_jaccard_join(
@@ -323,7 +347,7 @@ def ngram_jaccard_join(
             nodes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n{s}"),
                          *[F.col(c).alias(f"{s}{i}") for i, c in enumerate(sketch)]), s)
     pairs = starred.where(near(percent)).select("a", "b")
-    links = materialize(spark, verified(spark, keyed, nodes, pairs, words, percent), "ngram-links")
+    links = verified(spark, keyed, nodes, pairs, words, percent)
     groups = materialize(spark, connected_components(spark, links, "ngram-groups"), "ngram-grouped")
 
     # Second scan: within a list, only members of different groups, the largest group of
