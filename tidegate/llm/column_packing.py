@@ -36,8 +36,9 @@ class Encoder:
     """Token ids of whole texts by the tokenizer file, remembering words.
 
     Byte-level pre-tokenization cuts before a blank that stands alone between characters
-    that are none, so a text is the segments between such places and its ids are those of
-    its segments in order. Each different segment is encoded once. Texts with blanks other
+    that are none, behind it if it is a line feed, and between a letter and a stop or
+    comma. So a text is the segments between such places and its ids are those of its
+    segments in order. Each different segment is encoded once. Texts with blanks other
     than space, line feed and the like are encoded whole.
     """
 
@@ -58,6 +59,11 @@ class Encoder:
         cut = np.zeros(data.size, bool)
         alone = (data == 32) | (data == 10)
         cut[1:-1] = alone[1:-1] & ~is_blank[:-2] & ~is_blank[2:]
+        cut[1:] |= cut[:-1] & (data[:-1] == 10)
+        letter, mark = np.zeros(256, bool), np.zeros(256, bool)
+        letter[[*range(65, 91), *range(97, 123)]] = True
+        mark[list(b".,;:!?")] = True
+        cut[1:] |= mark[data[1:]] & letter[data[:-1]]
         text = data.tobytes()
         for mark in self.strange:
             at = text.find(mark)

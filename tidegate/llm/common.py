@@ -109,14 +109,15 @@ def pieces(offsets: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-#: Segments of text whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Segments of text whose ids a worker remembers, some 40 bytes each.
+REMEMBERED = 3_000_000
 
 
 class SegmentMemo:
     """Ids of texts that are cut into segments, each different segment encoded once.
 
-    tokenize(list of segments as bytes) gives an array of ids for each.
+    tokenize(list of segments as bytes) gives an array of ids for each. What is known lies
+    in sorted arrays: a large one, and a recent one that is merged into it now and then.
     """
 
     def __init__(self, tokenize: Callable[[list[bytes]], list[np.ndarray]]) -> None:
@@ -125,17 +126,43 @@ class SegmentMemo:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.starts = np.zeros(1, np.int64)
+        self.tiers = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(2)]
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.starts = np.zeros(1 << 14, np.int64)
+        self.sizes = np.zeros(1 << 14, np.int32)
+        self.count = self.filled = 0
+
+    def slots(self, names: np.ndarray) -> np.ndarray:
+        """Where each of the sorted names is known, -1 for unknown ones."""
+        out = np.full(names.size, -1, np.int64)
+        for keys, slots in self.tiers:
+            if keys.size:
+                at = np.minimum(np.searchsorted(keys, names), keys.size - 1)
+                hit = keys[at] == names
+                out[hit] = slots[at[hit]]
+        return out
 
-    def learn(self, segments: list[bytes], names: list[int]) -> None:
+    def learn(self, segments: list[bytes], names: np.ndarray) -> np.ndarray:
         new = self.tokenize(segments)
-        base = len(self.starts) - 1
-        self.known.update(zip(names, range(base, base + len(new))))
+        ids = np.concatenate(new) if new else np.zeros(0, np.uint32)
         sizes = np.fromiter(map(len, new), np.int64, len(new))
-        self.flat = np.concatenate([self.flat, *new])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        while self.filled + ids.size > self.flat.size:
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.count + sizes.size > self.starts.size:
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+        slots = np.arange(self.count, self.count + sizes.size)
+        self.flat[self.filled : self.filled + ids.size] = ids
+        self.starts[slots] = self.filled + np.cumsum(sizes) - sizes
+        self.sizes[slots] = sizes
+        self.count += sizes.size
+        self.filled += ids.size
+        large, recent = self.tiers
+        recent = merged(recent, (names, slots))
+        if recent[0].size > 20_000 + large[0].size // 4:
+            large, recent = merged(large, recent), (recent[0][:0], recent[1][:0])
+        self.tiers = [large, recent]
+        return slots
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, where each text's ids start); cut marks segment
@@ -143,27 +170,35 @@ class SegmentMemo:
         n = offsets.size - 1
         if not data.size:
             return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
-        if len(self.known) > REMEMBERED:
+        if self.count > REMEMBERED:
             self.forget()
         cut[offsets[:-1][offsets[:-1] < data.size]] = True
         start = np.flatnonzero(cut)
         row = np.searchsorted(offsets, start, "right") - 1
         end = np.append(start[1:], data.size)
         name = self.rolling.ranges(self.rolling.sums(data), start, end)
-        unique, index, inverse = np.unique(name, return_index=True, return_inverse=True)
-        names = unique.tolist()
-        fresh = [i for i, key in enumerate(names) if key not in self.known]
-        if fresh:
-            at = index[fresh]
-            self.learn([data[a:b].tobytes() for a, b in zip(start[at], end[at])], [names[i] for i in fresh])
-        slot = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))[inverse]
-        size = self.starts[slot + 1] - self.starts[slot]
+        names, index, inverse = np.unique(name, return_index=True, return_inverse=True)
+        slot = self.slots(names)
+        fresh = np.flatnonzero(slot < 0)
+        if fresh.size:
+            text, at = data.tobytes(), index[fresh]
+            slot[fresh] = self.learn(
+                [text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())], names[fresh]
+            )
+        slot = slot[inverse]
+        size = self.sizes[slot].astype(np.int64)
         total = np.cumsum(size)
         ids = self.flat[np.repeat(self.starts[slot] - (total - size), size) + np.arange(total[-1])]
         counts = np.bincount(row, weights=size, minlength=n).astype(np.int64)
         return ids, np.concatenate([[0], np.cumsum(counts)])
 
 
+def merged(a, b):
+    keys, slots = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+    order = np.argsort(keys, kind="stable")
+    return keys[order], slots[order]
+
+
 def per_text(
     df: DataFrame,
     function: Callable[[np.ndarray, np.ndarray, pa.RecordBatch], pa.RecordBatch | None],
