@@ -74,15 +74,21 @@ def numeric_condition(text: Column, spec) -> Column | None:
 
 
 class Attribute:
-    """Presence and text of one user attribute, from the map or from a promoted column."""
+    """Presence and text of one user attribute, from the map or from a promoted column.
 
-    def __init__(self, name: str, attributes: Column, promoted: tuple[str, ...]):
+    Rows of files that were written without the column have no presence there and are
+    answered by the map, unless ``stored_only`` says that there are none of those."""
+
+    def __init__(self, name: str, attributes: Column, promoted: tuple[str, ...], stored_only: bool):
+        entry = F.try_element_at(attributes, F.lit(name))
+        self.present, self.text = entry.isNotNull(), entry["string_value"]
         if name in promoted:
             stored = F.col("promoted")[name]
-            self.present, self.text = stored["present"], stored["text"]
-        else:
-            entry = F.try_element_at(attributes, F.lit(name))
-            self.present, self.text = entry.isNotNull(), entry["string_value"]
+            if stored_only:
+                self.present, self.text = stored["present"], stored["text"]
+            else:
+                self.text = F.when(stored["present"].isNull(), self.text).otherwise(stored["text"])
+                self.present = F.coalesce(stored["present"], self.present)
 
 
 def one_condition(attribute: Attribute, condition) -> Column | None:
@@ -104,15 +110,18 @@ def one_condition(attribute: Attribute, condition) -> Column | None:
 
 
 def policy_condition(
-    text: str | None, attributes: Column | None = None, promoted: tuple[str, ...] = ()
+    text: str | None,
+    attributes: Column | None = None,
+    promoted: tuple[str, ...] = (),
+    stored_only: bool = False,
 ) -> Column:
     """AND over attributes of OR over conditions; an attribute without a usable
     condition matches nothing. Unknown counts as no, as in any ``where``: nothing
-    is negated, and bare comparisons can reach the file scan."""
+    is negated. With ``stored_only`` bare comparisons can reach the file scan."""
     attributes = F.col("message_attributes") if attributes is None else attributes
     rules = []
     for name, conditions in parse_policy(text).items():
-        attribute = Attribute(name, attributes, promoted)
+        attribute = Attribute(name, attributes, promoted, stored_only)
         tests = [one_condition(attribute, c) for c in conditions]
         tests = [t for t in tests if t is not None]
         rules.append(reduce(or_, tests) if tests else F.lit(False))

@@ -52,7 +52,7 @@ def fetch(
     none = F.lit(None)
     if df.isStreaming:
         # A micro-batch joins the static objects directly.
-        decoded = objects.withColumnRenamed("uri", "fetch_key").withColumn(
+        decoded = one_per_address(objects).withColumnRenamed("uri", "fetch_key").withColumn(
             "fetch_plain", F.explode(F.array(F.lit(True), F.lit(False)))
         )
         decoded = decoded.select("fetch_key", "fetch_plain", content_of(fmt, try_base64).alias(out))
@@ -66,14 +66,15 @@ def fetch(
         ways = F.array_distinct(F.transform("uses", lambda u: u["fetch_plain"]))
         salts = F.filter("uses", lambda u: u["fetch_plain"] == F.col("fetch_plain"))
         decoded = (
-            objects.withColumnRenamed("uri", "fetch_key")
-            .join(wanted, "fetch_key")
+            one_per_address(objects).withColumnRenamed("uri", "fetch_key")
+            .join(wanted.hint("merge"), "fetch_key")
             .select("fetch_key", "uses", "content", F.explode(ways).alias("fetch_plain"))
             .select("fetch_key", salts.alias("uses"), content_of(fmt, try_base64).alias(out))
             .select("fetch_key", F.explode("uses").alias("use"), out)
             .select("fetch_key", "use.*", out)
         )
-        joined = rows.join(decoded, ["fetch_key", "fetch_plain", "fetch_salt"], "left")
+        # Contents grow when they are unpacked: neither side is built as a broadcast.
+        joined = rows.join(decoded.hint("merge"), ["fetch_key", "fetch_plain", "fetch_salt"], "left")
     missing = F.when(
         F.col(uri).rlike(URI_PATTERN),
         outcome(none, F.lit("ObjectNotFound"), F.concat(F.lit("Object not found: "), F.col(uri))),
@@ -85,6 +86,14 @@ def fetch(
     ).drop("fetch_key", "fetch_salt", "fetch_plain")
 
 
+def one_per_address(objects: DataFrame) -> DataFrame:
+    """An address listed twice is one object: the latest where the listing has a
+    ``modification_time``, else the one with the largest content."""
+    newest = [c for c in ("modification_time",) if c in objects.columns]
+    keys = F.struct(*newest, F.length("content"), "content")
+    return objects.groupBy("uri").agg(F.max_by("content", keys).alias("content"))
+
+
 def content_of(fmt: str | None, try_base64: bool) -> Column:
     """Object content as text: as it is where ``fetch_plain`` holds, else decoded."""
     as_it_is = decode_object(F.col("content"))

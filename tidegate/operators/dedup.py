@@ -12,10 +12,12 @@ from tidegate.schemas import DEFAULT_DEDUP_WINDOW_MS
 KEYS = ["queue_url", "dedup_key"]
 
 
-def dedup_id() -> Column:
-    """The id to compare, null for rows that are never duplicates."""
+def dedup_id(fifo: Column | None = None) -> Column:
+    """The id to compare, null for rows that are never duplicates: those of queues
+    that are not ordered, without an id, or without a receive time."""
     value = system_attribute("MessageDeduplicationId")
-    return F.when(is_fifo() & (value != ""), value)
+    ordered = is_fifo() if fifo is None else fifo
+    return F.when(ordered & (value != "") & F.col("received_at").isNotNull(), value)
 
 
 def dedup_machine(window_ms: int) -> Machine:
@@ -28,9 +30,9 @@ def dedup_machine(window_ms: int) -> Machine:
     return Machine(1, window_ms, (), steps)
 
 
-def keyed_rows(df: DataFrame, segment_ms: int, eligible: Column | None) -> DataFrame:
-    t = F.unix_millis("received_at")
-    compared = dedup_id() if eligible is None else F.when(eligible, dedup_id())
+def keyed_rows(df: DataFrame, segment_ms: int, eligible: Column | None, fifo: Column | None) -> DataFrame:
+    t = F.coalesce(F.unix_millis("received_at"), F.lit(0))
+    compared = dedup_id(fifo) if eligible is None else F.when(eligible, dedup_id(fifo))
     # Exempt rows get a filler key that spreads them over tasks.
     return df.withColumns(
         {
@@ -47,12 +49,13 @@ def dedup_states(
     window_ms: int,
     segment_ms: int = SEGMENT_MS,
     eligible: Column | None = None,
+    fifo: Column | None = None,
     **carry,
 ) -> DataFrame:
     """Entry states of the segments; ``carry`` passes states between micro-batches."""
     # Within one millisecond only the first row can be taken: distinct instants
     # are enough here, and they shrink a hot id before its shuffle.
-    keyed = keyed_rows(df, segment_ms, eligible).where(~F.col("exempt"))
+    keyed = keyed_rows(df, segment_ms, eligible, fifo).where(~F.col("exempt"))
     instants = keyed.select(*KEYS, "segment", "t_ms").distinct()
     return entry_states(instants, dedup_machine(window_ms), KEYS, [], segment_ms, **carry)
 
@@ -64,6 +67,7 @@ def flag_duplicates(
     name: str = "duplicate",
     states: DataFrame | None = None,
     eligible: Column | None = None,
+    fifo: Column | None = None,
 ) -> DataFrame:
     """Every row with a flag. The state is per queue and id; the clock is
     ``received_at`` in milliseconds, ties in message id order. Rows that are not
@@ -71,12 +75,15 @@ def flag_duplicates(
     if window_ms <= 0:
         return df.withColumn(name, F.lit(False))
     if states is None:
-        states = dedup_states(df, window_ms, segment_ms, eligible)
-    keyed = keyed_rows(df, segment_ms, eligible)
-    marked = apply_gates(keyed, dedup_machine(window_ms), KEYS, ["message_id"], states)
-    return marked.withColumn(
-        name, ~F.col("exempt") & (F.col("taken_layer") < 0)
-    ).drop("dedup_key", "exempt", "t_ms", "segment", "taken_layer")
+        states = dedup_states(df, window_ms, segment_ms, eligible, fifo)
+    keyed = keyed_rows(df, segment_ms, eligible, fifo)
+    # Rows that are never duplicates go around the exchange, the sort and the fold.
+    marked = apply_gates(
+        keyed.where(~F.col("exempt")), dedup_machine(window_ms), KEYS, ["message_id"], states
+    ).withColumn(name, F.col("taken_layer") < 0)
+    work = ["dedup_key", "exempt", "t_ms", "segment"]
+    around = keyed.where("exempt").drop(*work).withColumn(name, F.lit(False))
+    return marked.drop("taken_layer", *work).unionByName(around)
 
 
 def drop_duplicates(df: DataFrame, window_ms: int = DEFAULT_DEDUP_WINDOW_MS) -> DataFrame:

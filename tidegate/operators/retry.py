@@ -67,6 +67,7 @@ def keyed_rows(df: DataFrame, policy: RetryPolicy) -> DataFrame:
 def retry_states(df: DataFrame, policy: RetryPolicy, **carry) -> DataFrame:
     """Entry states of the segments; ``carry`` passes states between micro-batches."""
     machine = retry_machine(policy.max_retries)
+    df = df.where("received_at is not null")
     return entry_states(keyed_rows(df, policy), machine, KEYS, ORDER, policy.segment_ms, **carry)
 
 
@@ -75,11 +76,13 @@ def retry_decisions(
 ) -> DataFrame:
     """Every delivery with ``decision`` (emit, retry, backoff, dlq or drop), the
     failure count ``attempt`` and ``backoff_ms``. A delivery failed when it has an
-    ``error_class``; redeliveries share queue and message id."""
+    ``error_class``; redeliveries share queue and message id. A delivery without a
+    receive time is given up at once."""
     if states is None:
         states = retry_states(df, policy)
     machine = retry_machine(policy.max_retries)
-    marked = apply_gates(keyed_rows(df, policy), machine, KEYS, ORDER, states)
+    timed = df.where("received_at is not null")
+    marked = apply_gates(keyed_rows(timed, policy), machine, KEYS, ORDER, states)
     layer, failed = F.col("taken_layer"), F.col("failed")
     attempt = F.when((layer >= 0) & failed, layer + 1).otherwise(0).cast("int")
     decision = (
@@ -89,9 +92,18 @@ def retry_decisions(
         .otherwise("retry")
     )
     wait = F.when(decision == "retry", F.try_element_at("waits", attempt)).otherwise(0)
-    return marked.withColumns(
+    decided = marked.withColumns(
         {"decision": decision, "attempt": attempt, "backoff_ms": wait.cast("bigint")}
     ).drop("t_ms", "segment", "failed", "waits", "tie_order", "taken_layer")
+    # Without a receive time there is no next try: such a row is given up at once.
+    untimed = df.where("received_at is null").withColumns(
+        {
+            "decision": F.lit("dlq" if policy.dead_letter else "drop"),
+            "attempt": F.lit(policy.max_retries),
+            "backoff_ms": F.lit(0).cast("bigint"),
+        }
+    )
+    return decided.unionByName(untimed)
 
 
 def retry_status(decisions: DataFrame) -> DataFrame:

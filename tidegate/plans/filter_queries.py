@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegate.functions.policy import policy_condition
-from tidegate.operators.filtering import filter_counters, filter_messages
+from tidegate.operators.filtering import filter_counters, filter_messages, flag_messages
 from tidegate.plans.envelopes import QUEUES, event_messages, events
 from tidegate.plans.registry import EVENTS_SQL, query
 from tidegate.session import run_dir
@@ -70,6 +70,53 @@ def filter_landed(spark, sf_dir):
     return either.select("message_id", "queue_url", "body")
 
 
+def landed_in_parts(spark, sf_dir, names: list[str]):
+    """A landing folder whose files were written without, with one, and with another
+    promoted attribute, read with all of them."""
+    path = run_dir(spark, "landing-mixed")
+    messages = event_messages(spark, sf_dir)
+    part = F.col("message_id").cast("bigint") % 3
+    for i, promoted in enumerate(([], ["vip"], ["Type"])):
+        land_messages(messages.where(part == i), path, promoted)
+    return read_messages(spark, path, promoted=names)
+
+
+@query(
+    "filter_landed_mixed",
+    f"""WITH {EVENTS_SQL}
+    SELECT message_id, vip AS has_vip FROM ev WHERE event_type IN ('error', 'view')""",
+)
+def filter_landed_mixed(spark, sf_dir):
+    landed = landed_in_parts(spark, sf_dir, ["Type", "vip"])
+    kinds = '"Type":["error",{"prefix":"vi"}]'
+    halves = [
+        filter_messages(landed, f'{{{kinds},"vip":[{{"exists":{wanted}}}]}}').select(
+            "message_id", F.lit(wanted == "true").alias("has_vip")
+        )
+        for wanted in ("true", "false")
+    ]
+    return halves[0].unionByName(halves[1])
+
+
+@query(
+    "filter_promoted_projection",
+    f"""WITH {EVENTS_SQL}, cases(name) AS (VALUES ('off'), ('other'), ('named'))
+    SELECT name, event_id % 3 AS part, COUNT(*) AS messages,
+           COUNT(*) FILTER (name = 'named' AND vip) AS passed
+    FROM ev, cases GROUP BY ALL""",
+)
+def filter_promoted_projection(spark, sf_dir):
+    """An attribute that was not asked for is absent, promoted or not."""
+    landed = landed_in_parts(spark, sf_dir, ["Type", "vip"])
+    frames = []
+    for name, enabled, names in (("off", False, None), ("other", True, "Type"), ("named", True, "vip")):
+        seen = flag_messages(project_attributes(landed, enabled, names), '{"vip":[{"exists":true}]}')
+        frames.append(seen.groupBy(
+            F.lit(name).alias("name"), (F.col("message_id").cast("bigint") % 3).alias("part")
+        ).agg(F.count("*").alias("messages"), F.count_if("passed").alias("passed")))
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 @query(
     "filter_empty_list",
     f"""WITH {EVENTS_SQL}

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidegate.operators.retry import RetryPolicy
-from tidegate.plans.envelopes import event_messages, kind_of, packed_base64
+from tidegate.plans.envelopes import event_messages, events, kind_of, packed_base64
 from tidegate.plans.pipeline import Pipeline
 from tidegate.plans.registry import EVENTS_SQL, query
 from tidegate.plans.state_queries import ALL_FLAGS, dedup_sql
 from tidegate.session import run_dir
+from tidegate.sinks.topics import batch_path, write_topic
 from tidegate.sources.messages import read_messages
 from tidegate.streaming.pipeline import read_batches, run_available
 from tidegate.streaming.stateful import dedup_stream
@@ -98,6 +99,48 @@ def flow_records(spark, sf_dir):
     return record_summary(flow().run(spark, packed_events(spark, sf_dir)).output())
 
 
+@query(
+    "flow_group_order",
+    f"""{FLOW_SQL}
+    SELECT CAST(user_id AS VARCHAR) AS group_id, COUNT(*) AS records, TRUE AS in_order
+    FROM flags WHERE fifo AND NOT duplicate AND NOT failed GROUP BY user_id""",
+)
+def flow_group_order(spark, sf_dir):
+    """Records of the ordered queue as they stand in the written files, file by file."""
+    root = run_dir(spark, "group-order")
+    write_topic(flow().run(spark, packed_events(spark, sf_dir)).output(), root, 0)
+    records = spark.read.parquet(batch_path(root, 0)).where("topic = 'events'")
+    queue = F.element_at("source_partition", "queue_url")
+    placed = records.where(queue.endswith(".fifo")).select(
+        F.col("key").alias("group_id"), F.col("message_id").cast("bigint").alias("sequence"),
+        F.struct("_metadata.file_name", "_metadata.row_index").alias("place"),
+    )
+    before = F.lag("sequence").over(Window.partitionBy("group_id").orderBy("place"))
+    steps = placed.withColumn("follows", F.coalesce(before < F.col("sequence"), F.lit(True)))
+    return steps.groupBy("group_id").agg(
+        F.count("*").alias("records"), F.bool_and("follows").alias("in_order")
+    )
+
+
+@query(
+    "null_time_dead_letter",
+    f"""WITH {EVENTS_SQL}
+    SELECT message_id, CASE WHEN user_id % 7 = 0 THEN 'dead' ELSE 'events' END AS topic FROM ev""",
+)
+def null_time_dead_letter(spark, sf_dir):
+    """Messages without a receive time are given up, the others are not disturbed."""
+    messages = event_messages(spark, sf_dir).join(
+        events(spark, sf_dir).select(F.col("event_id").cast("string").alias("message_id"), "user_id"), "message_id"
+    )
+    untimed = messages.withColumn(
+        "received_at", F.when(F.col("user_id") % 7 != 0, F.col("received_at"))
+    ).drop("user_id")
+    pipe = Pipeline(
+        topic="events", retry=RetryPolicy(max_retries=3), dedup_window_ms=1, dlq_topic="dead"
+    )
+    return pipe.run(spark, untimed).output().select("message_id", "topic")
+
+
 @query("queue_metrics", METRICS_SQL)
 def flow_metrics(spark, sf_dir):
     return flow().run(spark, packed_events(spark, sf_dir)).metrics()
@@ -146,7 +189,8 @@ def stream_metrics(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """De-duplication by the stateful operator, its output appended to a folder."""
     root = run_dir(spark, "dedup-stream")
-    flagged = dedup_stream(landed_stream(spark, event_messages(spark, sf_dir), root), WINDOW_MS)
+    messages = landed_stream(spark, event_messages(spark, sf_dir), root)
+    flagged = dedup_stream(messages, WINDOW_MS, forget_after_ms=None)
     (
         flagged.writeStream.format("parquet").trigger(availableNow=True)
         .option("checkpointLocation", f"{root}/progress").start(f"{root}/flags").awaitTermination()

@@ -195,6 +195,14 @@ def claim_check_body(spark, sf_dir):
     return claim_result(done, F.col("body"))
 
 
+@query("claim_check_duplicate_objects", CLAIM_SQL)
+def claim_check_duplicate_objects(spark, sf_dir):
+    """A listing that names objects twice does not multiply messages."""
+    objects = document_objects(spark, sf_dir)
+    done = claim_check(claim_messages(spark, sf_dir), objects.unionByName(objects), fmt="AUTO")
+    return claim_result(done, F.col("body"))
+
+
 @query("claim_check_field", CLAIM_SQL)
 def claim_check_field(spark, sf_dir):
     wrap = lambda leaf: F.concat(

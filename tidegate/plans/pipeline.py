@@ -14,9 +14,10 @@ from tidegate.operators.decompress import decompress_body
 from tidegate.operators.dedup import flag_duplicates
 from tidegate.operators.errors import track_errors
 from tidegate.operators.extract import extract_field
-from tidegate.operators.filtering import flag_messages
+from tidegate.operators.filtering import filter_messages, flag_messages
 from tidegate.operators.metrics import pipeline_metrics
-from tidegate.operators.records import record_columns
+from tidegate.operators.ordering import group_id, sequence
+from tidegate.operators.records import is_fifo, record_columns
 from tidegate.operators.retry import RetryPolicy, retry_decisions
 from tidegate.schemas import DEFAULT_DEDUP_WINDOW_MS
 from tidegate.session import materialize
@@ -49,6 +50,8 @@ class Pipeline:
     dedup_window_ms: int = DEFAULT_DEDUP_WINDOW_MS
     dlq_topic: str | None = None
     delete_enabled: bool = True
+    fifo: bool = False
+    fifo_auto_detect: bool = True
 
     def then(self, step: Step) -> "Pipeline":
         return replace(self, steps=self.steps + (step,))
@@ -64,18 +67,28 @@ class Pipeline:
 
     # --- stages ---
 
+    def projected(self, messages: DataFrame) -> DataFrame:
+        """Messages with the attributes the queue was asked for."""
+        ordered = True if self.fifo else None if self.fifo_auto_detect else False
+        return project_attributes(messages, self.attributes_enabled, self.attribute_names, ordered)
+
     def receive(self, messages: DataFrame) -> DataFrame:
-        """Messages with the attributes the queue was asked for and a ``passed`` flag."""
-        wanted = project_attributes(messages, self.attributes_enabled, self.attribute_names)
-        return flag_messages(wanted, self.policy)
-
-    def convert(self, received: DataFrame) -> DataFrame:
-        """The ``value`` of each message that passed, or its error, and the body as
-        it came. To be stored once: the folds after it only read narrow columns."""
-        df = track_errors(received.where("passed"))
+        """All messages with a ``passed`` flag, for acknowledgement and counters."""
+        return flag_messages(self.projected(messages), self.policy)
+
+    def convert(self, messages: DataFrame) -> DataFrame:
+        """The ``value`` of each message that passes, or its error, and the body as
+        it came. To be stored once: the folds after it only read narrow columns. A
+        message without a receive time cannot be placed in time and is an error."""
+        df = track_errors(filter_messages(self.projected(messages), self.policy))
         for step in self.steps:
             df = step(df)
-        df = df.withColumn("value", F.col("body")).drop("body", "passed")
+        df = df.withColumn("value", F.col("body")).drop("body", "promoted")
+        late = F.col("received_at").isNull() & F.col("error_class").isNull()
+        df = df.withColumns({
+            "error_message": F.when(late, "no receive time").otherwise(F.col("error_message")),
+            "error_class": F.when(late, "MissingTimestamp").otherwise(F.col("error_class")),
+        })
         df = extract_field(df, self.extract_path, self.extract_fail_on_missing)
         return df.withColumn("delivery_id", F.monotonically_increasing_id())
 
@@ -90,13 +103,18 @@ class Pipeline:
     def deduplicate(self, decided: DataFrame, states: DataFrame | None = None) -> DataFrame:
         """Only converted messages count as sightings, so a message that failed
         first is not lost as its own duplicate."""
-        return flag_duplicates(decided, self.dedup_window_ms, states=states, eligible=emitted())
+        return flag_duplicates(
+            decided, self.dedup_window_ms, states=states, eligible=emitted(), fifo=self.ordered()
+        )
+
+    def ordered(self) -> Column:
+        return is_fifo(self.fifo, self.fifo_auto_detect)
 
     def run(self, spark: SparkSession, messages: DataFrame) -> "Outcome":
         """The whole path over a table. What is expensive to compute and read more
         than once lies in the shared folder, so lost executors cost little."""
         received = self.receive(messages)
-        converted = materialize(spark, self.convert(received), "converted")
+        converted = materialize(spark, self.convert(messages), "converted")
         decided = self.deduplicate(self.decide(converted))
         return Outcome(self, received, converted, materialize(spark, decided, "decided"))
 
@@ -111,16 +129,29 @@ class Outcome:
     decided: DataFrame
 
     def output(self) -> DataFrame:
-        """Topic records and dead letters from one pass over the values."""
+        """Topic records and dead letters from one pass over the values.
+
+        Messages of ordered queues stand in (queue, group, sequence) order over range
+        partitions: a hot group is split, each part in order and behind the one before.
+        The others go around that exchange."""
         pipe = self.pipeline
         leaving = self.decided.where((emitted() & ~F.col("duplicate")) | (F.col("decision") == "dlq"))
         rows = self.converted.join(leaving.select("delivery_id", "decision", "attempt"), "delivery_id")
         good = record_columns(
-            pipe.topic, pipe.partition, pipe.attributes_enabled, value=F.col("value")
+            pipe.topic, pipe.partition, pipe.attributes_enabled, fifo=pipe.fifo,
+            fifo_auto_detect=pipe.fifo_auto_detect, value=F.col("value"),
         )
         dead = dead_letter_columns(pipe.dlq_topic, pipe.retry.max_retries, "original_body")
         record = F.when(emitted(), F.struct(*good)).otherwise(F.struct(*dead))
-        return rows.select(record.alias("record")).select("record.*")
+        keyed = rows.select(
+            record.alias("record"), pipe.ordered().alias("ordered"), "queue_url",
+            group_id().alias("group"), sequence().alias("sequence"), "received_at",
+        )
+        keys = ["queue_url", "group", "sequence", "received_at"]
+        # The topic leads, so that a writer that splits by topic has nothing left to sort.
+        ordered = keyed.where("ordered").repartitionByRange(*keys).sortWithinPartitions("record.topic", *keys)
+        others = keyed.where(~F.col("ordered")).sortWithinPartitions("record.topic")
+        return ordered.select("record.*").unionByName(others.select("record.*"))
 
     def ledger(self) -> DataFrame:
         """Acknowledgements: emitted, duplicate, dead, dropped and filtered-out messages."""

@@ -74,20 +74,27 @@ def project_attributes(
     df: DataFrame, enabled: bool = True, names: str | None = None, fifo: bool | None = None
 ) -> DataFrame:
     """Keep the wanted user attributes (none, the named ones, or all) and the
-    system attributes of the queue kind. ``fifo=None`` decides per row."""
+    system attributes of the queue kind. ``fifo=None`` decides per row. Promoted
+    columns of attributes that were not asked for are dropped with them."""
     wanted = attribute_names(names)
     user = F.col("message_attributes")
     if not enabled:
         user = F.when(user.isNotNull(), F.map_filter(user, lambda k, v: F.lit(False)))
     elif wanted:
         user = F.map_filter(user, lambda k, v: k.isin(*wanted))
-    ordered = F.col("queue_url").endswith(".fifo") if fifo is None else F.lit(fifo)
+    suffix = F.coalesce(F.col("queue_url").endswith(".fifo"), F.lit(False))
+    ordered = suffix if fifo is None else F.lit(fifo)
     system = F.map_filter(
         F.col("attributes"),
         lambda k, v: k.isin(*BASE_SYSTEM_ATTRIBUTES)
         | (ordered & k.isin(*FIFO_SYSTEM_ATTRIBUTES)),
     )
-    return df.withColumns({"message_attributes": user, "attributes": system})
+    out = df.withColumns({"message_attributes": user, "attributes": system})
+    if "promoted" in df.columns and (wanted or not enabled):
+        kept = [n for n in df.schema["promoted"].dataType.fieldNames() if enabled and n in wanted]
+        stored = F.struct(*[F.col("promoted")[n].alias(n) for n in kept])
+        out = out.withColumn("promoted", stored) if kept else out.drop("promoted")
+    return out
 
 
 def union_queues(queues: list[tuple[str, DataFrame]]) -> DataFrame:

@@ -30,5 +30,6 @@ def read_objects(spark: SparkSession, root: str, bucket: str, glob: str | None =
     plain = F.regexp_replace(F.col("path"), r"^[a-z0-9]+:/*", "/")
     key = F.substring(plain, F.length(marker) + 1, F.lit(2**30))
     return reader.load(root).select(
-        F.concat(F.lit(f"{URI_SCHEME}{bucket}/"), key).alias("uri"), "content"
+        F.concat(F.lit(f"{URI_SCHEME}{bucket}/"), key).alias("uri"), "content",
+        F.col("modificationTime").alias("modification_time"),
     )

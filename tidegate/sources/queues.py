@@ -7,6 +7,7 @@ delivers them again.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 
 import pyarrow as pa
@@ -20,6 +21,10 @@ Receive = Callable[[str, int, int], Iterable[dict]]
 """``receive(queue_url, max_messages, wait_seconds)`` -> message dicts by column name."""
 
 
+#: Messages handed to Spark together.
+ROWS_AT_ONCE = 500
+
+
 def check_receive_options(batch: int, wait_seconds: int) -> None:
     if not 1 <= batch <= MAX_RECEIVE_BATCH:
         raise ValueError(f"a receive takes 1 to {MAX_RECEIVE_BATCH} messages")
@@ -35,9 +40,11 @@ def receive_messages(
     batch: int = DEFAULT_RECEIVE_BATCH,
     wait_seconds: int = DEFAULT_WAIT_SECONDS,
     max_polls: int | None = None,
+    max_seconds: float | None = 60.0,
 ) -> DataFrame:
-    """One task per (queue, worker) polls until the queue is empty, or ``max_polls``
-    times. The frame is to be written once, not to be evaluated twice."""
+    """One task per (queue, worker) polls until the queue is empty, ``max_polls`` times
+    or for ``max_seconds``, so a queue that is never empty keeps no other waiting and the
+    job ends. The frame is to be written once, not to be evaluated twice."""
     check_receive_options(batch, wait_seconds)
     work = [(queue, worker) for queue in queues for worker in range(workers_per_queue)]
     layout = to_arrow_schema(MESSAGE_SCHEMA)
@@ -45,18 +52,25 @@ def receive_messages(
 
     def poll(batches):
         for rows in batches:
-            for queue in rows.column("queue_url").to_pylist():
-                polls = 0
-                while max_polls is None or polls < max_polls:
+            for unit in rows.column("id").to_pylist():
+                queue = work[unit][0]
+                began, polls, held = time.monotonic(), 0, []
+                while (max_polls is None or polls < max_polls) and (
+                    max_seconds is None or time.monotonic() - began < max_seconds
+                ):
                     polls += 1
                     messages = list(receive(queue, batch, wait_seconds))
                     if not messages:
                         break
-                    listed = [{**dict.fromkeys(names), **m, "queue_url": queue} for m in messages]
-                    yield pa.RecordBatch.from_pylist(listed, schema=layout)
+                    held += [{**dict.fromkeys(names), **m, "queue_url": queue} for m in messages]
+                    if len(held) >= ROWS_AT_ONCE:
+                        yield pa.RecordBatch.from_pylist(held, schema=layout)
+                        held = []
+                if held:
+                    yield pa.RecordBatch.from_pylist(held, schema=layout)
 
-    tasks = spark.createDataFrame(work, "queue_url string, worker int")
-    return tasks.repartition(len(work), "queue_url", "worker").mapInArrow(poll, MESSAGE_SCHEMA)
+    # A range has exactly one unit in each of its partitions.
+    return spark.range(len(work), numPartitions=max(len(work), 1)).mapInArrow(poll, MESSAGE_SCHEMA)
 
 
 def land_messages(received: DataFrame, path: str, promoted: list[str] = ()) -> None:

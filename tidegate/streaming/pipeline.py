@@ -82,7 +82,7 @@ class MicroBatches:
             "keep_after_ms": newest - self.lateness_ms,
             "forget_before_ms": newest - RETENTION_MS,
         }
-        converted = self.stored(spark, pipe.convert(received), "converted", batch_id)
+        converted = self.stored(spark, pipe.convert(messages), "converted", batch_id)
         retry = self.stored(
             spark,
             retry_states(
@@ -95,7 +95,7 @@ class MicroBatches:
         dedup = self.stored(
             spark,
             dedup_states(
-                decided, pipe.dedup_window_ms, eligible=emitted(),
+                decided, pipe.dedup_window_ms, eligible=emitted(), fifo=pipe.ordered(),
                 initial=self.before(spark, "dedup", DEDUP_KEYS, batch_id), **carry,
             ),
             "dedup", batch_id,

@@ -16,6 +16,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidegate.operators.dedup import dedup_id
 from tidegate.schemas import DEFAULT_DEDUP_WINDOW_MS
 
+#: A day of clock time: far longer than a redelivery waits.
+DEFAULT_FORGET_AFTER_MS = 86_400_000
+
 SIGHTING = "queue_url string, message_id string, receipt_handle string, t_ms bigint"
 
 
@@ -41,12 +44,12 @@ def accepted(times: np.ndarray, expiry: int, window_ms: int) -> tuple[np.ndarray
 def dedup_stream(
     messages: DataFrame,
     window_ms: int = DEFAULT_DEDUP_WINDOW_MS,
-    forget_after_ms: int | None = None,
+    forget_after_ms: int | None = DEFAULT_FORGET_AFTER_MS,
 ) -> DataFrame:
     """(queue_url, message_id, receipt_handle, t_ms, duplicate) for every message of
-    a stream. With ``forget_after_ms`` an id not seen for that long after its window
-    leaves the state, by clock time; such a query never runs out of work, so it does
-    not end under an available-now trigger. Set it for a stream that stays up."""
+    a stream. An id not seen for ``forget_after_ms`` after its window leaves the state,
+    by clock time. Such a query never runs out of work; None keeps every id, for a
+    stream that is to end under an available-now trigger."""
     timeout = GroupStateTimeout.NoTimeout
     if forget_after_ms is not None:
         timeout = GroupStateTimeout.ProcessingTimeTimeout
