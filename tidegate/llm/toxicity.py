@@ -184,7 +184,8 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     known = known.where(place < share)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(known, "doc_id")
+    # The sample is bounded, so its ids go to the texts instead of the texts to them.
+    return texts.join(F.broadcast(known), "doc_id")
 
 
 class ToxicityModel:
