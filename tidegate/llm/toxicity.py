@@ -216,8 +216,10 @@ def train_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> T
     """Learn from the labels whose crc32(doc_id) mod 5 is not 0.
 
     Three quarters of the sampled rows grow the trees, the other quarter calibrates; the
-    calibration weighs rows back to the shares of all labelled rows. Without two classes
-    on both sides the score is the share of toxic rows (0 without any).
+    calibration weighs rows back to the shares of all labelled rows. A row that grows the
+    trees is seen through a lexicon learned from the other half of them, so that words
+    that are rare by chance do not look telling. Without two classes on each side the
+    score is the share of toxic rows (0 without any).
     """
     rows = materialize(spark, labelled(docs, labels), "toxicity-train")
     known = labels.where(~is_held_out() & F.col("toxic").isin(0, 1))
@@ -225,13 +227,15 @@ def train_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> T
     prior = float((totals[0] or 0) / totals[1]) if totals[1] else 0.0
     part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(4))
     grow, tune = rows.where(part > 0), rows.where(part == 0)
+    half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))
     seen = {(r.part, r.toxic): r["count"] for r in rows.groupBy((part > 0).alias("part"), "toxic").count().collect()}
     if len(seen) < 4:
         return ToxicityModel({}, None, None, prior)
     lexicon = learn_lexicon(grow)
-    table = materialize(
-        spark, with_features(rows, lexicon, ["doc_id", "toxic"]).withColumn("grow", part > 0), "toxicity-features"
-    )
+    keep = ["doc_id", "toxic"]
+    views = [with_features(grow.where(half == i), learn_lexicon(grow.where(half != i)), keep) for i in (0, 1)]
+    table = views[0].unionByName(views[1]).unionByName(with_features(tune, lexicon, keep))
+    table = materialize(spark, table.withColumn("grow", part > 0), "toxicity-features")
     table = assemble(table)
     trees = GBTClassifier(
         labelCol="toxic", featuresCol="_features", maxIter=20, maxDepth=4, stepSize=0.2, maxBins=64, seed=7,
