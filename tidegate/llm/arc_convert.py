@@ -55,14 +55,18 @@ class Inflating(io.RawIOBase):
             self.at += len(part)
         else:
             part = b""
-            while not part and (self.at < len(self.data) or self.inflater.unconsumed_tail):
+            while not part:
                 if self.inflater.eof:
                     self.at -= len(self.inflater.unused_data)
+                    if self.at >= len(self.data):
+                        break
                     self.inflater = zlib.decompressobj(31)
                 pending = self.inflater.unconsumed_tail
                 if not pending:
                     pending = self.data[self.at : self.at + (1 << 16)]
                     self.at += len(pending)
+                if not pending:
+                    raise ValueError("archive ends inside a gzip member")
                 part = self.inflater.decompress(pending, len(target))
         target[: len(part)] = part
         return len(part)

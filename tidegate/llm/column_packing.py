@@ -224,15 +224,23 @@ def fill_rest(demand: np.ndarray) -> list[np.ndarray]:
 
 
 def plan(demand: np.ndarray) -> list[tuple[np.ndarray, int]]:
-    """Patterns with whole numbers of sequences that hold exactly the demand."""
+    """Patterns with whole numbers of sequences that hold exactly the demand.
+
+    Amounts are rounded down, and what is left is solved again while rounding leaves more
+    than a few sequences; the last of it is filled in directly.
+    """
     left = demand.astype(np.int64).copy()
+    sizes = np.arange(1, demand.size + 1)
     out = []
-    for pattern, amount in sorted(solve_patterns(demand), key=lambda x: -x[1]):
-        used = np.flatnonzero(pattern)
-        count = min(int(np.floor(amount + 1e-6)), int((left[used] // pattern[used]).min()))
-        if count > 0:
-            out.append((pattern, count))
-            left -= pattern * count
+    while (before := int(left @ sizes)) > 4 * demand.size:
+        for pattern, amount in sorted(solve_patterns(left), key=lambda x: -x[1]):
+            used = np.flatnonzero(pattern)
+            count = min(int(np.floor(amount + 1e-6)), int((left[used] // pattern[used]).min()))
+            if count > 0:
+                out.append((pattern, count))
+                left -= pattern * count
+        if int(left @ sizes) > 0.7 * before:
+            break
     return out + [(p, 1) for p in fill_rest(left)]
 
 

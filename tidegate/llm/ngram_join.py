@@ -31,7 +31,7 @@ HEAVY_ROWS = 50_000
 #: Times from which a shingle counts as heavy.
 HEAVY = 8
 #: Words of 64 bits in a set's parity sketch, and bits of the wide one of candidates.
-SKETCH = 4
+SKETCH = 8
 WIDE = 8192
 
 

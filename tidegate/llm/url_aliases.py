@@ -30,7 +30,7 @@ TRACKING = r"(?i)^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host: behind the first :// up to / ? # or the end, A-Z lower-cased; path: from there
     up to ? # or the end. Both are empty for null and for a url without ://."""
-    rest = F.when(F.contains(url, F.lit("://")), F.expr("substring(url, instr(url, '://') + 3)")).otherwise("")
+    rest = F.when(F.contains(url, F.lit("://")), url.substr(F.instr(url, "://") + 3, F.lit(1 << 30))).otherwise("")
     rest = F.coalesce(rest, F.lit(""))
     host = F.translate(F.regexp_extract(rest, r"^[^/?#]*", 0), UPPER, LOWER)
     path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
