@@ -250,10 +250,10 @@ def test_aliases_inherit_blocks(spark):
         (3, "http://chain.org/b", refresh.format("http://alias.org/a")), (4, "http://free.org/", None),
         (5, "https://www.example.com/en/9", link.format("http://example.com/en/1")), (6, None, None), (7, "no scheme", ""),
         (8, "HTTP://X.NET/es/", ""), (8, "HTTP://X.NET/es/", ""), (9, "http://example.com", ""),
-        (10, "http://logged.org/z?utm_source=q#f", ""), (None, "http://com/", ""),
+        (10, "https://logged.org/z?q=1#f", ""), (None, "http://com/", ""),
     ]
     pages = spark.createDataFrame([(*r, "c") for r in rows], "page_id long, url string, html string, node string")
-    logged = spark.createDataFrame([("http://chain.org/b", "http://logged.org/z")], "url string, target string")
+    logged = spark.createDataFrame([("http://chain.org/b", "http://logged.org/z?q=1"), ("junk", "more junk"), (None, "http://y.org/")], "url string, target string")
     got = url_aliases.judge_urls(spark, pages, url_aliases.RULES, logged).collect()
     assert len(got) == len(rows)
     verdict = {r.page_id: (r.rule, r.verdict) for r in got}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.llm.common import connected_components, prepare
 from tidegate.session import materialize
@@ -23,8 +23,6 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Query parameters that only track where a visit came from; they name the same page.
-TRACKING = r"(?i)^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -52,14 +50,11 @@ def best_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]])
 
 
 def same_page(url: Column) -> Column:
-    """A name for the page a url points to: scheme, www. and m., fragment, tracking
-    parameters, index pages and a closing slash do not matter. Null for what is no url."""
+    """A name for the page a url points to: host, path and query; scheme and fragment do
+    not matter. Null for what is no url."""
     host, path = host_and_path(url)
-    host = F.regexp_replace(host, r"^(www|m)\.", "")
-    path = F.regexp_replace(F.regexp_replace(path, r"/(index\.html?)?$", ""), r"\.html?$", "")
-    query = F.split(F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1), "&")
-    kept = F.array_join(F.array_sort(F.filter(query, lambda q: (q != "") & ~q.rlike(TRACKING))), "&")
-    return F.when(host != "", F.concat(host, path, F.lit("?"), kept))
+    query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
+    return F.when(host != "", F.xxhash64(host, path, query))
 
 
 def absolute(target: Column, url: Column) -> Column:
@@ -111,7 +106,7 @@ def judge_urls(
     links = page_edges(pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")))
     if edges is not None:
         links = links.unionByName(edges.select("url", "target"))
-    name = lambda c: F.xxhash64(same_page(F.col(c)))
+    name = lambda c: same_page(F.col(c))
     # Only urls that no rule names need a component's answer, but any may carry a block.
     targets = links.select(F.col("target").alias("url"))
     known = materialize(
@@ -130,7 +125,7 @@ def judge_urls(
     # A page without a rule may stand in a frequent component: the side looked up has one
     # row per page name, and rows that a rule decides go around the join.
     ruled = rows.where("best is not null").select("page_id", "host", "path", "best.rule", "best.verdict")
-    open_rows = rows.where("best is null").withColumn("node", F.when(F.col("host") != "", name("url")))
+    open_rows = rows.where("best is null").withColumn("node", name("url"))
     judged = open_rows.join(tainted.withColumn("hit", F.lit(True)), "node", "left").select(
         "page_id", "host", "path", F.lit(None).cast("string").alias("rule"),
         F.when(F.col("hit"), "block").otherwise("allow").alias("verdict"),
