@@ -17,9 +17,9 @@ import re
 import uuid
 import zlib
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidegate.llm.common import prepare
 from tidegate.session import materialize, run_dir
@@ -88,8 +88,8 @@ def split_http(block: bytes) -> tuple[bytes, bytes]:
     """HTTP header with its closing blank line, and the payload behind it."""
     if not block.startswith(b"HTTP/"):
         return b"", block
-    ends = [(m.end()) for m in [re.search(rb"\r?\n\r?\n", block)] if m]
-    return (block[: ends[0]], block[ends[0] :]) if ends else (block, b"")
+    end = re.search(rb"\r?\n\r?\n", block)
+    return (block[: end.end()], block[end.end() :]) if end else (block, b"")
 
 
 def arc_records(content: bytes):
@@ -145,10 +145,7 @@ def warc_records(content: bytes):
 
 def parsed(files: DataFrame, records, schema: str) -> DataFrame:
     """Rows that records(path, content) yields as tuples, in batches of bounded bytes."""
-    from pyspark.sql.types import _parse_datatype_string
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches):
         for batch in batches:
@@ -344,3 +341,20 @@ def pages_through_archives(spark: SparkSession, pages: DataFrame) -> DataFrame:
         "page_id", F.coalesce("payload_bytes", "target_bytes").alias("payload_bytes"), "payload_digest",
         "record_type", "refers_to",
     )
+
+
+#: What pages_through_archives must return, in DuckDB's SQL.
+ORACLE_SQL = """
+WITH d AS (
+  SELECT page_id, coalesce(html, '') AS body, CAST(CAST(from_hex(sha1(coalesce(html, ''))) AS BIT) AS VARCHAR) AS bits
+  FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS kept FROM d)
+SELECT page_id, strlen(body) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + 16 * CAST(substr(bits, 5 * k + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * k + 2, 1) AS INT)
+           + 4 * CAST(substr(bits, 5 * k + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * k + 4, 1) AS INT)
+           + CAST(substr(bits, 5 * k + 5, 1) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> kept THEN kept END AS refers_to
+FROM m
+"""

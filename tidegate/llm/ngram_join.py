@@ -385,6 +385,36 @@ def ngram_jaccard_join(
     ).drop("tie")
 
 
+def oracle_sql(words: int = WORDS, percent: int = PERCENT) -> str:
+    """The same rows in DuckDB's SQL: shingles as rows, every pair that shares one, closure."""
+    gram = ", ".join(f"ws[i + {k}]" for k in range(words))
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT r, [{gram}] AS g FROM d, unnest(range(1, len(ws) - {words - 2})) AS t(i) WHERE len(ws) >= {words}
+  UNION ALL
+  SELECT r, ws FROM d WHERE len(ws) BETWEEN 1 AND {words - 1}),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+pair AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY ALL),
+link AS (
+  SELECT a, b FROM pair JOIN n na ON na.r = a JOIN n nb ON nb.r = b
+  WHERE 100 * c >= {percent} * (na.n + nb.n - c)),
+reach(r, o) AS (
+  SELECT a, b FROM link
+  UNION
+  SELECT reach.r, link.b FROM reach JOIN link ON link.a = reach.o)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles,
+       least(d.doc_id, min(other.doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.r = d.r LEFT JOIN reach ON reach.r = d.r LEFT JOIN d other ON other.r = reach.o
+GROUP BY d.r, d.doc_id
+"""
+
+
 def keep_first_of_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs without the near copies of another row: of each component one row stays, that
     of the smallest doc_id. Rows without words all stay; of repeated rows one stays."""

@@ -7,11 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import line_quality, url_aliases
-from tidegate.llm.arc_convert import pages_through_archives
+from tidegate.llm import arc_convert, line_quality, ngram_join, url_aliases
 from tidegate.llm.column_packing import pack_documents
 from tidegate.llm.lcp_fingerprint import locally_consistent_fingerprints
-from tidegate.llm.ngram_join import ngram_jaccard_join
 from tidegate.llm.pfp_dedup import remove_repeated_strings
 from tidegate.llm.piece_scan import encode_pieces, encoding_digests
 from tidegate.llm.sentence_spans import remove_repeated_sentences
@@ -23,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_arc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages_through_archives(spark, table(spark, sf_dir, "pages"))
+    return arc_convert.pages_through_archives(spark, table(spark, sf_dir, "pages"))
 
 
 def op4_lcp_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +67,7 @@ def op8_column_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_jaccard_join(spark, table(spark, sf_dir, "documents"))
+    return ngram_join.ngram_jaccard_join(spark, table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -86,5 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_arc_convert": arc_convert.ORACLE_SQL,
     "op5_line_quality": line_quality.oracle_sql(),
+    "op6_url_aliases": url_aliases.oracle_sql(url_aliases.RULES),
+    "op10_ngram_jaccard_join": ngram_join.oracle_sql(),
 }

@@ -131,3 +131,45 @@ def judge_urls(
         F.when(F.col("hit"), "block").otherwise("allow").alias("verdict"),
     )
     return ruled.unionByName(judged)
+
+
+def oracle_sql(rules: Sequence[tuple[str, str, str]]) -> str:
+    """The same rows in DuckDB's SQL; links from the html, closure by recursion."""
+    listed = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
+    parts = """
+  CASE WHEN contains({u}, '://') THEN
+    translate(regexp_extract(substr({u}, instr({u}, '://') + 3), '^[^/?#]*'), '{up}', '{low}') ELSE '' END AS host,
+  CASE WHEN contains({u}, '://') THEN
+    regexp_extract(substr({u}, instr({u}, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path""".replace(
+        "{up}", UPPER
+    ).replace("{low}", LOWER)
+    page = "host || path || '?' || regexp_extract({u}, '^[^?#]*\\?([^#]*)', 1)"
+    return f"""
+WITH RECURSIVE rules(verdict, name, prefix) AS (VALUES {listed}),
+p AS (SELECT row_number() OVER () AS r, page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
+tag AS (
+  SELECT url, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\\b[^>]*>')) AS tag FROM p),
+target AS (
+  SELECT url, coalesce(nullif(regexp_extract(tag, '(?i)href\\s*=\\s*["'']?([^"''\\s>]+)', 1), ''),
+                       nullif(regexp_extract(tag, '(?i)url\\s*=\\s*["'']?([^"''\\s>;]+)', 1), '')) AS target
+  FROM tag
+  WHERE regexp_matches(tag, '(?i)rel\\s*=\\s*["'']?canonical|http-equiv\\s*=\\s*["'']?refresh')),
+seen AS (SELECT url FROM p UNION SELECT target FROM target WHERE contains(target, '://')),
+place AS (SELECT url, {parts.replace("{u}", "url")} FROM seen),
+named AS (SELECT *, CASE WHEN host <> '' THEN {page.replace("{u}", "url")} END AS page FROM place),
+ruled AS (
+  SELECT named.*, (SELECT max_by([verdict, name || prefix], length(name) * 1000 + length(prefix)) FROM rules
+    WHERE (host = name OR ends_with(host, '.' || name)) AND starts_with(path, prefix)) AS best
+  FROM named),
+edge AS (
+  SELECT a.page AS a, b.page AS b FROM target JOIN ruled a ON a.url = target.url JOIN ruled b ON b.url = target.target
+  WHERE a.page IS NOT NULL AND b.page IS NOT NULL),
+both_ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge),
+bad(page) AS (
+  SELECT page FROM ruled WHERE best[1] = 'block'
+  UNION
+  SELECT both_ways.b FROM bad JOIN both_ways ON both_ways.a = bad.page)
+SELECT p.page_id, ruled.host, ruled.path, best[2] AS rule,
+       coalesce(best[1], CASE WHEN ruled.page IN (SELECT page FROM bad) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p JOIN ruled ON ruled.url = p.url
+"""
