@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidegate.operators.decompress import decompress_body
 from tidegate.operators.retry import RetryPolicy
 from tidegate.plans.envelopes import event_messages, events, kind_of, packed_base64
 from tidegate.plans.pipeline import Pipeline
@@ -122,6 +125,32 @@ def flow_group_order(spark, sf_dir):
     )
 
 
+@query("flow_flagged_fifo", f"{RECORDS_SQL} AND fifo")
+def flow_flagged_fifo(spark, sf_dir):
+    """An ordered queue whose name does not say so, told by the pipeline's flag."""
+    messages = packed_events(spark, sf_dir).where(F.col("queue_url").endswith(".fifo"))
+    unnamed = messages.withColumn("queue_url", F.regexp_replace("queue_url", r"\.fifo$", ""))
+    return record_summary(replace(flow(), fifo=True).run(spark, unnamed).output())
+
+
+@query(
+    "body_rewrite_keeps_rest",
+    f"""WITH {EVENTS_SQL}
+    SELECT message_id, receipt_handle, queue_url, t_ms, md5(body) AS md5_of_body, md5(body) AS body_md5,
+           CAST(CASE WHEN fifo THEN 6 ELSE 3 END AS INT) AS system_attributes,
+           CAST(CASE WHEN vip THEN 3 ELSE 2 END AS INT) AS user_attributes
+    FROM ev""",
+)
+def body_rewrite_keeps_rest(spark, sf_dir):
+    """Unpacking changes the body; what came with it stays."""
+    done = decompress_body(packed_events(spark, sf_dir))
+    return done.select(
+        "message_id", "receipt_handle", "queue_url", F.unix_millis("received_at").alias("t_ms"),
+        "md5_of_body", F.md5("body").alias("body_md5"), F.size("attributes").alias("system_attributes"),
+        F.size("message_attributes").alias("user_attributes"),
+    )
+
+
 @query(
     "null_time_dead_letter",
     f"""WITH {EVENTS_SQL}
