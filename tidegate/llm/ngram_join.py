@@ -5,7 +5,7 @@ count), and linked sets must share the first shingles of that order. Small sets
 their fixed-size subsets (pairs) of those and meet on a whole subset; large sets scan the
 inverted lists of single shingles. The boundary is the size at which the subsets of a set
 cost more rows than scanning its lists, from counts over all documents. Lists are scanned
-twice: against one pivot each, then only between members not yet connected.
+twice: against two pivots each, then only between members not yet connected.
 Every pair is checked on its whole sets before it links.
 """
 
@@ -331,11 +331,14 @@ def ngram_jaccard_join(
         .select("sig", "node", "n_shingles", "pos"), "ngram-lists",
     )
 
-    # First scan: every member of a list against its pivot.
+    # First scan: every member of a list against its two pivots. Each list draws its own,
+    # so that members who share many lists meet many pivots.
+    member = F.struct("node", "n_shingles", "pos")
+    draw = F.struct(F.xxhash64("sig", "node"), "node")
     pivots = lists.groupBy("sig").agg(
-        F.max_by(F.struct("node", "n_shingles", "pos"), F.struct(F.xxhash64("node"), "node")).alias("p"),
+        F.array(F.max_by(member, draw), F.min_by(member, draw)).alias("drawn"),
         F.min("node").alias("low"), F.max("node").alias("high"),
-    ).where("low < high").select(
+    ).where("low < high").select("sig", F.explode("drawn").alias("p")).select(
         "sig", F.col("p.node").alias("b"), F.col("p.n_shingles").alias("nb"), F.col("p.pos").alias("pb")
     )
     starred = lists.select(
