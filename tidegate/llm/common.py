@@ -86,6 +86,16 @@ class Rolling:
         return mix((sums[end] - sums[start]) * self.down[start])
 
 
+_ROLLING: list[Rolling] = []
+
+
+def rolling() -> Rolling:
+    """The worker's own hasher, whose tables of powers grow with the texts met."""
+    if not _ROLLING:
+        _ROLLING.append(Rolling())
+    return _ROLLING[0]
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column end to end, and where each row starts; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -238,15 +248,14 @@ def real_id(column="doc_id"):
     return F.when(F.col(column) != F.lit(-(1 << 63)), F.col(column))
 
 
-def keep_repeated(rows: DataFrame, key: str, order: list[str], together: int | None = None) -> DataFrame:
+def keep_repeated(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The rows whose key occurs at least twice, by one exchange.
 
     A task reads its rows in key order and needs one row of memory to see whether a
     neighbour has the same key, however long the run is.
     """
     schema = rows.schema
-    parts = (together, key) if together else (key,)
-    sorted_rows = rows.repartition(*parts).sortWithinPartitions(key, *order)
+    sorted_rows = rows.repartition(key).sortWithinPartitions(key, *order)
 
     def run(batches):
         held = None

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidegate.llm.common import (
-    GOLDEN, Rolling, connected_components, discard, keep_repeated, mix, per_text, prepare, real_id, signed,
-    stream, with_key,
+    GOLDEN, Rolling, connected_components, discard, keep_repeated, mix, per_text, prepare, real_id, rolling,
+    signed, stream, with_key,
 )
 from tidegate.session import materialize
 
@@ -121,15 +121,6 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
     return per_text(docs, function, f"doc_id long, tie int, n_shingles long, node long, {fields}")
 
 
-_ROLLING: list[Rolling] = []
-
-
-def rolling() -> Rolling:
-    if not _ROLLING:
-        _ROLLING.append(Rolling())
-    return _ROLLING[0]
-
-
 def heavy_shingles(docs: DataFrame, words: int, most: int = HEAVY_ROWS):
     """(shingles, counts, squares): the most frequent shingles in order, at most `most`, and
     the sum of squared counts of all lighter ones that repeat.

@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidegate.llm.common import (
-    Rolling, keep_repeated, mix, per_text, pieces, prepare, signed, text_buffer,
-    with_key,
+    Rolling, keep_repeated, mix, per_text, pieces, prepare, rolling, signed,
+    text_buffer, with_key,
 )
 from tidegate.session import materialize
 
@@ -28,15 +28,6 @@ LENGTH = 400
 #: Bytes a trigger looks at, mean bytes between triggers (a power of two), windows of a block.
 TRIGGER, GAP, BLOCK = 16, 64, 96
 
-_ROLLING: list[Rolling] = []
-
-
-def rolling() -> Rolling:
-    if not _ROLLING:
-        _ROLLING.append(Rolling())
-    return _ROLLING[0]
-
-
 def blocks_of(data: np.ndarray, offsets: np.ndarray, length: int, roll: Rolling):
     """Blocks of windows: (row, first window, windows, core start, core end, kind).
 

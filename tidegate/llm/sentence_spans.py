@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidegate.llm.common import (
-    Rolling, mix, per_text, pieces, prepare, signed, stream, text_buffer, with_key,
+    mix, per_text, pieces, prepare, rolling, signed, stream, text_buffer, with_key,
 )
 from tidegate.session import materialize
 
@@ -22,14 +22,6 @@ RUN = 3
 #: Bytes that end a sentence when a blank or the end follows; … is E2 80 A6.
 ENDS = b".!?"
 
-_ROLLING: list[Rolling] = []
-
-
-def rolling() -> Rolling:
-    if not _ROLLING:
-        _ROLLING.append(Rolling())
-    return _ROLLING[0]
-
 
 def sentences(data: np.ndarray, offsets: np.ndarray):
     """(row, start, hash, words) of each sentence of each text, in order.
