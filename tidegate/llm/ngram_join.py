@@ -413,10 +413,11 @@ def keep_first_of_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs without the near copies of another row: of each component one row stays, that
     of the smallest doc_id. Rows without words all stay; of repeated rows one stays."""
     found = ngram_jaccard_join(spark, docs)
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     kept = found.where("n_shingles = 0 or doc_id = component_id or doc_id is null").select(
-        "doc_id"
+        key.alias("_key")
     ).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    out = docs.join(kept.withColumnRenamed("doc_id", "kept_id"), same, "left_semi")
-    repeated = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
-    return out.withColumn("_nth", F.row_number().over(repeated)).where("_nth = 1").drop("_nth")
+    # One exchange of the texts serves the join and the choice among repeated rows.
+    out = docs.withColumn("_key", key).join(kept, "_key", "left_semi")
+    repeated = Window.partitionBy("_key", F.xxhash64("text")).orderBy(F.lit(0))
+    return out.withColumn("_nth", F.row_number().over(repeated)).where("_nth = 1").drop("_nth", "_key")
