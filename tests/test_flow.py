@@ -135,3 +135,44 @@ def test_lookup_on_a_stream(spark):
     query.awaitTermination()
     got = {r.message_id: (r.body, r.error_class) for r in spark.read.parquet(f"{root}/out").collect()}
     assert got == {"m-a": ("content a", None), "m-b": ("content b", None), "m-c": ("s3://bucket/c", "ObjectNotFound")}
+
+
+def test_pipeline_filter_reaches_the_scan(spark, tmp_path):
+    from tidegate.sources.queues import land_messages
+
+    rows = [message(f"msg-{i}", user={"vip": "gold"} if i % 2 else {}) for i in range(6)]
+    land_messages(frame(spark, rows[:4]), str(tmp_path / "in"), ["vip"])
+    land_messages(frame(spark, rows[4:]), str(tmp_path / "in"))
+    landed = read_messages(spark, str(tmp_path / "in"), promoted=["vip"])
+    pipe = Pipeline(topic="t", policy='{"vip":["gold"]}')
+    converted = pipe.convert(landed)
+    assert sorted(r.message_id for r in converted.collect()) == ["msg-1", "msg-3", "msg-5"]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = pipe.convert(landed)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "EqualTo(promoted.vip.text,gold)" in plan and "IsNull(promoted.vip.present)" in plan
+
+
+def test_every_queue_is_read_though_one_is_never_empty(spark):
+    from tidegate.sources.queues import receive_messages
+
+    queues = [f"q{i}" for i in range(15)]
+
+    def receive(queue, most, wait):
+        state = globals().setdefault("_polled", {})
+        state[queue] = state.get(queue, 0) + 1
+        if queue != "q3" and state[queue] > 1:
+            return []
+        return [message(f"{queue}-{state[queue]}-{k}", "b") for k in range(most)]
+
+    got = receive_messages(spark, queues, receive, max_seconds=2.0)
+    assert got.rdd.getNumPartitions() == 15
+    counts = {r.queue_url: r["count"] for r in got.groupBy("queue_url").count().collect()}
+    assert set(counts) == set(queues) and counts["q3"] > 10
+
+
+def test_untimed_messages_disturb_nobody(spark):
+    rows = [message("msg-0", "a"), {**message("msg-1", "b"), "received_at": None}]
+    done = Pipeline(topic="t", dlq_topic="dead", retry=RetryPolicy(max_retries=5)).run(spark, frame(spark, rows))
+    assert {r.message_id: r.topic for r in done.output().collect()} == {"msg-0": "t", "msg-1": "dead"}
+    assert done.ledger().count() == 2
