@@ -33,6 +33,12 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def once(value: Column) -> Column:
+    """value, computed where it stands. A filter on the result is else pushed below, with
+    the columns it needs written out in full: words would be split again for every word."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def count_chars(text: Column, chars: str) -> Column:
     return F.char_length(text) - F.char_length(F.translate(text, chars, ""))
 
@@ -105,11 +111,11 @@ def clean_lines(docs: DataFrame, least_kept_percent: int = LEAST_KEPT_PERCENT) -
     others = [c for c in docs.columns if c not in new]
     row = F.struct(*[F.col(f"`{c}`") for c in others]).alias("row")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    step = docs.select(row, words_of(text).alias("_words"), F.split(text, "\n").alias("_lines"))
+    step = docs.select(row, once(words_of(text)).alias("_words"), once(F.split(text, "\n")).alias("_lines"))
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
     step = step.select(
         "row", "_lines", F.size("_words").cast("long").alias("n_words"),
-        F.when(
+        once(F.when(
             F.size("_words") >= 3,
             F.transform(
                 F.sequence(F.lit(0), F.size("_words") - 3),
@@ -117,9 +123,9 @@ def clean_lines(docs: DataFrame, least_kept_percent: int = LEAST_KEPT_PERCENT) -
                     F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)
                 ),
             ),
-        ).otherwise(F.array().cast("array<long>")).alias("_windows"),
+        ).otherwise(F.array().cast("array<long>"))).alias("_windows"),
         F.filter("_lines", lambda x: x.rlike(WORD)).alias("_full"),
-        F.filter("_lines", good_line).alias("_good"),
+        once(F.filter("_lines", good_line)).alias("_good"),
     )
     step = step.select(
         *[F.col("row").getField(c).alias(c) for c in others],
@@ -128,7 +134,7 @@ def clean_lines(docs: DataFrame, least_kept_percent: int = LEAST_KEPT_PERCENT) -
         word_chars(text).cast("long").alias("word_chars"),
         count_chars(text, SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("_windows")).alias("n_repeat_words"),
+        once(repeated_words(F.col("_windows"))).alias("n_repeat_words"),
         F.coalesce(word_chars(F.array_join("_good", "\n")), F.lit(0)).cast("long").alias("kept_chars"),
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (
