@@ -15,7 +15,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidegate.llm.common import prepare
 from tidegate.session import materialize
@@ -155,7 +155,11 @@ def features(text: str, tokens: Tokens) -> np.ndarray:
 
 
 def with_features(docs: DataFrame, lexicon: dict[str, float], keep: list[str]) -> DataFrame:
+    """row (a struct of the columns kept, whatever their names) and the features."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("text").cast("string").alias("text")
+    )
 
     def run(batches):
         tokens = Tokens(shared.value)
@@ -163,12 +167,13 @@ def with_features(docs: DataFrame, lexicon: dict[str, float], keep: list[str]) -
             table = [features(t or "", tokens) for t in batch.column("text").cast(pa.string()).to_pylist()]
             columns = np.array(table, np.float64).reshape(-1, len(FEATURES)).T
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), *(pa.array(c) for c in columns)], [*keep, *FEATURES]
+                [batch.column("row"), *(pa.array(c) for c in columns)], ["row", *FEATURES]
             )
 
-    kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    fields = ", ".join(f"{c} double" for c in FEATURES)
-    return docs.select(*keep, "text").mapInArrow(run, f"{kept}, {fields}")
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType)])
+    for name in FEATURES:
+        schema = schema.add(name, "double")
+    return rows.mapInArrow(run, schema)
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -199,9 +204,10 @@ class ToxicityModel:
         if self.trees is None:
             return docs.select(*keep, F.lit(self.prior).alias("score"))
         table = assemble(with_features(docs, self.lexicon, keep))
-        raw = with_margin(self.trees.transform(table)).select(*keep, "margin")
+        raw = with_margin(self.trees.transform(table)).select("row", "margin")
         out = self.calibration.transform(raw)
-        return out.select(*keep, F.least(F.greatest("prediction", F.lit(0.0)), F.lit(1.0)).alias("score"))
+        kept = [F.col("row").getField(c).alias(c) for c in keep]
+        return out.select(*kept, F.least(F.greatest("prediction", F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
 def assemble(table: DataFrame) -> DataFrame:
@@ -235,7 +241,8 @@ def train_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> T
     keep = ["doc_id", "toxic"]
     views = [with_features(grow.where(half == i), learn_lexicon(grow.where(half != i)), keep) for i in (0, 1)]
     table = views[0].unionByName(views[1]).unionByName(with_features(tune, lexicon, keep))
-    table = materialize(spark, table.withColumn("grow", part > 0), "toxicity-features")
+    table = table.select("row.*", *FEATURES).withColumn("grow", part > 0)
+    table = materialize(spark, table, "toxicity-features")
     table = assemble(table)
     trees = GBTClassifier(
         labelCol="toxic", featuresCol="_features", maxIter=20, maxDepth=4, stepSize=0.2, maxBins=64, seed=7,
