@@ -125,10 +125,10 @@ def test_toxicity_learns_and_holds_out(spark):
     ).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
     kept = toxicity.toxicity_scores(
-        spark, docs.withColumn("words", F.lit("clash")), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
-        keep=["doc_id", "text", "words"],
+        spark, docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+        keep=["doc_id", "lang"],
     )
-    assert kept.columns == ["doc_id", "text", "words", "score", "predicted"] and kept.count() == len(rows)
+    assert kept.columns == ["doc_id", "lang", "score", "predicted"] and kept.count() == len(rows)
     held = [r for r in got if r.doc_id is not None and r.doc_id < 400 and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     assert np.mean([r.predicted == int(r.doc_id % 4 == 0) for r in held]) > 0.95
 
