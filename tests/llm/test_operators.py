@@ -272,6 +272,48 @@ def test_aliases_inherit_blocks(spark):
     assert url_aliases.judge_urls(spark, empty, url_aliases.RULES).count() == 0
 
 
+# What a browser makes of each target on a page.
+TARGETS = [
+    ("http://a.org/x/y/p.html?q=1#f", "b.html", "http://a.org/x/y/b.html"),
+    ("http://a.org/x/y/p.html", "../b", "http://a.org/x/b"),
+    ("http://a.org/x/y/p.html", "./b/./c/..", "http://a.org/x/y/b/"),
+    ("http://a.org/x/y/p.html", "../../../..", "http://a.org/"),
+    ("http://a.org/x/y/", "%2E%2e/b", "http://a.org/x/b"),
+    ("http://a.org/x/p?q=1", "?p=2", "http://a.org/x/p?p=2"),
+    ("http://a.org", "?p=2", "http://a.org/?p=2"),
+    ("http://a.org?q=/z/", "b", "http://a.org/b"),
+    ("http://a.org/x/p?q=1#f", "#g", "http://a.org/x/p?q=1#g"),
+    ("https://a.org/x/", "//b.org/c/../d", "https://b.org/d"),
+    ("http://a.org/x/", "/c/./d?e=/../f", "http://a.org/c/d?e=/../f"),
+    ("http://a.org/x/", "c?d&amp;e=1&#38;f&#x26;g&copy=2&eacute;", "http://a.org/x/c?d&e=1&f&g&copy=2é"),
+    ("http://a.org/x/", "https://b.org/c?a&amp;b", "https://b.org/c?a&b"),
+    ("http://a.org/x/", "mailto:me@a.org", None), ("http://a.org/x/", "a/b:c", "http://a.org/x/a/b:c"),
+    ("no scheme", "b", None), ("no scheme", "/b", None),
+]
+
+
+def test_targets_resolve_as_in_browsers(spark):
+    rows = [(k, u, t) for k, (u, t, _) in enumerate(TARGETS)]
+    frame = spark.createDataFrame(rows, "k int, url string, target string").select("k", "url", url_aliases.decoded(F.col("target")).alias("target"))
+    got = {r.k: r.out for r in frame.select("k", url_aliases.absolute(F.col("target"), F.col("url")).alias("out")).collect()}
+    assert [got[k] for k in range(len(TARGETS))] == [want for _, _, want in TARGETS]
+
+
+def test_relative_links_carry_blocks(spark):
+    link, refresh = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">'
+    rules = [("block", "bad.org", "/en/")]
+    forms = ["../en/1", "/en/1", "//bad.org/en/1", "../de/../en/1?a=1&amp;b=2", "http://bad.org/x/../en/2"]
+    rows = [(k, f"http://bad.org/a{k}/p", tag.format(t)) for k, (tag, t) in enumerate((g, t) for g in (link, refresh) for t in forms)]
+    rows += [
+        (20, "http://free.org/p", '<base href="//bad.org/en/"><link rel=canonical href="1">'),
+        (21, "http://free.org/q", refresh.format("p")), (22, "http://free.org/r?a=1&b=2", link.format("q")),
+        (23, "http://free.org/s", refresh.format("?a=1")), (24, "http://free.org/t", refresh.format("r?a=1&amp;b=2")),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    verdict = {r.page_id: r.verdict for r in url_aliases.judge_urls(spark, pages, rules).collect()}
+    assert verdict == {k: "allow" if k == 23 else "block" for k, _, _ in rows}
+
+
 # --- 7 pieces ---------------------------------------------------------------------
 
 

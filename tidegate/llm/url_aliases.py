@@ -7,7 +7,9 @@ reaches the members that no rule names, and an explicit allow always stands for
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -57,31 +59,92 @@ def same_page(url: Column) -> Column:
     return F.when(host != "", F.xxhash64(host, path, query))
 
 
+#: A character reference in an attribute; a name without ; stands for itself ahead of = or
+#: a letter or digit.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*(?:;|(?![=A-Za-z0-9])))"
+
+
+def decoded(text: Column) -> Column:
+    """text with its character references, named and numeric, put into characters."""
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+
+    def character(part: Column) -> Column:
+        hexadecimal = F.regexp_extract(part, r"^&#[xX]0*([0-9a-fA-F]{1,6});?$", 1)
+        decimal = F.regexp_extract(part, r"^&#0*([0-9]{1,7});?$", 1)
+        code = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).when(decimal != "", decimal).cast("long")
+        real = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return (
+            F.when(real, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+            .when(part.startswith("&#"), "�")
+            .otherwise(F.coalesce(F.try_element_at(names, F.substr(part, F.lit(2))), part))
+        )
+
+    parts = F.regexp_extract_all(text, F.lit(REFERENCE + "|[^&]+|&"), 0)
+    known = F.transform(parts, lambda x: F.when(x.startswith("&") & (F.length(x) > 1), character(x)).otherwise(x))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(known, "")).otherwise(text)
+
+
+def without_dots(path: Column) -> Column:
+    """A path from / without its . and .. segments, which may be written with %2e."""
+    dot, dots = r"^(?i)(\.|%2e)$", r"^(?i)(\.|%2e){2}$"
+    parts = F.split(path, "/")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
+        F.array().cast("array<string>"),
+        lambda out, x: F.when(x.rlike(dots), F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))))
+        .when(x.rlike(dot), out)
+        .otherwise(F.concat(out, F.array(x))),
+    )
+    folder = F.when(path.rlike(r"(?i)/(\.|%2e){1,2}$") & (F.size(kept) > 0), "/").otherwise("")
+    whole = F.concat(F.lit("/"), F.array_join(kept, "/"), folder)
+    return F.when(path.rlike(r"(?i)/(\.|%2e)"), whole).otherwise(path)
+
+
 def absolute(target: Column, url: Column) -> Column:
-    """A link target against the url of its page: whole, from the host, or none."""
-    scheme = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    origin = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
-    return (
+    """A link target against the url of its page (or its base), as browsers resolve it: from
+    the scheme, host, folder, path or query of the url, dot segments removed. Null where the
+    url has no scheme and host, and for targets such as mailto: that name no page."""
+    base = F.when(url.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]"), url)
+    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    origin = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
+    path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    path = F.when(path == "", "/").otherwise(path)
+    whole = (
         F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
         .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
         .when(target.startswith("/"), F.concat(origin, target))
+        .when(target.startswith("?"), F.concat(origin, path, target))
+        .when((target == "") | target.startswith("#"), F.concat(F.regexp_extract(base, "^[^#]*", 0), target))
+        .otherwise(F.concat(origin, F.regexp_extract(path, "^.*/", 0), target))
     )
+    start = F.regexp_extract(whole, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
+    middle = F.regexp_extract(whole, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    return F.concat(start, without_dots(middle), F.regexp_extract(whole, r"^[^?#]*(.*)$", 1))
 
 
 def page_edges(pages: DataFrame) -> DataFrame:
-    """(url, target) of redirects and canonical links that pages declare in their html."""
+    """(url, target) of redirects and canonical links that pages declare in their html.
+
+    Character references are decoded, and targets resolved against the page's <base> or its
+    url. A whole url with dot segments links under both its forms, as written and without.
+    """
     tags = F.regexp_extract_all("html", F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), 0)
     relevant = F.filter(tags, lambda t: t.rlike(r"(?i)rel\s*=\s*[\"']?canonical|http-equiv\s*=\s*[\"']?refresh"))
+    # A reference's own ; does not end the url of a refresh.
     target = F.coalesce(
         F.nullif(F.regexp_extract("tag", r"(?i)href\s*=\s*[\"']?([^\"'\s>]+)", 1), F.lit("")),
-        F.nullif(F.regexp_extract("tag", r"(?i)url\s*=\s*[\"']?([^\"'\s>;]+)", 1), F.lit("")),
+        F.nullif(F.regexp_extract("tag", r"(?i)url\s*=\s*[\"']?((?:&#?[A-Za-z0-9]+;|[^\"'\s>;])+)", 1), F.lit("")),
     )
-    return (
+    base = F.regexp_extract("html", r"(?i)<base\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    found = (
         pages.where(F.lower("html").rlike("canonical|refresh"))
-        .select("url", F.explode(relevant).alias("tag"))
-        .select("url", absolute(target, F.col("url")).alias("target"))
-        .where("url is not null and target is not null")
+        .select("url", decoded(base).alias("base"), F.explode(relevant).alias("tag"))
+        .select("url", F.coalesce(absolute(F.col("base"), F.col("url")), "url").alias("base"), decoded(target).alias("target"))
     )
+    written = F.when(F.col("target").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), F.col("target"))
+    both = F.array_distinct(F.array(written, absolute(F.col("target"), F.col("base"))))
+    return found.select("url", F.explode(both).alias("target")).where("url is not null and target is not null")
 
 
 def judge_urls(
@@ -92,8 +155,8 @@ def judge_urls(
 ) -> DataFrame:
     """page_id, host, path, rule, verdict of every row of pages (page_id, url, html).
 
-    edges (url, target), such as redirects from crawl logs, add to those in the html. A
-    row's own rule decides; without one it is blocked if a member of its component is
+    edges (url, target), such as redirects from crawl logs, add to those in the html; their
+    targets are whole urls, while those in the html may be relative in any form. A row's own rule decides; without one it is blocked if a member of its component is
     blocked by a rule, else allowed. Null urls and urls without :// have empty host and
     path, no rule and are allowed. Ids may be null or repeated: rows are judged by url.
     Other columns are ignored. A hub of any size costs a partial aggregate per task.
