@@ -482,6 +482,22 @@ def test_ngram_join_near_copies(spark, monkeypatch, boundary):
     same(ngram_jaccard_join(spark, docs_frame(spark, rows)).collect(), plain_components(rows))
 
 
+@pytest.mark.parametrize("runs", [1, 40])
+def test_shingles_are_counted_over_all_runs(spark, monkeypatch, runs):
+    from tidegate.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "COUNTED", 500)
+    common = passage(5, 30)
+    # The passage comes once in each of 40 texts, another in 3.
+    rows = [(k, common + " " + passage(100 + k, 30) + (" " + passage(6, 14) if k < 3 else "")) for k in range(40)]
+    docs = docs_frame(spark, rows).repartition(runs, "doc_id") if runs > 1 else docs_frame(spark, rows).coalesce(1)
+    names, counts, squares = ngram_join.heavy_shingles(docs, 5, 40 * 60)
+    assert names.size == 26 and (counts == 40).all() and (np.diff(names.view(np.uint64)) > 0).all()
+    assert squares == 10 * 3**2
+    few = ngram_join.heavy_shingles(docs, 5, 40 * 60, most=6)
+    assert few[0].size == 6 and few[2] == 10 * 3**2 + 20 * 40**2
+
+
 def test_one_of_each_group_stays(spark, awkward):
     kept = keep_first_of_groups(spark, awkward)
     ids = [r.doc_id for r in kept.collect()]

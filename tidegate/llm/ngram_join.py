@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidegate.llm.common import (
-    GOLDEN, Rolling, connected_components, discard, keep_repeated, mix, per_text, prepare, real_id, rolling,
-    signed, stream, with_key,
+    GOLDEN, Rolling, connected_components, discard, keep_repeated, mix, per_text, pieces, prepare, real_id,
+    rolling, signed, stream, text_buffer, with_key,
 )
 from tidegate.session import materialize
 
@@ -30,6 +30,11 @@ PERCENT = 75
 HEAVY_ROWS = 50_000
 #: Times from which a shingle counts as heavy.
 HEAVY = 8
+#: Shingles that a task counts in one run, and of one part of all counts; parts are 2 to the
+#: power of PART_BITS at least.
+COUNTED = 1 << 21
+PART = 1 << 20
+PART_BITS = 10
 #: Words of 64 bits in a set's parity sketch, and bits of the wide one of candidates.
 SKETCH = 8
 WIDE = 8192
@@ -121,31 +126,95 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
     return per_text(docs, function, f"doc_id long, tie int, n_shingles long, node long, {fields}")
 
 
-def heavy_shingles(docs: DataFrame, words: int, most: int = HEAVY_ROWS):
+def heavy_shingles(docs: DataFrame, words: int, total: int, most: int = HEAVY_ROWS):
     """(shingles, counts, squares): the most frequent shingles in order, at most `most`, and
-    the sum of squared counts of all lighter ones that repeat.
+    the sum of squared counts of all others that repeat. Counts are over all documents.
 
-    A task counts within runs of whole texts and passes on what it saw twice or more, so
-    little is exchanged; the counts only order shingles, so this loses nothing.
+    A task counts within runs of whole texts and passes on every shingle it saw, packed by
+    ranges of hashes: 8 bytes for one seen once, 12 for others. A range of some PART of the
+    `total` shingles is counted at a time, and a frequent shingle comes once per run.
     """
+    bits = max(PART_BITS, (total // PART).bit_length())
 
-    def count(data, offsets, batch):
-        _, value = shingle_sets(data, offsets, words, rolling())
-        value, n = np.unique(value, return_counts=True)
-        often = n >= 2
+    def packed(held):
+        value, n = np.unique(np.concatenate(held), return_counts=True)
+        edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+        once = n == 1
+        cuts = [np.append(np.searchsorted(v, edges), v.size) for v in (value[once], value[~once])]
+
+        def binary(values, cut):
+            offsets = pa.py_buffer((cut * values.itemsize).astype(np.int32))
+            return pa.Array.from_buffers(pa.binary(), cut.size - 1, [None, offsets, pa.py_buffer(values)])
+
+        some = pa.array(np.diff(cuts[0]) + np.diff(cuts[1]) > 0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(1 << bits)), binary(value[once], cuts[0]), binary(value[~once], cuts[1]),
+             binary(n[~once].astype(np.uint32), cuts[1])],
+            ["part", "once", "more", "n"],
+        ).filter(some)
+
+    def seen(batches):
+        held, size = [], 0
+        for batch in batches:
+            data, offsets = text_buffer(batch.column("text"))
+            for first, last in pieces(offsets):
+                part = data[offsets[first] : offsets[last]]
+                _, value = shingle_sets(part, offsets[first : last + 1] - offsets[first], words, rolling())
+                held.append(value)
+                size += value.size
+                if size >= COUNTED:
+                    yield packed(held)
+                    held, size = [], 0
+        if size:
+            yield packed(held)
+
+    def summed(held):
+        once, more, n = ([x.as_buffer() for x in column] for column in zip(*held))
+        once = [np.frombuffer(x, np.uint64) for x in once]
+        value = np.concatenate(once + [np.frombuffer(x, np.uint64) for x in more])
+        n = np.concatenate([np.ones(sum(x.size for x in once), np.int64), *(np.frombuffer(x, np.uint32) for x in n)])
+        order = np.argsort(value)
+        value, n = value[order], n[order].astype(np.int64)
+        firsts = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+        value, n = value[firsts], np.add.reduceat(n, firsts)
+        often = n >= HEAVY
+        light = n[(n >= 2) & ~often]
+        shingles = pa.concat_arrays([signed(value[often]), pa.array([None], pa.int64())])
         return pa.RecordBatch.from_arrays(
-            [signed(value[often]), pa.array(n[often].astype(np.int64))], ["shingle", "n"]
+            [shingles, pa.array(np.append(n[often], int((light * light).sum())))], ["shingle", "n"]
         )
 
-    seen = per_text(docs.select("text"), count, "shingle long, n long")
+    def count(batches):
+        at, held = None, []
+        for batch in batches:
+            for part, *row in zip(*(batch.column(c) for c in ("part", "once", "more", "n"))):
+                part = part.as_py()
+                if part != at and held:
+                    yield summed(held)
+                    held = []
+                at = part
+                held.append(row)
+        if held:
+            yield summed(held)
+
+    parts = docs.select("text").mapInArrow(seen, "part long, once binary, more binary, n binary")
     counted = materialize(
-        docs.sparkSession, seen.groupBy("shingle").agg(F.sum("n").alias("n")), "ngram-counts"
+        docs.sparkSession,
+        parts.repartition("part").sortWithinPartitions("part").mapInArrow(count, "shingle long, n long"),
+        "ngram-counts",
     )
-    top = counted.where(F.col("n") >= HEAVY).orderBy(F.desc("n"), "shingle").limit(most).toPandas()
-    squares = counted.where(F.col("n") < HEAVY).agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0
+    heavy = counted.where("shingle is not null")
+    top = heavy.orderBy(F.desc("n"), "shingle").limit(most).toPandas()
+    light, rest = counted.agg(
+        F.sum(F.when(F.col("shingle").isNull(), F.col("n"))),
+        F.sum(F.when(F.col("shingle").isNotNull(), F.col("n").cast("double") * F.col("n"))),
+    ).first()
     value = top["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(value)
-    return value[order], top["n"].to_numpy(np.int64)[order], float(squares)
+    # Heavy shingles beyond the table are ordered as light ones and count among them.
+    counts = top["n"].to_numpy(np.int64)[order]
+    squares = (light or 0) + (rest or 0) - float((counts.astype(float) ** 2).sum())
+    return value[order], counts, squares
 
 
 def boundary_size(load: float, percent: int) -> int:
@@ -312,9 +381,10 @@ def ngram_jaccard_join(
     # Any document of a node can stand for it: the one that sorts first.
     first = F.min_by(F.struct("doc_id", "tie", "n_shingles", *sketch), F.struct("doc_id", "tie"))
     nodes = materialize(spark, full.groupBy("node").agg(first.alias("of")).select("node", "of.*"), "ngram-nodes")
-    heavy = heavy_shingles(keyed, words)
+    total = about.agg(F.sum("n_shingles")).first()[0] or 0
+    heavy = heavy_shingles(keyed, words, total)
     # Lists that are scanned are those of light shingles: how many others one meets there.
-    load = heavy[2] / (about.agg(F.sum("n_shingles")).first()[0] or 1)
+    load = heavy[2] / max(total, 1)
     boundary = boundary_size(load, percent)
     repeated = keep_repeated(signatures(keyed, words, percent, heavy[:2], boundary), "sig", ["doc_id", "tie"])
     lists = materialize(
