@@ -503,3 +503,16 @@ def test_one_of_each_group_stays(spark, awkward):
     ids = [r.doc_id for r in kept.collect()]
     assert 5 in ids and 6 not in ids and 7 not in ids and 8 in ids and ids.count(9) <= 2
     assert kept.columns == awkward.columns
+
+
+def test_one_of_each_group_stays_with_null_and_repeated_ids(spark):
+    a, b, c, d = (passage(300 + k) for k in range(4))
+    rows = [
+        (None, a), (None, a + " more"), (None, a),  # null ids only
+        (1, b), (None, b), (None, b + " more"),  # null copies of a numbered one
+        (3, c), (4, d), (4, c + " more"),  # its namesake stands for another group
+        (5, ""), (None, None),
+    ]
+    kept = sorted((r.doc_id or 0, r.text or "") for r in keep_first_of_groups(spark, docs_frame(spark, rows)).collect())
+    assert kept[1][0] == 0 and kept[1][1] in (a, a + " more")
+    assert kept[:1] + kept[2:] == [(0, ""), (1, b), (3, c), (4, d), (5, "")]

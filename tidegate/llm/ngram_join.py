@@ -374,7 +374,18 @@ def ngram_jaccard_join(
     Repeated rows come back as often as they came in. Other columns are ignored.
     """
     prepare(spark)
-    keyed = with_key(docs)
+    member = grouped(spark, with_key(docs), words, percent)
+    named = member.where("component is not null").groupBy("component").agg(
+        F.min(real_id()).alias("component_id")
+    )
+    return member.join(named, "component", "left").select(
+        real_id().alias("doc_id"), "tie", "n_shingles",
+        F.coalesce("component_id", real_id()).alias("component_id"),
+    ).drop("tie")
+
+
+def grouped(spark: SparkSession, keyed: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, tie, n_shingles and component, null without words, of every row of keyed."""
     about = materialize(spark, describe(keyed, words), "ngram-sets")
     full = about.where("n_shingles > 0")
     sketch = [f"s{i}" for i in range(SKETCH)]
@@ -439,14 +450,7 @@ def ngram_jaccard_join(
     member = about.join(final, "node", "left").withColumn(
         "component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node"))
     )
-    member = materialize(spark, member.select("doc_id", "tie", "n_shingles", "component"), "ngram-out")
-    named = member.where("component is not null").groupBy("component").agg(
-        F.min(real_id()).alias("component_id")
-    )
-    return member.join(named, "component", "left").select(
-        real_id().alias("doc_id"), "tie", "n_shingles",
-        F.coalesce("component_id", real_id()).alias("component_id"),
-    ).drop("tie")
+    return materialize(spark, member.select("doc_id", "tie", "n_shingles", "component"), "ngram-out")
 
 
 def oracle_sql(words: int = WORDS, percent: int = PERCENT) -> str:
@@ -481,13 +485,17 @@ GROUP BY d.r, d.doc_id
 
 def keep_first_of_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs without the near copies of another row: of each component one row stays, that
-    of the smallest doc_id. Rows without words all stay; of repeated rows one stays."""
-    found = ngram_jaccard_join(spark, docs)
+    of the smallest doc_id, nulls last, and of its texts the one with the least hash. Rows
+    without words all stay; of repeated rows one stays."""
+    prepare(spark)
+    member = grouped(spark, with_key(docs), WORDS, PERCENT)
+    order = F.struct(real_id().isNull().alias("last"), "doc_id", "tie")
+    first = member.where("component is not null").groupBy("component").agg(F.min(order).alias("of")).select("of.*")
+    kept = first.select("doc_id", "tie").unionByName(
+        member.where("component is null").select("doc_id", "tie").distinct()
+    ).toDF("_key", "_tie")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    kept = found.where("n_shingles = 0 or doc_id = component_id or doc_id is null").select(
-        key.alias("_key")
-    ).distinct()
     # One exchange of the texts serves the join and the choice among repeated rows.
-    out = docs.withColumn("_key", key).join(kept, "_key", "left_semi")
-    repeated = Window.partitionBy("_key", F.xxhash64("text")).orderBy(F.lit(0))
-    return out.withColumn("_nth", F.row_number().over(repeated)).where("_nth = 1").drop("_nth", "_key")
+    out = docs.withColumn("_key", key).withColumn("_tie", F.hash("text")).join(kept, ["_key", "_tie"], "left_semi")
+    repeated = Window.partitionBy("_key", "_tie", F.xxhash64("text")).orderBy(F.lit(0))
+    return out.withColumn("_nth", F.row_number().over(repeated)).where("_nth = 1").drop("_nth", "_key", "_tie")
