@@ -12,7 +12,11 @@ from tidegate.session import configure, materialize
 
 #: Results that are read again lie in tables of the shared folder, so the shuffle files of a
 #: finished query are of no more use.
-SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # Rows that hold whole arrays: what goes to a Python worker at once is bounded in bytes too.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -203,6 +207,40 @@ class SegmentMemo:
         return ids, np.concatenate([[0], np.cumsum(counts)])
 
 
+def byte_table(text: str) -> np.ndarray:
+    """Which bytes belong to a set, given by one ASCII character each."""
+    table = np.zeros(256, bool)
+    table[list(text.encode())] = True
+    return table
+
+
+#: `[^\\x20\\x09-\\x0D]`: what words of text are made of.
+WORD_BYTES = ~byte_table(" \t\n\x0b\x0c\r")
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def lower_words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = WORD_BYTES) -> tuple[pa.Array, np.ndarray]:
+    """(words as a binary array, the row of each): the longest runs of `inside` bytes in
+    every row, with A-Z in lower case. Every byte of a multi-byte character is inside."""
+    keep = inside[data]
+    first, last = keep.copy(), keep.copy()
+    first[1:] &= ~keep[:-1]
+    last[:-1] &= ~keep[1:]
+    # Rows touch each other, words do not go on from one to the next.
+    at = offsets[:-1][offsets[:-1] < offsets[1:]]
+    first[at] = keep[at]
+    last[at[1:] - 1] = keep[at[1:] - 1]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    places = np.zeros(start.size + 1, np.int64)
+    np.cumsum(end - start, out=places[1:])
+    letters = _LOWER[data[keep]]
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), start.size, [None, pa.py_buffer(places), pa.py_buffer(letters)]
+    )
+    return words, np.searchsorted(offsets, start, "right") - 1
+
+
 def merged(a, b):
     keys, slots = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
     order = np.argsort(keys, kind="stable")

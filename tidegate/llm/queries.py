@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.llm import arc_convert, line_quality, ngram_join, url_aliases
 from tidegate.llm.column_packing import pack_documents
+from tidegate.llm.hidden_markov import language_model_scores
 from tidegate.llm.lcp_fingerprint import locally_consistent_fingerprints
 from tidegate.llm.pfp_dedup import remove_repeated_strings
 from tidegate.llm.piece_scan import encode_pieces, encoding_digests
@@ -70,6 +71,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(spark, table(spark, sf_dir, "documents"))
 
 
+def op12_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_arc_convert": op1_arc_convert,
     "op4_lcp_fingerprint": op4_lcp_fingerprint,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_quality": op5_line_quality,
     "op8_column_packing": op8_column_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op12_hidden_markov": op12_hidden_markov,
 }
 
 ORACLES: dict[str, str] = {
