@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidegate.operators.decompress import decompress_body
 from tidegate.operators.retry import RetryPolicy
+from tidegate.plans import stand_in
 from tidegate.plans.envelopes import event_messages, events, kind_of, packed_base64
 from tidegate.plans.pipeline import Pipeline
 from tidegate.plans.registry import EVENTS_SQL, query
@@ -15,10 +16,12 @@ from tidegate.plans.state_queries import ALL_FLAGS, dedup_sql
 from tidegate.session import run_dir
 from tidegate.sinks.topics import batch_path, write_topic
 from tidegate.sources.messages import read_messages
-from tidegate.streaming.pipeline import read_batches, run_available
+from tidegate.sources.queue_stream import stream_queues
+from tidegate.streaming.pipeline import read_batches, run_available, start_stream
 from tidegate.streaming.stateful import dedup_stream
 
 WINDOW_MS = 4 * 86_400_000
+RECEIVES_PER_ROUND = 2_000
 
 # Clicks and views pass the filter; a price of 40 or more cannot be converted;
 # retries are off, so a failure goes to the dead letters at once.
@@ -206,6 +209,27 @@ def stream_records(spark, sf_dir):
     return record_summary(read_batches(spark, folders.records))
 
 
+@query("receive_stream", RECORDS_SQL)
+def receive_stream(spark, sf_dir):
+    """Live queues, here made of files, received round by round and piped as a stream."""
+    root = run_dir(spark, "receive")
+    messages = packed_events(spark, sf_dir)
+    stand_in.fill(messages, f"{root}/queues")
+    queues = [r.queue_url for r in messages.select("queue_url").distinct().collect()]
+    source = stream_queues(
+        spark, queues, "tidegate.plans.stand_in:FileQueues", f"{root}/rounds",
+        receiver_options={"root": f"{root}/queues"}, max_polls=RECEIVES_PER_ROUND,
+    )
+    query, folders = start_stream(
+        source, flow(), root, lateness_ms=WINDOW_MS, available_now=False, interval="0 seconds"
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return record_summary(read_batches(spark, folders.records))
+
+
 @query("stream_metrics", METRICS_SQL)
 def stream_metrics(spark, sf_dir):
     folders = streamed(spark, sf_dir)
