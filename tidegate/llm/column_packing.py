@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from tidegate.llm.common import SegmentMemo, pieces, prepare, text_buffer
+from tidegate.llm.common import pieces, prepare, text_buffer
+from tidegate.llm.segments import SegmentIds
 from tidegate.session import materialize
 
 CAPACITY = 1024
@@ -32,50 +33,53 @@ SMOOTH = 0.6
 _STRANGE_BLANKS = [chr(c) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
 
-class Encoder:
-    """Token ids of whole texts by the tokenizer file, remembering words.
+_STRANGE_BYTES = [c.encode() for c in _STRANGE_BLANKS]
+_BLANK = np.zeros(256, bool)
+_BLANK[[32, *range(9, 14), *range(28, 32)]] = True
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[list(b".,;:!?")] = True
+
+
+def byte_level_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where byte-level pre-tokenization parts a text for sure.
 
-    Byte-level pre-tokenization cuts before a blank that stands alone between characters
-    that are none, behind it if it is a line feed, and between a letter and a stop or
-    comma. So a text is the segments between such places and its ids are those of its
-    segments in order. Each different segment is encoded once. Texts with blanks other
-    than space, line feed and the like are encoded whole.
+    It cuts before a blank that stands alone between characters that are none, behind it
+    if it is a line feed, and between a letter and a stop or comma. So a text is the
+    segments between such places and its ids are those of its segments in order. Texts
+    with blanks other than space, line feed and the like are not cut.
     """
+    is_blank = _BLANK[data]
+    cut = np.zeros(data.size, bool)
+    alone = (data == 32) | (data == 10)
+    cut[1:-1] = alone[1:-1] & ~is_blank[:-2] & ~is_blank[2:]
+    cut[1:] |= cut[:-1] & (data[:-1] == 10)
+    cut[1:] |= _MARK[data[1:]] & _LETTER[data[:-1]]
+    text = data.tobytes()
+    for mark in _STRANGE_BYTES:
+        at = text.find(mark)
+        while at >= 0:
+            i = int(np.searchsorted(offsets, at, "right")) - 1
+            cut[offsets[i] : offsets[i + 1]] = False
+            at = text.find(mark, int(offsets[i + 1]))
+    return cut
+
+
+class Encoder:
+    """Token ids of whole texts by the tokenizer file, remembering words."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo = SegmentMemo(self.tokenize)
-        self.strange = [c.encode() for c in _STRANGE_BLANKS]
+        self.segments = SegmentIds(self.tokenize)
 
-    def tokenize(self, segments: list[bytes]) -> list[np.ndarray]:
+    def tokenize(self, segments: list[bytes]) -> list[list[int]]:
         found = self.tokenizer.encode_batch_fast([s.decode() for s in segments], add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in found]
-
-    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        blank = np.zeros(256, bool)
-        blank[[32, *range(9, 14), *range(28, 32)]] = True
-        is_blank = blank[data]
-        cut = np.zeros(data.size, bool)
-        alone = (data == 32) | (data == 10)
-        cut[1:-1] = alone[1:-1] & ~is_blank[:-2] & ~is_blank[2:]
-        cut[1:] |= cut[:-1] & (data[:-1] == 10)
-        letter, mark = np.zeros(256, bool), np.zeros(256, bool)
-        letter[[*range(65, 91), *range(97, 123)]] = True
-        mark[list(b".,;:!?")] = True
-        cut[1:] |= mark[data[1:]] & letter[data[:-1]]
-        text = data.tobytes()
-        for mark in self.strange:
-            at = text.find(mark)
-            while at >= 0:
-                i = int(np.searchsorted(offsets, at, "right")) - 1
-                cut[offsets[i] : offsets[i + 1]] = False
-                at = text.find(mark, int(offsets[i + 1]))
-        return cut
+        return [e.ids for e in found]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, where each text's ids start)."""
-        return self.memo.encode(data, offsets, self.cuts(data, offsets))
+        return self.segments.encode(data, offsets, byte_level_cuts(data, offsets))
 
 
 _ENCODERS: dict[str, Encoder] = {}

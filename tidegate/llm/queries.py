@@ -7,13 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import arc_convert, line_quality, ngram_join, url_aliases
+from tidegate.llm import arc_convert, line_quality, ngram_join, rmq_search, url_aliases
 from tidegate.llm.column_packing import pack_documents
 from tidegate.llm.hidden_markov import language_model_scores
 from tidegate.llm.lcp_fingerprint import locally_consistent_fingerprints
 from tidegate.llm.pfp_dedup import remove_repeated_strings
 from tidegate.llm.piece_scan import encode_pieces, encoding_digests
 from tidegate.llm.sentence_spans import remove_repeated_sentences
+from tidegate.llm.token_alignment import align_tokenizers
 from tidegate.llm.toxicity import is_held_out, toxicity_scores
 
 
@@ -71,10 +72,19 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_rmq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rmq_search.search_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model_scores(spark, table(spark, sf_dir, "documents"))
 
 
+def op13_token_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align_tokenizers(spark, table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_arc_convert": op1_arc_convert,
     "op4_lcp_fingerprint": op4_lcp_fingerprint,
@@ -86,7 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_quality": op5_line_quality,
     "op8_column_packing": op8_column_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_rmq_search": op11_rmq_search,
     "op12_hidden_markov": op12_hidden_markov,
+    "op13_token_windows": op13_token_windows,
 }
 
 ORACLES: dict[str, str] = {
@@ -94,4 +106,5 @@ ORACLES: dict[str, str] = {
     "op5_line_quality": line_quality.oracle_sql(),
     "op6_url_aliases": url_aliases.oracle_sql(url_aliases.RULES),
     "op10_ngram_jaccard_join": ngram_join.oracle_sql(),
+    "op11_rmq_search": rmq_search.oracle_sql(),
 }
