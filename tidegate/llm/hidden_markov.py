@@ -37,9 +37,12 @@ NAME_BYTES = 32
 #: Tokens that one round of array operations holds, and steps in which a text is walked
 #: through; a longer text is cut, and matrices over its cuts carry the states across.
 WALK_TOKENS = 400_000
-WALK_STEPS = 2_048
+WALK_STEPS = 4_096
 #: Bytes of text counted together.
 COUNTED_BYTES = 8 << 20
+#: Steps after which weights are scaled again; the product of that many emissions is far
+#: above the least number.
+SCALED = 8
 #: Added to expected counts: to a transition, and to an emission in shares of the unigram.
 TRANSITION_PRIOR = 1.0
 EMISSION_PRIOR = 20.0
@@ -287,30 +290,37 @@ def first_model(unigram: np.ndarray, states: int, seed: int = 7) -> HiddenMarkov
     return HiddenMarkov(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
 
-def walk(model: HiddenMarkov, ids: np.ndarray, at: np.ndarray, n: np.ndarray, before: np.ndarray, keep: bool = False):
-    """Scaled forward recursion over runs of tokens, longest first, side by side.
-
-    before holds the state distribution ahead of each run's first token. Returns the
-    distribution ahead of the token after each run, the log likelihood of each run, and
-    with keep the filtered states and the ids, step after step, with where each step begins.
-    """
-    ahead, total = before.copy(), np.zeros(n.size)
+def steps_of(at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(token places step after step, where each step begins) of runs, longest first."""
     steps = int(n[0]) if n.size else 0
     live = np.searchsorted(-n, -np.arange(steps), "left")
     where = np.concatenate([[0], np.cumsum(live)])
-    held = np.empty((int(where[-1]), before.shape[1])) if keep else None
-    held_ids = np.empty(int(where[-1]), ids.dtype) if keep else None
-    for t in range(steps):
-        m = int(live[t])
-        token = ids[at[:m] + t]
-        now = ahead[:m] * model.emit[token]
-        scale = now.sum(axis=1)
-        now /= scale[:, None]
-        total[:m] += np.log(scale)
-        ahead[:m] = now @ model.move
-        if keep:
-            held[where[t] : where[t + 1]], held_ids[where[t] : where[t + 1]] = now, token
-    return ahead, total, held, held_ids, where
+    run = np.arange(int(where[-1])) - np.repeat(where[:-1], live)
+    return at[run] + np.repeat(np.arange(steps), live), where
+
+
+def walk(model: HiddenMarkov, seen: np.ndarray, where: np.ndarray, before: np.ndarray, keep: bool = False):
+    """Scaled forward recursion over runs of tokens, longest first, side by side.
+
+    seen has the emissions of the runs' tokens, step after step, and before the state
+    distribution ahead of each run's first token. Returns the distribution ahead of the
+    token after each run, the log likelihood of each run, and with keep the forward
+    weights of all tokens, each right up to a factor.
+    """
+    ahead, total = before.copy(), np.zeros(before.shape[0])
+    held = np.empty_like(seen) if keep else np.empty_like(before)
+    for t in range(where.size - 1):
+        first, last = where[t], where[t + 1]
+        m = last - first
+        now = held[first:last] if keep else held[:m]
+        np.multiply(ahead[:m], seen[first:last], out=now)
+        if t % SCALED == SCALED - 1:
+            scale = now.sum(axis=1, keepdims=True)
+            now /= scale
+            total[:m] += np.log(scale[:, 0])
+        np.matmul(now, model.move, out=ahead[:m])
+    scale = ahead.sum(axis=1, keepdims=True)
+    return ahead / scale, total + np.log(scale[:, 0]), held
 
 
 @dataclass
@@ -353,7 +363,8 @@ def cut_runs(model: HiddenMarkov, ids: np.ndarray, offsets: np.ndarray, steps: i
             own = cut[first : first + each]
             order = np.argsort(-n[own], kind="stable")
             rows = np.repeat(own[order], states)
-            after, total, *_ = walk(model, ids, at[rows], n[rows], np.tile(np.eye(states), (own.size, 1)))
+            places, where = steps_of(at[rows], n[rows])
+            after, total, _ = walk(model, model.emit[ids[places]], where, np.tile(np.eye(states), (own.size, 1)))
             to[first + order] = after.reshape(-1, states, states)
             log[first + order] = total.reshape(-1, states)
         weight = np.exp(log - log.max(axis=1, keepdims=True))
@@ -369,11 +380,10 @@ def cut_runs(model: HiddenMarkov, ids: np.ndarray, offsets: np.ndarray, steps: i
 
 
 def grouped(n: np.ndarray, most: int) -> Iterator[np.ndarray]:
-    """Runs by groups of about that many tokens, the longest first in each."""
-    group = np.cumsum(n) // most
-    for first in np.unique(group):
-        own = np.flatnonzero(group == first)
-        yield own[np.argsort(-n[own], kind="stable")]
+    """Runs of like length by groups of about that many tokens, the longest first."""
+    order = np.argsort(-n, kind="stable")
+    group = np.cumsum(n[order]) // most
+    yield from np.split(order, np.flatnonzero(np.diff(group)) + 1)
 
 
 def likelihoods(model: HiddenMarkov, ids: np.ndarray, offsets: np.ndarray, steps: int = WALK_STEPS) -> np.ndarray:
@@ -381,7 +391,8 @@ def likelihoods(model: HiddenMarkov, ids: np.ndarray, offsets: np.ndarray, steps
     runs = cut_runs(model, ids, offsets, steps)
     out = np.zeros(offsets.size - 1)
     for own in grouped(runs.n, WALK_TOKENS):
-        _, total, *_ = walk(model, ids, runs.at[own], runs.n[own], runs.before[own])
+        places, where = steps_of(runs.at[own], runs.n[own])
+        _, total, _ = walk(model, model.emit[ids[places]], where, runs.before[own])
         np.add.at(out, runs.text[own], total)
     return out
 
@@ -399,28 +410,35 @@ class ExpectedCounts:
         model = self.model
         runs = cut_runs(model, ids, offsets, steps)
         for own in grouped(runs.n, WALK_TOKENS):
-            n, ends = runs.n[own], runs.ends[own]
-            _, _, held, held_ids, where = walk(model, ids, runs.at[own], n, runs.before[own], keep=True)
-            behind = runs.behind[own].copy()
-            crossing = np.zeros_like(self.move)
+            places, where = steps_of(runs.at[own], runs.n[own])
+            token = ids[places]
+            seen = model.emit[token]
+            _, _, ahead = walk(model, seen, where, runs.before[own], keep=True)
+            # Weight of all that follows a token, per state of the next one.
+            behind = np.empty_like(seen)
+            back = runs.behind[own].copy()
+            turned = np.ascontiguousarray(model.move.T)
+            value = np.empty_like(back)
             for t in range(where.size - 2, -1, -1):
-                a = held[where[t] : where[t + 1]]
-                m = a.shape[0]
-                value = behind[:m] @ model.move.T
-                state = a * value
-                scale = 1 / state.sum(axis=1, keepdims=True)
-                # A text's last token moves nowhere.
-                goes = (n[:m] > t + 1) | ~ends[:m]
-                crossing += (a * (scale * goes[:, None])).T @ behind[:m]
-                back = model.emit[held_ids[where[t] : where[t + 1]]] * value
-                behind[:m] = back / back.max(axis=1, keepdims=True)
-                state *= scale
-                held[where[t] : where[t + 1]] = state
-            self.move += crossing * model.move
-            if where.size > 1:
-                self.start += held[: where[1]][runs.begins[own]].sum(axis=0)
+                first, last = where[t], where[t + 1]
+                m = last - first
+                behind[first:last] = back[:m]
+                np.matmul(back[:m], turned, out=value[:m])
+                np.multiply(value[:m], seen[first:last], out=back[:m])
+                if t % SCALED == 0:
+                    back[:m] /= back[:m].max(axis=1, keepdims=True)
+            state = ahead * (behind @ turned)
+            scale = 1 / state.sum(axis=1, keepdims=True)
+            state *= scale
+            # A text's last token moves nowhere.
+            ahead *= scale
+            last_of = runs.ends[own]
+            final = where[runs.n[own] - 1] + np.arange(own.size)
+            ahead[final[last_of]] = 0
+            self.move += (ahead.T @ behind) * model.move
+            self.start += state[: where[1]][runs.begins[own]].sum(axis=0)
             for k in range(model.start.size):
-                self.emit[:, k] += np.bincount(held_ids, weights=held[:, k], minlength=self.emit.shape[0])
+                self.emit[:, k] += np.bincount(token, weights=state[:, k], minlength=self.emit.shape[0])
 
 
 def sequence_runs(batches, column: str = "classes") -> Iterator[tuple[np.ndarray, np.ndarray, pa.RecordBatch]]:
@@ -429,7 +447,7 @@ def sequence_runs(batches, column: str = "classes") -> Iterator[tuple[np.ndarray
         lists = batch.column(column)
         offsets = lists.offsets.to_numpy().astype(np.int64)
         ids = lists.values.to_numpy(zero_copy_only=False)
-        for first, last in pieces(offsets, 2 * WALK_TOKENS):
+        for first, last in pieces(offsets, 8 * WALK_TOKENS):
             yield ids, offsets[first : last + 1], batch.slice(first, last - first)
 
 
