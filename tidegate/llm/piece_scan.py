@@ -19,7 +19,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm.common import SegmentMemo, pieces, prepare, text_buffer, with_key
+from tidegate.llm.common import pieces, prepare, text_buffer, with_key
+from tidegate.llm.segments import SegmentIds
 from tidegate.session import materialize
 
 #: Characters of a chunk, and matrices combined at once.
@@ -29,6 +30,8 @@ MARK = "▁"
 FLOOR = -1_000_000
 #: What stands for no path, and the score of a character without a piece.
 NONE, UNKNOWN = -(1 << 60), 2 * FLOOR
+#: Parts of giant texts that a task remembers, and characters from which one is not kept.
+REMEMBERED_PARTS, LONG_PART = 200_000, 200
 
 
 class Model:
@@ -55,11 +58,21 @@ class Model:
                 text = piece.replace(MARK, " ").encode()
             plain.append(text)
         self.reach = max(map(len, self.pieces))
+        # No piece goes on behind a text that begins none.
+        self.beginnings = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
+        self.joined = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.unknown = weight(UNKNOWN, 0)
         self.sizes = np.fromiter(map(len, plain), np.int64, len(plain))
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.flat = np.frombuffer(b"".join(plain), np.uint8)
-        self.memo = SegmentMemo(self.segments)
+        self.may_cut = np.ones((256, 256), bool)
+        for piece in self.pieces:
+            for written in (piece.encode(), piece.replace(MARK, " ").encode()):
+                own = np.frombuffer(written, np.uint8)
+                self.may_cut[own[:-1], own[1:]] = False
+        self.may_cut[:, 0x80:0xC0] = False
+        self.memo = SegmentIds(self.segments)
+        self.parts: dict[str, tuple[int, list[int]]] = {}
 
     def forward(self, text: str, first: int, stop: int):
         """Best weight to each place from first on, with pieces that start before stop, and
@@ -67,13 +80,16 @@ class Model:
         best = [NONE] * (len(text) + 1)
         back = [(0, -1)] * (len(text) + 1)
         best[first] = 0
-        get, reach, end = self.pieces.get, self.reach, len(text)
+        get, reach, end, beginnings = self.pieces.get, self.reach, len(text), self.beginnings
         for at in range(first, stop):
             here = best[at]
             if here == NONE:
                 continue
             for to in range(at + 1, min(at + reach, end) + 1):
-                found = get(text[at:to])
+                part = text[at:to]
+                if part not in beginnings:
+                    break
+                found = get(part)
                 if found is not None and here + found[1] > best[to]:
                     best[to], back[to] = here + found[1], (at, found[0])
             if here + self.unknown > best[at + 1]:
@@ -102,19 +118,28 @@ class Model:
     def encode(self, data: np.ndarray, offsets: np.ndarray):
         """Ids of texts that each begin with the blank that the model puts before a text.
 
-        No piece has a blank behind another character, so a text may be cut before each
-        blank that follows one; texts that hold the blank's own mark are not cut.
+        A text may be cut between two bytes that stand side by side in no piece.
         """
         cut = np.zeros(data.size, bool)
-        cut[1:] = (data[1:] == 32) & (data[:-1] != 32)
-        text, mark = data.tobytes(), MARK.encode()
-        at = text.find(mark)
-        while at >= 0:
-            i = int(np.searchsorted(offsets, at, "right")) - 1
-            cut[offsets[i] : offsets[i + 1]] = False
-            at = text.find(mark, int(offsets[i + 1]))
+        cut[1:] = self.may_cut[data[:-1], data[1:]]
         return self.memo.encode(data, offsets, cut)
 
+    def part(self, text: str) -> tuple[int, list[int]]:
+        """(weight, ids) of a piece of text that every path enters and leaves at its ends."""
+        found = self.parts.get(text)
+        if found is None:
+            if len(self.parts) > REMEMBERED_PARTS:
+                self.parts.clear()
+            best, back = self.forward(text, 0, len(text))
+            found = best[len(text)], self.trace(text, back, 0, len(text))
+            if len(text) < LONG_PART:
+                self.parts[text] = found
+        return found
+
+    def forget(self) -> None:
+        self.memo.forget()
+        self.parts.clear()
+
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of ids in order."""
         size = self.sizes[ids]
@@ -168,7 +193,7 @@ def crossings(spark: SparkSession, matrices: DataFrame, reach: int) -> DataFrame
     """
     levels = [matrices]
     largest = matrices.agg(F.max("chunk")).first()[0] or 0
-    key = "doc_id long, tie int, chunk long"
+    key = "doc_id long, tie long, chunk long"
 
     def up(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("chunk")
@@ -225,6 +250,18 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, path: str, chunk: int =
     reach = model_of(path).reach
     giant = F.char_length(F.coalesce("text", F.lit(""))) > chunk
 
+    def forgetting(work):
+        """The same work, whose memos are freed when the task ends."""
+
+        def run(batches):
+            try:
+                yield from work(batches)
+            finally:
+                model_of(path).forget()
+
+        return run
+
+    @forgetting
     def whole(batches):
         model = model_of(path)
         for batch in batches:
@@ -248,22 +285,23 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, path: str, chunk: int =
                 for some in range(0, len(rows), 64):
                     part = rows[some : some + 64]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([doc_id.as_py()] * len(part), pa.int64()), pa.array([tie.as_py()] * len(part), pa.int32()),
+                        [pa.array([doc_id.as_py()] * len(part), pa.int64()), pa.array([tie.as_py()] * len(part), pa.int64()),
                          pa.array([at // chunk for at in part], pa.int64()),
                          pa.array([min(chunk, len(text) - at) for at in part], pa.int64()),
                          pa.array([text[at : at + chunk + reach - 1] for at in part], pa.string())],
                         ["doc_id", "tie", "chunk", "own", "body"],
                     )
 
-    schema = "doc_id long, tie int, n_chars long, ids array<int>"
+    schema = "doc_id long, tie long, n_chars long, ids array<int>"
     short = keyed.where(~giant).mapInArrow(whole, schema)
     long = keyed.where(giant).dropDuplicates(["doc_id", "tie"])
     chunks = materialize(
         spark,
-        long.mapInArrow(split, "doc_id long, tie int, chunk long, own long, body string").repartition("doc_id", "tie", "chunk"),
+        long.mapInArrow(split, "doc_id long, tie long, chunk long, own long, body string").repartition("doc_id", "tie", "chunk"),
         "scan-chunks",
     )
 
+    @forgetting
     def transfer(batches):
         model = model_of(path)
         for batch in batches:
@@ -274,10 +312,11 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, path: str, chunk: int =
             )
 
     matrices = materialize(
-        spark, chunks.mapInArrow(transfer, "doc_id long, tie int, chunk long, matrix binary"), "scan-matrices"
+        spark, chunks.mapInArrow(transfer, "doc_id long, tie long, chunk long, matrix binary"), "scan-matrices"
     )
     states = crossings(spark, matrices, reach)
 
+    @forgetting
     def traced(batches):
         model = model_of(path)
         for batch in batches:
@@ -292,7 +331,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, path: str, chunk: int =
             )
 
     parts = chunks.join(states, ["doc_id", "tie", "chunk"]).mapInArrow(
-        traced, "doc_id long, tie int, chunk long, own long, ids array<int>"
+        traced, "doc_id long, tie long, chunk long, own long, ids array<int>"
     )
     # The ids of one document make one row, as its text did.
     joined = parts.groupBy("doc_id", "tie").agg(
@@ -305,23 +344,17 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, path: str, chunk: int =
     return short.unionByName(repeated)
 
 
-def word_cuts(body: str, own: int) -> list[int]:
-    """Places in the chunk's own characters before which every path is cut: a blank's mark
-    behind another character."""
-    cuts, at = [], body.find(MARK, 1)
-    while 0 < at < own:
-        if body[at - 1] != MARK:
-            cuts.append(at)
-        at = body.find(MARK, at + 1)
-    return cuts
+def part_cuts(model: Model, body: str, own: int) -> list[int]:
+    """Places in the chunk's own characters before which every path is cut: between two
+    characters that stand side by side in no piece."""
+    joined = model.joined
+    return [i for i in range(1, own) if body[i - 1 : i + 1] not in joined]
 
 
 def chunk_matrix(model: Model, body: str, own: int) -> np.ndarray:
     """The chunk's matrix: between the first and the last cut all paths are one, so only the
     ends need every entry and every exit."""
-    cuts = word_cuts(body, own)
-    if not cuts or cuts[0] < model.reach:
-        cuts = [c for c in cuts if c >= model.reach]
+    cuts = [c for c in part_cuts(model, body, own) if c >= model.reach]
     if not cuts:
         return model.matrix(body, own)
     first, last = cuts[0], cuts[-1]
@@ -330,7 +363,7 @@ def chunk_matrix(model: Model, body: str, own: int) -> np.ndarray:
         head[enter] = model.forward(body[:first], enter, first)[0][first]
     middle = 0
     for a, b in zip(cuts, cuts[1:]):
-        middle += segment_weight(model, body[a:b])
+        middle += model.part(body[a:b])[0]
     best, _ = model.forward(body[last:], 0, own - last)
     tail = np.full(model.reach, NONE, np.int64)
     over = min(model.reach, len(body) - own + 1)
@@ -338,27 +371,14 @@ def chunk_matrix(model: Model, body: str, own: int) -> np.ndarray:
     return np.maximum(head[:, None] + middle + tail[None, :], NONE)
 
 
-_WEIGHTS: dict[str, int] = {}
-
-
-def segment_weight(model: Model, segment: str) -> int:
-    found = _WEIGHTS.get(segment)
-    if found is None:
-        if len(_WEIGHTS) > 200_000:
-            _WEIGHTS.clear()
-        found = _WEIGHTS[segment] = model.forward(segment, 0, len(segment))[0][len(segment)]
-    return found
-
-
 def chunk_ids(model: Model, body: str, own: int, enter: int, leave: int) -> list[int]:
     """Ids of the pieces that start in the chunk on the path from enter to leave."""
-    cuts = [c for c in word_cuts(body, own) if c >= enter]
+    cuts = [c for c in part_cuts(model, body, own) if c >= enter]
     ids: list[int] = []
     at = enter
     for cut in cuts:
         if cut > at:
-            _, back = model.forward(body[at:cut], 0, cut - at)
-            ids += model.trace(body[at:cut], back, 0, cut - at)
+            ids += model.part(body[at:cut])[1]
             at = cut
     _, back = model.forward(body[at:], 0, own - at)
     return ids + model.trace(body[at:], back, 0, own + leave - at)
@@ -379,7 +399,7 @@ def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:
                 [batch.column("doc_id"), batch.column("tie"), pa.array(out, pa.string())], ["doc_id", "tie", "decoded"]
             )
 
-    return encoded.select("doc_id", "tie", "ids").mapInArrow(run, "doc_id long, tie int, decoded string")
+    return encoded.select("doc_id", "tie", "ids").mapInArrow(run, "doc_id long, tie long, decoded string")
 
 
 def encoding_digests(encoded: DataFrame, path: str) -> DataFrame:
