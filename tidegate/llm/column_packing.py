@@ -26,6 +26,8 @@ CAPACITY = 1024
 #: Tokens by which lengths are rounded up to classes.
 GRAIN = 8
 END_ID = 0
+#: Steps after which the kept inverse is computed anew.
+RENEWED = 200
 #: Weight of the best known dual prices in those that price the next pattern.
 SMOOTH = 0.6
 
@@ -98,7 +100,12 @@ def cut_documents(docs: DataFrame, path: str, capacity: int) -> DataFrame:
     """
 
     def run(batches):
-        work = encoder(path)
+        try:
+            yield from encoded(batches, encoder(path))
+        finally:
+            encoder(path).segments.forget()
+
+    def encoded(batches, work):
         copy = 0
         for batch in batches:
             data, offsets = text_buffer(batch.column("text"))
@@ -128,6 +135,21 @@ def cut_documents(docs: DataFrame, path: str, capacity: int) -> DataFrame:
     )
 
 
+def inverse_of(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan with row exchanges. The matrices are small, and a library's threaded
+    routine has been seen to stand still beside a JVM."""
+    n = matrix.shape[0]
+    work = np.concatenate([matrix, np.eye(n)], axis=1)
+    for k in range(n):
+        pivot = k + int(np.abs(work[k:, k]).argmax())
+        work[[k, pivot]] = work[[pivot, k]]
+        work[k] /= work[k, k]
+        factors = work[:, k].copy()
+        factors[k] = 0
+        work -= factors[:, None] * work[k][None]
+    return work[:, n:]
+
+
 def best_pattern(prices: np.ndarray, slots: int) -> tuple[float, np.ndarray]:
     """The dearest set of classes (sizes 1..slots grains, any number of each) in one
     sequence, by dynamic programming over the filled slots."""
@@ -171,8 +193,8 @@ def solve_patterns(demand: np.ndarray, gap: float = 0.002, most_rounds: int = 40
     cost = np.ones(live.size)
     need, held, best = demand.astype(float), None, 0.0
     for step in range(most_rounds):
-        if step % 200 == 199:
-            inverse = np.linalg.inv(basis[:, live].T.astype(float))
+        if step % RENEWED == RENEWED - 1:
+            inverse = inverse_of(basis[:, live].T.astype(float))
             amount = np.maximum(inverse @ demand[live], 0)
         prices = np.zeros(slots)
         prices[live] = cost @ inverse
