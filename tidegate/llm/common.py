@@ -56,48 +56,133 @@ def stream(seed: int, n: int) -> np.ndarray:
     return mix(steps + np.uint64((seed * 0xD1342543DE82EF95) & MASK))
 
 
-class Rolling:
-    """Polynomial hashes of any byte range from one running sum, modulo 2**64.
+def window_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """A quick hash of the `size` bytes (a power of two) from each place on, for choices
+    that need not tell all strings apart."""
+    out = stream(1, 256)[data]
+    step = 1
+    while step < size:
+        out = out[:-step] * np.uint64(GOLDEN + 2 * step) + out[step:] if out.size > step else out[:0]
+        step *= 2
+    return mix(out)
 
-    A byte is first replaced by a random word, so the range hash is a sum of random
-    words times powers of an odd base; dividing by the power of the start makes it
-    independent of the place.
-    """
 
-    BASE = 0x5851F42D4C957F2D
-    INVERSE = pow(BASE, -1, 1 << 64)
+#: Modulus of names: a prime, so that strings with a pattern collide no more than others.
+PRIME = (1 << 61) - 1
+_P = np.uint64(PRIME)
+_LOW31, _LOW30 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+_S61, _S31, _S30, _ONE = np.uint64(61), np.uint64(31), np.uint64(30), np.uint64(1)
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> _S61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def shifted(x: np.ndarray) -> np.ndarray:
+    """x * 2**31 modulo the prime, not fully reduced, for x below 2**62."""
+    return (x >> _S30) + ((x & _LOW30) << _S31)
 
-    def __init__(self) -> None:
-        self.words = stream(1, 256)
-        self.up = np.ones(1, np.uint64)
-        self.down = np.ones(1, np.uint64)
 
-    def _powers(self, table: np.ndarray, base: int, n: int) -> np.ndarray:
-        while table.size < n:
-            step = np.uint64(pow(base, table.size, 1 << 64))
-            table = np.concatenate([table, table * step])
-        return table
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The product modulo the prime of numbers below it."""
+    a1, a0, b1, b0 = a >> _S31, a & _LOW31, b >> _S31, b & _LOW31
+    return reduced(reduced(((a1 * b1) << _ONE) + shifted(a1 * b0 + a0 * b1)) + reduced(a0 * b0))
 
-    def sums(self, data: np.ndarray) -> np.ndarray:
-        n = data.size
-        self.up = self._powers(self.up, self.BASE, n + 1)
-        self.down = self._powers(self.down, self.INVERSE, n + 1)
-        out = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.words[data] * self.up[:n], out=out[1:])
-        return out
 
-    def ranges(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((sums[end] - sums[start]) * self.down[start])
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(1, np.uint64)
+    while out.size < n:
+        step = np.full(out.size, pow(base, out.size, PRIME), np.uint64)
+        out = np.concatenate([out, times(out, step)])
+    return out[:n]
 
 
-_ROLLING: list[Rolling] = []
+class Names:
+    """Names of any byte range: values of the polynomial of its bytes modulo a prime.
 
+    Bytes are replaced by random numbers. Sums run inside blocks of ROW bytes, whose tables
+    stay small, and from block to block; dividing by the power of the start makes the
+    name independent of the place.
+    """
+
+    BASE = 0x0D3A_2B1F_7C59_6E43
+    ROW = 1024
 
-def rolling() -> Rolling:
-    """The worker's own hasher, whose tables of powers grow with the texts met."""
-    if not _ROLLING:
-        _ROLLING.append(Rolling())
-    return _ROLLING[0]
+    def __init__(self) -> None:
+        inverse = pow(self.BASE, -1, PRIME)
+        self.down = powers(inverse, self.ROW)
+        terms = times(
+            np.repeat(powers(self.BASE, self.ROW), 256), np.tile(reduced(stream(1, 256)), self.ROW)
+        )
+        self.low, self.high = (terms & _LOW31).astype(np.uint32), (terms >> _S31).astype(np.uint32)
+        self.place = (np.arange(self.ROW, dtype=np.int32) * 256)[None]
+        self.row_base, self.row_inverse = pow(self.BASE, self.ROW, PRIME), pow(inverse, self.ROW, PRIME)
+
+    def sums(self, data: np.ndarray) -> "Sums":
+        return Sums(self, data)
+
+
+class Sums:
+    def __init__(self, names: Names, data: np.ndarray) -> None:
+        self.names = names
+        rows = data.size // names.ROW + 1
+        padded = np.zeros(rows * names.ROW, np.uint8)
+        padded[: data.size] = data
+        at = padded.reshape(rows, names.ROW) + names.place
+        inside = np.cumsum(names.high[at], axis=1, dtype=np.uint64)
+        inside = shifted(inside)
+        inside += np.cumsum(names.low[at], axis=1, dtype=np.uint64)
+        self.inside = reduced(inside)
+        self.scale = powers(names.row_base, rows)
+        whole = times(self.scale, self.inside[:, -1])
+        before = reduced(shifted(np.cumsum(whole >> _S31)) + np.cumsum(whole & _LOW31))
+        self.before = np.concatenate([np.zeros(1, np.uint64), before])
+
+    def upto(self, end: np.ndarray) -> np.ndarray:
+        row, at = end // self.names.ROW, end % self.names.ROW
+        here = np.where(at > 0, self.inside[row, np.maximum(at - 1, 0)], np.uint64(0))
+        return reduced(self.before[row] + times(self.scale[row], here))
+
+    def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """64-bit names of the ranges, spread by a bijection."""
+        if not start.size:
+            return np.zeros(0, np.uint64)
+        found = reduced(self.upto(end) + (_P - self.upto(start)))
+        row, at = start // self.names.ROW, start % self.names.ROW
+        down = times(self.names.down[at], powers(self.names.row_inverse, int(row.max()) + 1)[row])
+        return mix(times(found, down))
+
+
+_NAMES: list[Names] = []
+
+
+def names() -> Names:
+    """The worker's own tables, of fixed size."""
+    if not _NAMES:
+        _NAMES.append(Names())
+    return _NAMES[0]
+
+
+def word_names(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A name for each word (ascending byte ranges that do not touch), each different word
+    named once."""
+    size = end - start
+    places = np.zeros(start.size + 1, np.int64)
+    np.cumsum(size, out=places[1:])
+    level = np.zeros(data.size + 1, np.int8)
+    level[start] = 1
+    level[end] -= 1
+    letters = data[np.cumsum(level[:-1], dtype=np.int8).view(bool)]
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), start.size, [None, pa.py_buffer(places), pa.py_buffer(letters)]
+    ).dictionary_encode()
+    found = words.dictionary
+    if not len(found):
+        return np.zeros(0, np.uint64)
+    edge = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1, found.offset * 8)
+    own = names().sums(np.frombuffer(found.buffers()[2], np.uint8)).ranges(edge[:-1], edge[1:])
+    return own[words.indices.to_numpy()]
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -123,90 +208,6 @@ def pieces(offsets: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-#: Segments of text whose ids a worker remembers, some 40 bytes each.
-REMEMBERED = 3_000_000
-
-
-class SegmentMemo:
-    """Ids of texts that are cut into segments, each different segment encoded once.
-
-    tokenize(list of segments as bytes) gives an array of ids for each. What is known lies
-    in sorted arrays: a large one, and a recent one that is merged into it now and then.
-    """
-
-    def __init__(self, tokenize: Callable[[list[bytes]], list[np.ndarray]]) -> None:
-        self.tokenize = tokenize
-        self.rolling = Rolling()
-        self.forget()
-
-    def forget(self) -> None:
-        self.tiers = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(2)]
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.sizes = np.zeros(1 << 14, np.int32)
-        self.count = self.filled = 0
-
-    def slots(self, names: np.ndarray) -> np.ndarray:
-        """Where each of the sorted names is known, -1 for unknown ones."""
-        out = np.full(names.size, -1, np.int64)
-        for keys, slots in self.tiers:
-            if keys.size:
-                at = np.minimum(np.searchsorted(keys, names), keys.size - 1)
-                hit = keys[at] == names
-                out[hit] = slots[at[hit]]
-        return out
-
-    def learn(self, segments: list[bytes], names: np.ndarray) -> np.ndarray:
-        new = self.tokenize(segments)
-        ids = np.concatenate(new) if new else np.zeros(0, np.uint32)
-        sizes = np.fromiter(map(len, new), np.int64, len(new))
-        while self.filled + ids.size > self.flat.size:
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.count + sizes.size > self.starts.size:
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-        slots = np.arange(self.count, self.count + sizes.size)
-        self.flat[self.filled : self.filled + ids.size] = ids
-        self.starts[slots] = self.filled + np.cumsum(sizes) - sizes
-        self.sizes[slots] = sizes
-        self.count += sizes.size
-        self.filled += ids.size
-        large, recent = self.tiers
-        recent = merged(recent, (names, slots))
-        if recent[0].size > 20_000 + large[0].size // 4:
-            large, recent = merged(large, recent), (recent[0][:0], recent[1][:0])
-        self.tiers = [large, recent]
-        return slots
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts end to end, where each text's ids start); cut marks segment
-        starts beside those of the texts."""
-        n = offsets.size - 1
-        if not data.size:
-            return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
-        if self.count > REMEMBERED:
-            self.forget()
-        cut[offsets[:-1][offsets[:-1] < data.size]] = True
-        start = np.flatnonzero(cut)
-        row = np.searchsorted(offsets, start, "right") - 1
-        end = np.append(start[1:], data.size)
-        name = self.rolling.ranges(self.rolling.sums(data), start, end)
-        names, index, inverse = np.unique(name, return_index=True, return_inverse=True)
-        slot = self.slots(names)
-        fresh = np.flatnonzero(slot < 0)
-        if fresh.size:
-            text, at = data.tobytes(), index[fresh]
-            slot[fresh] = self.learn(
-                [text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())], names[fresh]
-            )
-        slot = slot[inverse]
-        size = self.sizes[slot].astype(np.int64)
-        total = np.cumsum(size)
-        ids = self.flat[np.repeat(self.starts[slot] - (total - size), size) + np.arange(total[-1])]
-        counts = np.bincount(row, weights=size, minlength=n).astype(np.int64)
-        return ids, np.concatenate([[0], np.cumsum(counts)])
-
-
 def byte_table(text: str) -> np.ndarray:
     """Which bytes belong to a set, given by one ASCII character each."""
     table = np.zeros(256, bool)
@@ -241,12 +242,6 @@ def lower_words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = WORD
     return words, np.searchsorted(offsets, start, "right") - 1
 
 
-def merged(a, b):
-    keys, slots = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
-    order = np.argsort(keys, kind="stable")
-    return keys[order], slots[order]
-
-
 def per_text(
     df: DataFrame,
     function: Callable[[np.ndarray, np.ndarray, pa.RecordBatch], pa.RecordBatch | None],
@@ -271,12 +266,17 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+def text_tie(column="text"):
+    """64 bits of the text; with the id they name a row."""
+    return F.xxhash64(column)
+
+
 def with_key(docs: DataFrame) -> DataFrame:
     """doc_id, tie and text. doc_id and tie name a row for joins; a null id has a place of
     its own, and rows that agree in both are the same text under the same id."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
-        F.hash("text").alias("tie"),
+        text_tie().alias("tie"),
         F.col("text").cast("string").alias("text"),
     )
 

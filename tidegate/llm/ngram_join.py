@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidegate.llm.common import (
-    GOLDEN, Rolling, connected_components, discard, keep_repeated, mix, per_text, pieces, prepare, real_id,
-    rolling, signed, stream, text_buffer, with_key,
+    GOLDEN, connected_components, discard, keep_repeated, mix, per_text, pieces, prepare, real_id,
+    signed, stream, text_buffer, text_tie, with_key, word_names,
 )
 from tidegate.session import materialize
 
@@ -48,7 +48,7 @@ def byte_tables() -> tuple[np.ndarray, np.ndarray]:
     return lower, blank
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int, rolling: Rolling):
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int):
     """(row, hash), sorted and distinct per row: the shingles of each text.
 
     A-Z are lower-cased; words are runs without space and control blanks; a text of fewer
@@ -69,7 +69,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int, rolling: Rol
     start, end = np.flatnonzero(begin), np.flatnonzero(finish) + 1
     if not start.size:
         return none
-    word = rolling.ranges(rolling.sums(data), start, end)
+    word = word_names(data, start, end)
     row = np.searchsorted(offsets, start, "right") - 1
     counts = np.bincount(row, minlength=offsets.size - 1)
     place = stream(2, words) | np.uint64(1)
@@ -108,7 +108,7 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
     """One row per document: set size, a hash of the set (the node) and its parity sketch."""
 
     def function(data, offsets, batch):
-        row, value = shingle_sets(data, offsets, words, rolling())
+        row, value = shingle_sets(data, offsets, words)
         n = offsets.size - 1
         sizes = np.bincount(row, minlength=n)
         bits = np.bincount(row * 64 * SKETCH + (value >> np.uint64(7)).astype(np.int64) % (64 * SKETCH),
@@ -123,7 +123,7 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, names)
 
     fields = ", ".join(f"s{i} long" for i in range(SKETCH))
-    return per_text(docs, function, f"doc_id long, tie int, n_shingles long, node long, {fields}")
+    return per_text(docs, function, f"doc_id long, tie long, n_shingles long, node long, {fields}")
 
 
 def heavy_shingles(docs: DataFrame, words: int, total: int, most: int = HEAVY_ROWS):
@@ -159,7 +159,7 @@ def heavy_shingles(docs: DataFrame, words: int, total: int, most: int = HEAVY_RO
             data, offsets = text_buffer(batch.column("text"))
             for first, last in pieces(offsets):
                 part = data[offsets[first] : offsets[last]]
-                _, value = shingle_sets(part, offsets[first : last + 1] - offsets[first], words, rolling())
+                _, value = shingle_sets(part, offsets[first : last + 1] - offsets[first], words)
                 held.append(value)
                 size += value.size
                 if size >= COUNTED:
@@ -240,7 +240,7 @@ def signatures(docs: DataFrame, words: int, percent: int, heavy, boundary: int)
     shared = spark.sparkContext.broadcast((tokens, counts))
 
     def function(data, offsets, batch):
-        row, value = shingle_sets(data, offsets, words, rolling())
+        row, value = shingle_sets(data, offsets, words)
         if not row.size:
             return None
         tokens, counts = shared.value
@@ -277,7 +277,7 @@ def signatures(docs: DataFrame, words: int, percent: int, heavy, boundary: int)
             ["sig", "doc_id", "tie", "pos"],
         )
 
-    return per_text(docs, function, "sig long, doc_id long, tie int, pos int")
+    return per_text(docs, function, "sig long, doc_id long, tie long, pos int")
 
 
 def fits(percent: int):
@@ -312,7 +312,7 @@ def verified(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: Data
     """
 
     def members(data, offsets, batch):
-        row, value = shingle_sets(data, offsets, words, rolling())
+        row, value = shingle_sets(data, offsets, words)
         cuts = np.searchsorted(row, np.arange(offsets.size))
         sets = [value[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
         place = (value % np.uint64(WIDE)).astype(np.int64)
@@ -496,6 +496,6 @@ def keep_first_of_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ).toDF("_key", "_tie")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     # One exchange of the texts serves the join and the choice among repeated rows.
-    out = docs.withColumn("_key", key).withColumn("_tie", F.hash("text")).join(kept, ["_key", "_tie"], "left_semi")
+    out = docs.withColumn("_key", key).withColumn("_tie", text_tie()).join(kept, ["_key", "_tie"], "left_semi")
     repeated = Window.partitionBy("_key", "_tie", F.xxhash64("text")).orderBy(F.lit(0))
     return out.withColumn("_nth", F.row_number().over(repeated)).where("_nth = 1").drop("_nth", "_key", "_tie")

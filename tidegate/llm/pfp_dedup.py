@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidegate.llm.common import (
-    Rolling, keep_repeated, mix, per_text, pieces, prepare, rolling, signed,
-    text_buffer, with_key,
+    keep_repeated, mix, names, per_text, pieces, prepare, signed, text_buffer, text_tie,
+    window_hashes, with_key,
 )
 from tidegate.session import materialize
 
@@ -28,20 +28,17 @@ LENGTH = 400
 #: Bytes a trigger looks at, mean bytes between triggers (a power of two), windows of a block.
 TRIGGER, GAP, BLOCK = 16, 64, 96
 
-def blocks_of(data: np.ndarray, offsets: np.ndarray, length: int, roll: Rolling):
+
+def blocks_of(data: np.ndarray, offsets: np.ndarray, length: int):
     """Blocks of windows: (row, first window, windows, core start, core end, kind).
 
     The kind is the block's distance from the phrase end, so equal windows are of equal
     kind. A window without a phrase end is a block of its own (kind -1). Every window of
     every text lies in exactly one block.
     """
-    sums = roll.sums(data)
-    n = data.size
     counts = np.diff(offsets)
     row_of = lambda at: np.searchsorted(offsets, at, "right") - 1
-    ends = np.arange(TRIGGER, n + 1)
-    mark = roll.ranges(sums, ends - TRIGGER, ends) & np.uint64(GAP - 1) == 0
-    ends = ends[mark]
+    ends = np.flatnonzero(window_hashes(data, TRIGGER) & np.uint64(GAP - 1) == 0) + TRIGGER
     # A trigger may not reach over the start of its text.
     ends = ends[ends - TRIGGER >= offsets[row_of(ends - 1)]] if ends.size else ends
     windows = np.maximum(counts - length + 1, 0)
@@ -49,7 +46,7 @@ def blocks_of(data: np.ndarray, offsets: np.ndarray, length: int, roll: Rolling)
         np.cumsum(windows) - windows, windows
     )
     if not starts.size:
-        return sums, None
+        return None
     # First phrase end at or behind start + TRIGGER and within the window.
     nearest = np.searchsorted(ends, starts + TRIGGER)
     far = np.iinfo(np.int64).max
@@ -67,7 +64,7 @@ def blocks_of(data: np.ndarray, offsets: np.ndarray, length: int, roll: Rolling)
     farthest_start = anchor - (TRIGGER + kind * BLOCK + BLOCK - 1)
     core_start = np.where(kind >= 0, nearest_start, begin)
     core_end = np.where(kind >= 0, farthest_start + length, begin + length)
-    return sums, (row_of(begin), begin, many, core_start, core_end, kind)
+    return row_of(begin), begin, many, core_start, core_end, kind
 
 
 def name_of(core: np.ndarray, kind: np.ndarray) -> np.ndarray:
@@ -80,12 +77,13 @@ def cores(docs: DataFrame, length: int) -> DataFrame:
     end."""
 
     def function(data, offsets, batch):
-        sums, found = blocks_of(data, offsets, length, rolling())
+        found = blocks_of(data, offsets, length)
         if found is None:
             return None
+        sums = names().sums(data)
         row, begin, many, start, end, kind = found
-        core = name_of(rolling().ranges(sums, start, end), kind)
-        whole = mix(rolling().ranges(sums, begin, begin + many - 1 + length) + many.astype(np.uint64))
+        core = name_of(sums.ranges(start, end), kind)
+        whole = mix(sums.ranges(begin, begin + many - 1 + length) + many.astype(np.uint64))
         at = pa.array(row)
         return pa.RecordBatch.from_arrays(
             [signed(core), signed(whole), batch.column("doc_id").take(at), batch.column("tie").take(at),
@@ -93,7 +91,7 @@ def cores(docs: DataFrame, length: int) -> DataFrame:
             ["core", "whole", "doc_id", "tie", "place"],
         )
 
-    return per_text(docs, function, "core long, whole long, doc_id long, tie int, place long")
+    return per_text(docs, function, "core long, whole long, doc_id long, tie long, place long")
 
 
 def repetitive_blocks(docs: DataFrame, length: int) -> DataFrame:
@@ -130,7 +128,7 @@ def repetitive_blocks(docs: DataFrame, length: int) -> DataFrame:
                 ["doc_id", "tie", "place", "repeated", "first"],
             )
 
-    return blocks.mapInArrow(run, "doc_id long, tie int, place long, repeated boolean, first boolean")
+    return blocks.mapInArrow(run, "doc_id long, tie long, place long, repeated boolean, first boolean")
 
 
 def contexts_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -141,9 +139,10 @@ def contexts_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     ).select("doc_id", "tie", F.col("places.at").alias("ats"), F.col("places.times").alias("times"))
 
     def function(data, offsets, batch):
-        sums, found = blocks_of(data, offsets, length, rolling())
+        found = blocks_of(data, offsets, length)
         if found is None:
             return None
+        sums = names().sums(data)
         row, begin, many, start, end, kind = found
         ats, times = batch.column("ats"), batch.column("times")
         owner = np.repeat(np.arange(offsets.size - 1), ats.value_lengths().to_numpy(zero_copy_only=False))
@@ -151,7 +150,7 @@ def contexts_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         times = times.flatten().to_numpy(zero_copy_only=False)
         pick = np.searchsorted(begin, asked)
         row, begin, many, start, end, kind = (x[pick] for x in (row, begin, many, start, end, kind))
-        core = name_of(rolling().ranges(sums, start, end), kind)
+        core = name_of(sums.ranges(start, end), kind)
         reach = begin + many - 1 + length
         at = pa.array(row)
         return pa.RecordBatch.from_arrays(
@@ -165,7 +164,7 @@ def contexts_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     texts = docs.join(places, ["doc_id", "tie"]).dropDuplicates(["doc_id", "tie"])
     return per_text(
         texts, function,
-        "core long, doc_id long, tie int, at long, many long, times long, left binary, right binary",
+        "core long, doc_id long, tie long, at long, many long, times long, left binary, right binary",
     )
 
 
@@ -242,7 +241,7 @@ def spans_of(part: pa.RecordBatch, rows: np.ndarray, step: np.ndarray, length: i
     )
 
 
-SPAN = "doc_id long, tie int, start long, stop long"
+SPAN = "doc_id long, tie long, start long, stop long"
 #: Contexts put in order at once.
 TOGETHER = 8192
 
@@ -293,7 +292,7 @@ def spans_of_large_cores(contexts: DataFrame, length: int) -> DataFrame:
         buffer = b"".join(left[r][len(left[r]) - back :] + right[r][: BLOCK - 1 - back] for r in rows)
         data = np.frombuffer(buffer, np.uint8)
         at = np.arange(rows.size) * (BLOCK - 1)
-        return signed(rolling().ranges(rolling().sums(data), at, at + BLOCK - 1))
+        return signed(names().sums(data).ranges(at, at + BLOCK - 1))
 
     def runs(batches):
         for batch in batches:
@@ -379,7 +378,7 @@ def remove_repeated_strings(spark: SparkSession, docs: DataFrame, length: int =
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
-        F.hash("text").alias("tie"), F.col("text").cast("string").alias("text"),
+        text_tie().alias("tie"), F.col("text").cast("string").alias("text"),
     ).join(cut, ["doc_id", "tie"], "left").select(
         "row", "text", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops")
     )

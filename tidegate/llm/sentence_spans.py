@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidegate.llm.common import (
-    mix, per_text, pieces, prepare, rolling, signed, stream, text_buffer, with_key,
+    mix, per_text, pieces, prepare, signed, stream, text_buffer, text_tie, with_key, word_names,
 )
 from tidegate.session import materialize
 
@@ -43,7 +43,7 @@ def sentences(data: np.ndarray, offsets: np.ndarray):
     if not start.size:
         empty = np.zeros(0, np.int64)
         return empty, empty, np.zeros(0, np.uint64), empty
-    word = rolling().ranges(rolling().sums(data), start, end)
+    word = word_names(data, start, end)
     row = np.searchsorted(offsets, start, "right") - 1
     last = data[end - 1]
     closes = np.isin(last, np.frombuffer(ENDS, np.uint8))
@@ -56,12 +56,9 @@ def sentences(data: np.ndarray, offsets: np.ndarray):
     first[1:] = closes[:-1] | (row[1:] != row[:-1])
     at = np.flatnonzero(first)
     words = np.diff(np.append(at, start.size))
-    place = rolling().up
     inner = np.arange(start.size) - np.repeat(at, words)
-    if place.size <= inner.max():
-        rolling().sums(np.zeros(int(inner.max()) + 1, np.uint8))
-        place = rolling().up
-    value = mix(np.add.reduceat(word * place[inner], at) + words.astype(np.uint64))
+    # Words count by their place, through a spread that no pattern of places undoes.
+    value = mix(np.add.reduceat(mix(word + stream(6, int(inner.max()) + 1)[inner]), at) + words.astype(np.uint64))
     return row[at], start[at], value, words
 
 
@@ -88,7 +85,7 @@ def runs(docs: DataFrame, n: int) -> DataFrame:
             ["run", "doc_id", "tie", "at"],
         )
 
-    return per_text(docs, function, "run long, doc_id long, tie int, at long")
+    return per_text(docs, function, "run long, doc_id long, tie long, at long")
 
 
 def later_places(found: DataFrame) -> DataFrame:
@@ -120,7 +117,7 @@ def later_places(found: DataFrame) -> DataFrame:
                 yield batch.select(["doc_id", "tie", "at"]).filter(pa.array(~first))
             before, before_first = [c[-1] for c in columns], bool(first[-1])
 
-    return ordered.mapInArrow(run, "doc_id long, tie int, at long")
+    return ordered.mapInArrow(run, "doc_id long, tie long, at long")
 
 
 def remove_repeated_sentences(spark: SparkSession, docs: DataFrame, n: int = RUN) -> DataFrame:
@@ -143,7 +140,7 @@ def remove_repeated_sentences(spark: SparkSession, docs: DataFrame, n: int = RUN
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
-        F.hash("text").alias("tie"), F.col("text").cast("string").alias("text"),
+        text_tie().alias("tie"), F.col("text").cast("string").alias("text"),
     ).join(gone, ["doc_id", "tie"], "left").select("row", "text", "gone")
 
     def run(batches):
