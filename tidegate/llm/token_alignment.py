@@ -27,12 +27,12 @@ from tidegate.llm.segments import ByteMemo, GrowingLists, SegmentIds, ranges, ru
 from tidegate.session import materialize
 
 #: Bytes of text handled together.
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 #: Pairs whose counts are broadcast, at most.
 BROADCAST_PAIRS = 262_144
 STEPS_PER_DOUBLING = 16
 #: Bytes that the memo of windows and each memo of segments hold.
-WINDOW_MEMO_BYTES, SEGMENT_MEMO_BYTES = 64 << 20, 64 << 20
+WINDOW_MEMO_BYTES, SEGMENT_MEMO_BYTES = 24 << 20, 32 << 20
 #: Windows whose text is hashed at once.
 HASHED_TOGETHER = 1 << 18
 SPACE_MARK = "▁"
