@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from tidegate.llm.common import pieces, prepare, text_buffer
-from tidegate.llm.segments import SegmentIds
+from tidegate.llm.segments import SegmentIds, release_memory
 from tidegate.session import materialize
 
 CAPACITY = 1024
@@ -104,6 +104,7 @@ def cut_documents(docs: DataFrame, path: str, capacity: int) -> DataFrame:
             yield from encoded(batches, encoder(path))
         finally:
             encoder(path).segments.forget()
+            release_memory()
 
     def encoded(batches, work):
         copy = 0

@@ -20,7 +20,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.llm.common import pieces, prepare, text_buffer, with_key
-from tidegate.llm.segments import SegmentIds
+from tidegate.llm.segments import SegmentIds, release_memory
 from tidegate.session import materialize
 
 #: Characters of a chunk, and matrices combined at once.
@@ -258,6 +258,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, path: str, chunk: int =
                 yield from work(batches)
             finally:
                 model_of(path).forget()
+                release_memory()
 
         return run
 

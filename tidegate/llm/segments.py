@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 from itertools import chain
 
@@ -24,8 +26,25 @@ def runs_of(data: np.ndarray, start: np.ndarray) -> pa.Array:
 
 def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ... size[0] of them, then those of the next."""
+    if not size.size:
+        return np.zeros(0, np.int64)
     total = np.cumsum(size)
-    return np.repeat(start - (total - size), size) + np.arange(int(total[-1]) if total.size else 0)
+    n = int(total[-1])
+    # Half the memory where the numbers are small enough.
+    kind = np.int32 if n + int(start.max()) < 1 << 31 else np.int64
+    out = np.repeat((start - (total - size)).astype(kind), size)
+    out += np.arange(n, dtype=kind)
+    return out
+
+
+def release_memory() -> None:
+    """Give back to the system what a task has freed: the worker stays for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # only one C library has it
+        pass
 
 
 class GrowingLists:

@@ -23,11 +23,11 @@ from tokenizers import Tokenizer
 
 from tidegate.llm.column_packing import byte_level_cuts
 from tidegate.llm.common import pieces, prepare, text_buffer
-from tidegate.llm.segments import ByteMemo, GrowingLists, SegmentIds, ranges, runs_of
+from tidegate.llm.segments import ByteMemo, GrowingLists, SegmentIds, ranges, release_memory, runs_of
 from tidegate.session import materialize
 
 #: Bytes of text handled together.
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 #: Pairs whose counts are broadcast, at most.
 BROADCAST_PAIRS = 262_144
 STEPS_PER_DOUBLING = 16
@@ -68,15 +68,14 @@ class Side:
         flat, places = self.flat()
         size = self.length[ids]
         total = np.concatenate([[0], np.cumsum(size)])[starts]
-        fits = np.diff(total) == np.diff(offsets)
-        at = ranges(places[ids], size)
-        # Lengths that differ shift what follows: compare text by text from both starts.
-        row = np.repeat(np.arange(fits.size), np.diff(offsets))
-        inside = np.arange(data.size) - offsets[:-1][row]
-        own = fits[row]
-        got = flat[at[(total[:-1][row] + inside)[own]]]
-        wrong = np.bincount(row[own][got != data[own]], minlength=fits.size)
-        return fits & (wrong == 0)
+        length = np.diff(offsets)
+        good = np.diff(total) == length
+        if not good.all():
+            keep = np.repeat(good, np.diff(starts))
+            ids, size, data = ids[keep], size[keep], data[np.repeat(good, length)]
+        wrong = np.flatnonzero(flat[ranges(places[ids], size)] != data)
+        good[np.searchsorted(np.cumsum(length * good), wrong, "right")] = False
+        return good
 
     def flat(self):
         if not hasattr(self, "_flat"):
@@ -229,6 +228,7 @@ class Aligner:
         self.a.segments.forget()
         self.b.segments.forget()
         self.windows.forget()
+        release_memory()
 
     def run(self, data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray | list]:
         """Numbers per text, windows per text, and the links of the different windows."""
