@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidegate.functions.jsonpath import compact_json, json_path, split_path
 from tidegate.functions.payload import decode_object, inspect_leaf, replace_leaf
 from tidegate.operators.errors import outcome, settle, track_errors, usable
+from tidegate.sources.object_store import ObjectStore
 from tidegate.sources.objects import URI_PATTERN, URI_SCHEME
 
 # A hot address is split over this many tasks.
@@ -26,7 +27,7 @@ def as_uri(col: Column) -> Column:
 
 def fetch(
     df: DataFrame,
-    objects: DataFrame,
+    objects: DataFrame | ObjectStore,
     uri: str,
     out: str,
     fmt: str | None = None,
@@ -37,6 +38,9 @@ def fetch(
     column ``uri``; null where there is no address. Rows for which ``plain`` holds
     get the object's text as it is, whatever ``fmt`` says.
 
+    ``objects`` is a store, whose objects are fetched by address, only those asked for and
+    each once, or a table of all objects (uri, content).
+
     Each object is read and decoded once, then copied at most once per salt that
     its messages really use. Rows without an address get keys of their own, so
     they do not pile up in one task.
@@ -50,6 +54,14 @@ def fetch(
         }
     )
     none = F.lit(None)
+    if isinstance(objects, ObjectStore):
+        if df.isStreaming:
+            found = objects.column(F.when(address, F.col(uri)))
+            rows = rows.withColumn("fetched", found)
+            rows = rows.withColumns({"content": F.col("fetched.content"), "failure": F.col("fetched.failure")})
+            joined = rows.withColumn(out, content_or_failure(fmt, try_base64)).drop("fetched", "content", "failure")
+            return with_missing(joined, uri, out)
+        objects = objects.fetched(df.sparkSession, rows.where(address).select(F.col(uri).alias("uri")))
     if df.isStreaming:
         # A micro-batch joins the static objects directly.
         decoded = one_per_address(objects).withColumnRenamed("uri", "fetch_key").withColumn(
@@ -68,13 +80,19 @@ def fetch(
         decoded = (
             one_per_address(objects).withColumnRenamed("uri", "fetch_key")
             .join(wanted.hint("merge"), "fetch_key")
-            .select("fetch_key", "uses", "content", F.explode(ways).alias("fetch_plain"))
-            .select("fetch_key", salts.alias("uses"), content_of(fmt, try_base64).alias(out))
+            .select("fetch_key", "uses", "content", "failure", F.explode(ways).alias("fetch_plain"))
+            .select("fetch_key", salts.alias("uses"), content_or_failure(fmt, try_base64).alias(out))
             .select("fetch_key", F.explode("uses").alias("use"), out)
             .select("fetch_key", "use.*", out)
         )
         # Contents grow when they are unpacked: neither side is built as a broadcast.
         joined = rows.join(decoded.hint("merge"), ["fetch_key", "fetch_plain", "fetch_salt"], "left")
+    return with_missing(joined, uri, out)
+
+
+def with_missing(joined: DataFrame, uri: str, out: str) -> DataFrame:
+    """Errors for addresses that led to nothing."""
+    none = F.lit(None)
     missing = F.when(
         F.col(uri).rlike(URI_PATTERN),
         outcome(none, F.lit("ObjectNotFound"), F.concat(F.lit("Object not found: "), F.col(uri))),
@@ -89,9 +107,22 @@ def fetch(
 def one_per_address(objects: DataFrame) -> DataFrame:
     """An address listed twice is one object: the latest where the listing has a
     ``modification_time``, else the one with the largest content."""
+    if "failure" in objects.columns:  # fetched by address, so there is one already
+        return objects
     newest = [c for c in ("modification_time",) if c in objects.columns]
     keys = F.struct(*newest, F.length("content"), "content")
-    return objects.groupBy("uri").agg(F.max_by("content", keys).alias("content"))
+    return objects.groupBy("uri").agg(F.max_by("content", keys).alias("content")).withColumn(
+        "failure", F.lit(None).cast("string")
+    )
+
+
+def content_or_failure(fmt: str | None, try_base64: bool) -> Column:
+    """The decoded content; null where there is no object, an error where the store failed."""
+    none = F.lit(None)
+    failed = outcome(none, F.lit("ObjectStoreError"), F.col("failure"))
+    return F.when(F.col("failure").isNotNull(), failed).when(
+        F.col("content").isNotNull(), content_of(fmt, try_base64)
+    )
 
 
 def content_of(fmt: str | None, try_base64: bool) -> Column:
@@ -111,7 +142,7 @@ def keep_or(result: str, value: Column) -> Column:
 
 def claim_check(
     df: DataFrame,
-    objects: DataFrame,
+    objects: DataFrame | ObjectStore,
     path: str | None = None,
     fmt: str | None = None,
     try_base64: bool = True,
@@ -177,7 +208,7 @@ def put_leaf(
 
 def decode_and_fetch(
     df: DataFrame,
-    objects: DataFrame,
+    objects: DataFrame | ObjectStore,
     path: str | None,
     fmt: str = "AUTO",
     try_base64: bool = True,

@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegate.operators.gated import Machine, SEGMENT_MS, apply_gates, column, entry_states
+from tidegate.operators.gated import (
+    DENSE_ROWS, Machine, SEGMENT_MS, apply_gates, column, cut_dense, entry_states,
+)
 from tidegate.operators.records import is_fifo, system_attribute
 from tidegate.schemas import DEFAULT_DEDUP_WINDOW_MS
 
@@ -39,25 +41,34 @@ def keyed_rows(df: DataFrame, segment_ms: int, eligible: Column | None, fifo: Co
             "dedup_key": F.coalesce(compared, F.concat(F.lit("\x00"), "message_id")),
             "exempt": compared.isNull(),
             "t_ms": t,
-            "segment": F.floor(t / F.lit(segment_ms)),
+            "segment": F.floor(t / F.lit(segment_ms)) * segment_ms,
         }
     )
 
 
+def cut_rows(keyed: DataFrame, dense_rows: int) -> DataFrame:
+    return cut_dense(keyed, KEYS, "message_id", None, dense_rows)
+
+
 def dedup_states(
     df: DataFrame,
     window_ms: int,
     segment_ms: int = SEGMENT_MS,
     eligible: Column | None = None,
     fifo: Column | None = None,
+    dense_rows: int = DENSE_ROWS,
     **carry,
 ) -> DataFrame:
     """Entry states of the segments; ``carry`` passes states between micro-batches."""
+    keyed = keyed_rows(df, segment_ms, eligible, fifo).where(~F.col("exempt"))
+    return states_of(cut_rows(keyed, dense_rows), window_ms, **carry)
+
+
+def states_of(cut: DataFrame, window_ms: int, **carry) -> DataFrame:
     # Within one millisecond only the first row can be taken: distinct instants
     # are enough here, and they shrink a hot id before its shuffle.
-    keyed = keyed_rows(df, segment_ms, eligible, fifo).where(~F.col("exempt"))
-    instants = keyed.select(*KEYS, "segment", "t_ms").distinct()
-    return entry_states(instants, dedup_machine(window_ms), KEYS, [], segment_ms, **carry)
+    instants = cut.select(*KEYS, "segment", "t_ms").distinct()
+    return entry_states(instants, dedup_machine(window_ms), KEYS, [], **carry)
 
 
 def flag_duplicates(
@@ -68,19 +79,21 @@ def flag_duplicates(
     states: DataFrame | None = None,
     eligible: Column | None = None,
     fifo: Column | None = None,
+    dense_rows: int = DENSE_ROWS,
 ) -> DataFrame:
     """Every row with a flag. The state is per queue and id; the clock is
     ``received_at`` in milliseconds, ties in message id order. Rows that are not
     ``eligible`` are neither duplicates nor sightings."""
     if window_ms <= 0:
         return df.withColumn(name, F.lit(False))
-    if states is None:
-        states = dedup_states(df, window_ms, segment_ms, eligible, fifo)
     keyed = keyed_rows(df, segment_ms, eligible, fifo)
     # Rows that are never duplicates go around the exchange, the sort and the fold.
-    marked = apply_gates(
-        keyed.where(~F.col("exempt")), dedup_machine(window_ms), KEYS, ["message_id"], states
-    ).withColumn(name, F.col("taken_layer") < 0)
+    cut = cut_rows(keyed.where(~F.col("exempt")), dense_rows)
+    if states is None:
+        states = states_of(cut, window_ms)
+    marked = apply_gates(cut, dedup_machine(window_ms), KEYS, ["message_id"], states).withColumn(
+        name, F.col("taken_layer") < 0
+    )
     work = ["dedup_key", "exempt", "t_ms", "segment"]
     around = keyed.where("exempt").drop(*work).withColumn(name, F.lit(False))
     return marked.drop("taken_layer", *work).unionByName(around)

@@ -6,7 +6,8 @@ come in time order; a row before the gate is skipped, the first row at or after
 it is taken and sets the next layer and gate.
 
 Such a fold looks sequential, and one key may hold a large share of all rows. So
-each key's time line is cut into segments of fixed length, spread over tasks:
+each key's time line is cut into segments of fixed length, spread over tasks, and
+segments with very many rows into parts of about equal size (``cut_dense``):
 
 1. ``summaries``: a segment becomes a step function from the state it may be
    entered with to the state it is left with (only entries within the longest
@@ -27,16 +28,82 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from tidegate.operators.ranking import null_safe_join
 
 NEXT_ROW = -1  # gate value: the very next row is taken
 ANY_LAYER = -1  # summary step that holds for every layer
 SEGMENT_MS = 600_000
+#: Rows from which a segment is cut further.
+DENSE_ROWS = 200_000
+#: Hash groups by which dense segments are looked for, and the most that are listed.
+LOOK_GROUPS, LISTED_GROUPS = 1 << 16, 1_000
+#: A segment's number is the millisecond where it begins times INSTANT, so that parts of one
+#: millisecond, SPLITS of each kind at most, find room behind it.
+INSTANT, SPLITS = 1 << 12, 2_000
 BEFORE, FINAL = -(2**62), 2**62  # segment numbers ahead of and behind all others
 
 
+def cut_dense(df: DataFrame, keys: list[str], tie: str, kind: str | None, dense_rows: int = DENSE_ROWS) -> DataFrame:
+    """``df`` with ``segment``, the millisecond where a row's segment begins, made into
+    numbers that also cut segments of more than ``dense_rows`` rows.
+
+    They are cut between milliseconds at about equal numbers of rows. A millisecond with
+    more rows than that is cut too: rows of one ``kind`` and time do the same to a key's
+    state, so only which of them come first matters, at most two (the last failure and one
+    after it). Those two by ``tie`` lead, the others are spread by a hash.
+
+    Numbers follow the order of rows and depend on the rows alone, so the frame may be cut
+    again. Rows are counted by hash groups first, which costs one small aggregate; where no
+    group is large there is nothing to cut.
+    """
+    by = keys + ["segment"]
+    group = F.pmod(F.xxhash64(*by), F.lit(LOOK_GROUPS))
+    large = [
+        r.g for r in df.groupBy(group.alias("g")).count().where(F.col("count") > dense_rows).collect()
+    ]
+    if not large:
+        return df.withColumn("segment", F.col("segment") * INSTANT)
+    looked = df if len(large) > LISTED_GROUPS else df.where(group.isin(large))
+    kinds = F.lit(0) if kind is None else F.col(kind).cast("int")
+    # One row per instant: at most a segment's milliseconds meet in a window.
+    line = W.partitionBy(*by)
+    instants = (
+        looked.groupBy(*by, "t_ms").agg(F.count("*").alias("dense_n"))
+        .withColumns({
+            "dense_total": F.sum("dense_n").over(line),
+            "dense_before": F.sum("dense_n").over(line.orderBy("t_ms")) - F.col("dense_n"),
+        })
+        .where(F.col("dense_total") > dense_rows)
+        .withColumn("dense_part", F.floor(F.col("dense_before") / dense_rows))
+        .select(
+            *by, "t_ms", F.min("t_ms").over(W.partitionBy(*by, "dense_part")).alias("dense_start"),
+            F.when(
+                F.col("dense_n") > dense_rows, F.least(F.ceil(F.col("dense_n") / dense_rows), F.lit(SPLITS))
+            ).alias("dense_splits"),
+        )
+    )
+    rows = null_safe_join(df, instants, by + ["t_ms"], "left").withColumn("dense_kind", kinds)
+    crowd = by + ["t_ms", "dense_kind"]
+    split = rows.where("dense_splits is not null").select(*crowd, tie)
+    first = split.groupBy(*crowd).agg(F.min(tie).alias("dense_first"))
+    second = (
+        null_safe_join(split, first, crowd, "inner").where(F.col(tie) > F.col("dense_first"))
+        .groupBy(*crowd).agg(F.min(tie).alias("dense_second"))
+    )
+    heads = null_safe_join(first, second, crowd, "left").select(
+        *crowd, F.coalesce("dense_second", "dense_first").alias("dense_head")
+    )
+    placed = null_safe_join(rows, heads, crowd, "left")
+    spread = F.pmod(F.xxhash64(tie), F.col("dense_splits")) + 1
+    inside = F.col("dense_kind") * (F.col("dense_splits") + 1) + F.when(F.col(tie) <= F.col("dense_head"), 0).otherwise(spread)
+    number = F.coalesce("dense_start", "segment") * INSTANT + F.coalesce(inside, F.lit(0))
+    return placed.withColumn("segment", number.cast("bigint")).drop(
+        "dense_start", "dense_splits", "dense_kind", "dense_head"
+    )
+
+
 @dataclass(frozen=True)
 class Machine:
     """``steps(batch) -> (next_layer, gate)``, both of shape (layers, rows), from the
@@ -151,7 +218,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterato
         yield joined(pending)
 
 
-def summarise_segments(machine: Machine, keys: list[str], segment_ms: int, every_entry: bool):
+def summarise_segments(machine: Machine, keys: list[str], every_entry: bool):
     names = keys + ["segment"]
 
     def run(batches):
@@ -167,7 +234,8 @@ def summarise_segments(machine: Machine, keys: list[str], segment_ms: int, every
             first = np.zeros(len(t), dtype=bool)
             first[starts] = True
             previous = np.roll(t, 1)
-            horizon = column(batch, "segment") * segment_ms + machine.reach_ms
+            # No gate set before a segment reaches farther than this behind its first row.
+            horizon = t[starts][chains.group] + machine.reach_ms
             entry = np.flatnonzero(first | every_entry | (previous < horizon))
             group = chains.group[entry]
             parts = []
@@ -300,7 +368,6 @@ def entry_states(
     machine: Machine,
     keys: list[str],
     order: list[str],
-    segment_ms: int,
     initial: DataFrame | None = None,
     finals: bool = False,
     keep_after_ms: int = NEXT_ROW,
@@ -318,7 +385,7 @@ def entry_states(
         .sortWithinPartitions(*by, "t_ms", *order)
         .mapInArrow(
             # A carried gate may lie beyond late rows: then every entry counts.
-            summarise_segments(machine, keys, segment_ms, initial is not None),
+            summarise_segments(machine, keys, initial is not None),
             add_fields(narrow.select(*by), steps),
         )
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.functions.backoff import MAX_BACKOFF_MS, backoff_schedule
 from tidegate.operators.gated import (
-    Machine, NEXT_ROW, SEGMENT_MS, apply_gates, column, entry_states,
+    DENSE_ROWS, Machine, NEXT_ROW, SEGMENT_MS, apply_gates, column, cut_dense, entry_states,
 )
 from tidegate.schemas import DEFAULT_BACKOFF_MS, DEFAULT_MAX_RETRIES
 
@@ -46,6 +46,7 @@ class RetryPolicy:
     seed: int = 0
     dead_letter: bool = True
     segment_ms: int = SEGMENT_MS
+    dense_rows: int = DENSE_ROWS
 
 
 def keyed_rows(df: DataFrame, policy: RetryPolicy) -> DataFrame:
@@ -53,7 +54,7 @@ def keyed_rows(df: DataFrame, policy: RetryPolicy) -> DataFrame:
     return df.withColumns(
         {
             "t_ms": t,
-            "segment": F.floor(t / F.lit(policy.segment_ms)),
+            "segment": F.floor(t / F.lit(policy.segment_ms)) * policy.segment_ms,
             "failed": F.col("error_class").isNotNull(),
             "waits": backoff_schedule(
                 F.col("message_id"), policy.max_retries, policy.base_ms,
@@ -64,11 +65,15 @@ def keyed_rows(df: DataFrame, policy: RetryPolicy) -> DataFrame:
     )
 
 
+def cut_rows(df: DataFrame, policy: RetryPolicy) -> DataFrame:
+    return cut_dense(keyed_rows(df, policy), KEYS, "tie_order", "failed", policy.dense_rows)
+
+
 def retry_states(df: DataFrame, policy: RetryPolicy, **carry) -> DataFrame:
     """Entry states of the segments; ``carry`` passes states between micro-batches."""
     machine = retry_machine(policy.max_retries)
     df = df.where("received_at is not null")
-    return entry_states(keyed_rows(df, policy), machine, KEYS, ORDER, policy.segment_ms, **carry)
+    return entry_states(cut_rows(df, policy), machine, KEYS, ORDER, **carry)
 
 
 def retry_decisions(
@@ -78,11 +83,11 @@ def retry_decisions(
     failure count ``attempt`` and ``backoff_ms``. A delivery failed when it has an
     ``error_class``; redeliveries share queue and message id. A delivery without a
     receive time is given up at once."""
-    if states is None:
-        states = retry_states(df, policy)
     machine = retry_machine(policy.max_retries)
-    timed = df.where("received_at is not null")
-    marked = apply_gates(keyed_rows(timed, policy), machine, KEYS, ORDER, states)
+    timed = cut_rows(df.where("received_at is not null"), policy)
+    if states is None:
+        states = entry_states(timed, machine, KEYS, ORDER)
+    marked = apply_gates(timed, machine, KEYS, ORDER, states)
     layer, failed = F.col("taken_layer"), F.col("failed")
     attempt = F.when((layer >= 0) & failed, layer + 1).otherwise(0).cast("int")
     decision = (

@@ -3,6 +3,7 @@
 from tidegate.plans import (  # noqa: F401
     filter_queries,
     flow_queries,
+    live_queries,
     payload_queries,
     record_queries,
     state_queries,

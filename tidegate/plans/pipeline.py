@@ -80,7 +80,25 @@ class Pipeline:
         """The ``value`` of each message that passes, or its error, and the body as
         it came. To be stored once: the folds after it only read narrow columns. A
         message without a receive time cannot be placed in time and is an error."""
-        df = track_errors(filter_messages(self.projected(messages), self.policy))
+        df = self.converted(track_errors(filter_messages(self.projected(messages), self.policy)))
+        return df.withColumn("delivery_id", F.monotonically_increasing_id())
+
+    def convert_all(self, messages: DataFrame) -> DataFrame:
+        """The same for a stream, in one pass: messages that the policy rejects stay, without
+        a value and with ``passed`` false. Steps see them as failed and leave them alone."""
+        df = track_errors(self.receive(messages))
+        mark = lambda c, text: F.when(F.col("passed"), F.col(c)).otherwise(text)
+        df = df.withColumns({
+            "error_class": mark("error_class", F.lit("Rejected")),
+            "original_body": mark("original_body", F.lit(None).cast("string")),
+            "body": mark("body", F.lit(None).cast("string")),
+        })
+        df = self.converted(df)
+        return df.withColumns({
+            c: mark(c, F.lit(None).cast("string")) for c in ("error_class", "error_message", "value")
+        })
+
+    def converted(self, df: DataFrame) -> DataFrame:
         for step in self.steps:
             df = step(df)
         df = df.withColumn("value", F.col("body")).drop("body", "promoted")
@@ -89,8 +107,7 @@ class Pipeline:
             "error_message": F.when(late, "no receive time").otherwise(F.col("error_message")),
             "error_class": F.when(late, "MissingTimestamp").otherwise(F.col("error_class")),
         })
-        df = extract_field(df, self.extract_path, self.extract_fail_on_missing)
-        return df.withColumn("delivery_id", F.monotonically_increasing_id())
+        return extract_field(df, self.extract_path, self.extract_fail_on_missing)
 
     def retry_policy(self) -> RetryPolicy:
         named = bool(self.dlq_topic and self.dlq_topic.strip())

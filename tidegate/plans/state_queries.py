@@ -66,6 +66,26 @@ def fifo_dedup_hot_id(spark, sf_dir):
     return flag_duplicates(m.withColumn("attributes", hot), 3_600_000).select("message_id", "duplicate")
 
 
+DENSE_SQL = dedup_sql(7, """
+    SELECT message_id, duplicate FROM fold""", "'all'").replace(
+    "SELECT message_id, queue_url, t_ms,", "SELECT message_id, queue_url, event_id % 500 AS t_ms,"
+).replace("ORDER BY t_ms, message_id", "ORDER BY event_id % 500, message_id")
+
+
+@query("fifo_dedup_dense_hot", DENSE_SQL)
+def fifo_dedup_dense_hot(spark, sf_dir):
+    """One id holds a whole ordered queue, within half a second: its rows are dealt to many
+    segments, single milliseconds too."""
+    m = event_messages(spark, sf_dir).where(F.col("queue_url").endswith(".fifo"))
+    hot = F.transform_values(
+        "attributes", lambda k, v: F.when(k == "MessageDeduplicationId", "hot").otherwise(v)
+    )
+    dense = m.withColumns({
+        "attributes": hot, "received_at": F.timestamp_millis(F.col("message_id").cast("bigint") % 500),
+    })
+    return flag_duplicates(dense, 7, dense_rows=5).select("message_id", "duplicate")
+
+
 @query(
     "dedup_emitted",
     dedup_sql(4 * DAY_MS, """
@@ -195,6 +215,25 @@ def retry_gate(spark, sf_dir):
     )
 
 
+@query(
+    "retry_hot_message",
+    retry_sql(3, 5, "SELECT event_id, decision, attempt, wait_ms AS backoff_ms FROM fold WHERE rn > 0")
+    .replace("SELECT event_id, queue_url, t_ms, event_type || '-' || CAST(user_id % 7 AS VARCHAR) AS mid,",
+             "SELECT event_id, 'one' AS queue_url, event_id % 300 AS t_ms, 'hot' AS mid,"),
+)
+def retry_hot_message(spark, sf_dir):
+    """All deliveries are of one message, within a third of a second."""
+    d = deliveries(spark, sf_dir)
+    hot = d.withColumns({
+        "queue_url": F.lit("one"), "message_id": F.lit("hot"),
+        "received_at": F.timestamp_millis(F.col("event_id") % 300),
+    })
+    done = retry_decisions(hot, RetryPolicy(3, 5, jitter=0.0, dense_rows=7))
+    return done.select(
+        "event_id", "decision", F.col("attempt").cast("bigint").alias("attempt"), "backoff_ms"
+    )
+
+
 @query(
     "retry_none_allowed",
     f"""WITH {DELIVERIES_SQL}
