@@ -409,13 +409,24 @@ def test_repeated_sentences(spark, nothing):
     first, gone = {}, collections.defaultdict(set)
     for i, t in rows:
         parts = [s for _, s in sentences_of(t or "")]
-        spans = [(p, tuple(parts[p : p + 3])) for p in range(len(parts) - 2)] if len(parts) >= 3 else [(0, tuple(parts))] * bool(parts)
-        for p, span in spans:
-            if first.setdefault(span, (i, p)) != (i, p):
-                gone[i] |= set(range(p, min(p + 3, len(parts))))
+        for p in range(len(parts)):
+            q, held = p, 0
+            while q < len(parts) and held < 16:
+                held += len(parts[q])
+                q += 1
+            if held >= 16 and first.setdefault(tuple(parts[p:q]), (i, p)) != (i, p):
+                gone[i] |= set(range(p, q))
     for i, t in rows:
-        assert got[i].n_removed == len(gone[i]) and got[i].n_sentences == len(sentences_of(t or ""))
+        found = sentences_of(t or "")
+        assert got[i].n_removed == len(gone[i]) and got[i].n_sentences == len(found)
+        assert got[i].n_spans == sum(k in gone[i] and k - 1 not in gone[i] for k in range(len(found)))
         assert (got[i].text is None) == (t is None)
+        # Every sentence reaches to the next one's first byte; blanks before the first stay.
+        whole, places = (t or "").encode(), [len(t[:at].encode()) for at, _ in found]
+        ends = [*places[1:], len(whole)]
+        kept = whole[: places[0]] if places else whole
+        kept += b"".join(whole[x:y] for k, (x, y) in enumerate(zip(places, ends)) if k not in gone[i])
+        assert got[i].kept_sha256 == hashlib.sha256(kept).hexdigest()
     assert got[0].n_removed == 0 and "Sentence 3" not in got[1].text and "Own end 1" in got[1].text
     assert remove_repeated_sentences(spark, nothing).count() == 0
 

@@ -1,7 +1,9 @@
 """Removal of repeated runs of sentences.
 
 Every run of several consecutive sentences is hashed and met with all others by one
-exchange; sentences that lie in a repeated run go, except in its first place.
+exchange; sentences that lie in a repeated run go, except in its first place. A run is
+measured in words: from each sentence on, as few sentences as hold WORDS words, so a few
+short phrases that happen to follow each other are none and one long sentence may be.
 """
 
 from __future__ import annotations
@@ -17,8 +19,8 @@ from tidegate.llm.common import (
 )
 from tidegate.session import materialize
 
-#: Sentences of a run.
-RUN = 3
+#: Words that a run holds at least.
+WORDS = 16
 #: Bytes that end a sentence when a blank or the end follows; … is E2 80 A6.
 ENDS = b".!?"
 
@@ -62,26 +64,33 @@ def sentences(data: np.ndarray, offsets: np.ndarray):
     return row[at], start[at], value, words
 
 
-def runs(docs: DataFrame, n: int) -> DataFrame:
-    """(run, doc_id, tie, at): a row per run of n sentences; a shorter text is one run."""
+def run_lengths(row: np.ndarray, words: np.ndarray, least: int) -> np.ndarray:
+    """For each sentence how many from it on make a run; 0 where its text ends before."""
+    total = np.concatenate([[0], np.cumsum(words)])
+    end = np.searchsorted(total, total[:-1] + least)
+    inside = end <= np.searchsorted(row, row, "right")
+    return np.where(inside, end - np.arange(row.size), 0)
+
+
+def runs(docs: DataFrame, least: int) -> DataFrame:
+    """(run, doc_id, tie, at): a row per run, with the number of its first sentence."""
 
     def function(data, offsets, batch):
-        row, _, value, _ = sentences(data, offsets)
-        if not row.size:
+        row, _, value, words = sentences(data, offsets)
+        length = run_lengths(row, words, least)
+        start = np.flatnonzero(length)
+        if not start.size:
             return None
         counts = np.bincount(row, minlength=offsets.size - 1)
         nth = np.arange(row.size) - np.repeat(np.cumsum(counts) - counts, counts)
-        here = counts[row]
-        start = np.flatnonzero((nth <= here - n) | ((here < n) & (nth == 0)))
-        place = stream(5, n) | np.uint64(1)
-        total = np.zeros(start.size, np.uint64)
-        for k in range(n):
-            use = k < here[start] - nth[start]
-            total[use] += value[start[use] + k] * place[k]
-        total = mix(total + np.minimum(here[start], n).astype(np.uint64))
+        place = stream(5, int(length.max()))
+        total = length[start].astype(np.uint64)
+        for k in range(int(length.max())):
+            use = np.flatnonzero(length[start] > k)
+            total[use] += mix(value[start[use] + k] + place[k])
         at = pa.array(row[start])
         return pa.RecordBatch.from_arrays(
-            [signed(total), batch.column("doc_id").take(at), batch.column("tie").take(at), pa.array(nth[start])],
+            [signed(mix(total)), batch.column("doc_id").take(at), batch.column("tie").take(at), pa.array(nth[start])],
             ["run", "doc_id", "tie", "at"],
         )
 
@@ -120,10 +129,10 @@ def later_places(found: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "doc_id long, tie long, at long")
 
 
-def remove_repeated_sentences(spark: SparkSession, docs: DataFrame, n: int = RUN) -> DataFrame:
+def remove_repeated_sentences(spark: SparkSession, docs: DataFrame, words: int = WORDS) -> DataFrame:
     """All columns of docs with text cut, and n_sentences, n_removed, n_spans, kept_sha256.
 
-    A run of n sentences that stands in several places is kept in its first, by doc_id,
+    A run, the fewest sentences from one on that hold so many words, that stands in several places is kept in its first, by doc_id,
     then a hash of the text, then place; in all others its sentences go, with the blanks
     behind them. A null text has no sentences and stays null. Repeated rows are one place.
     Columns of docs named like the four new ones are replaced.
@@ -132,7 +141,7 @@ def remove_repeated_sentences(spark: SparkSession, docs: DataFrame, n: int = RUN
     keyed = with_key(docs)
     gone = materialize(
         spark,
-        later_places(runs(keyed, n)).groupBy("doc_id", "tie").agg(F.collect_set("at").alias("gone")),
+        later_places(runs(keyed, words)).groupBy("doc_id", "tie").agg(F.collect_set("at").alias("gone")),
         "sentence-runs",
     )
     new = ["text", "n_sentences", "n_removed", "n_spans", "kept_sha256"]
@@ -150,15 +159,17 @@ def remove_repeated_sentences(spark: SparkSession, docs: DataFrame, n: int = RUN
             for first, last in pieces(offsets):
                 base = offsets[first]
                 part = data[base : offsets[last]]
-                row, start, _, _ = sentences(part, offsets[first : last + 1] - base)
+                row, start, _, held = sentences(part, offsets[first : last + 1] - base)
+                length = run_lengths(row, held, words)
                 cuts = np.searchsorted(row, np.arange(last - first + 1))
                 out = [[], [], [], [], []]
                 for i in range(first, last):
                     own = start[cuts[i - first] : cuts[i - first + 1]]
+                    reach = length[cuts[i - first] : cuts[i - first + 1]]
                     lo, hi = offsets[i] - base, offsets[i + 1] - base
                     drop = np.zeros(own.size, bool)
                     for at in lists[i] or ():
-                        drop[at : at + n] = True
+                        drop[at : at + reach[at]] = True
                     body = part[lo:hi]
                     if drop.any():
                         level = np.zeros(hi - lo + 1, np.int64)
