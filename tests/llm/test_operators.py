@@ -411,10 +411,10 @@ def test_repeated_sentences(spark, nothing):
         parts = [s for _, s in sentences_of(t or "")]
         for p in range(len(parts)):
             q, held = p, 0
-            while q < len(parts) and held < 16:
+            while q < len(parts) and held < 20:
                 held += len(parts[q])
                 q += 1
-            if held >= 16 and first.setdefault(tuple(parts[p:q]), (i, p)) != (i, p):
+            if held >= 20 and first.setdefault(tuple(parts[p:q]), (i, p)) != (i, p):
                 gone[i] |= set(range(p, q))
     for i, t in rows:
         found = sentences_of(t or "")

@@ -20,7 +20,7 @@ from tidegate.llm.common import (
 from tidegate.session import materialize
 
 #: Words that a run holds at least.
-WORDS = 16
+WORDS = 20
 #: Bytes that end a sentence when a blank or the end follows; … is E2 80 A6.
 ENDS = b".!?"
 
