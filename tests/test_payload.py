@@ -112,3 +112,15 @@ def test_round_trip(plain, kind):
                     lambda c: st.lists(c, max_size=4) | st.dictionaries(st.text(st.characters(exclude_categories=["Cs"])), c, max_size=4), max_leaves=12))
 def test_json_rewrite_keeps_values(value):
     assert json.loads(write_json(read_json(json.dumps(value)))) == value
+
+
+def test_base64_column_equals_the_strict_decoder(spark):
+    from tidegate.functions.payload import base64_bytes, strict_base64
+
+    texts = ["", "QQ==", "QQ", "QQ=", "QUI=", "QUI", "QUJD", "QUJDR", "QU-D", "QU_D", " QQ==", "QQ==\n", "Q Q=", "====", "=", "QUJD====",
+             "QU=D", "é", "QUJDRA==", "A", "QUJDRA=", "+/+/"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").union(
+        spark.createDataFrame([(99, None)], "i int, t string"))
+    got = {r.i: r.b for r in df.select("i", base64_bytes(F.col("t")).alias("b")).collect()}
+    assert got.pop(99) is None
+    assert {i: None if b is None else bytes(b) for i, b in got.items()} == {i: strict_base64(t) for i, t in enumerate(texts)}

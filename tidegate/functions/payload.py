@@ -59,6 +59,16 @@ def detect_compression(data: Column) -> Column:
     )
 
 
+def base64_bytes(col: Column) -> Column:
+    """Bytes of a text in the standard base64 alphabet, padding whole or left off; null for
+    any other text: another alphabet, blanks anywhere, a length that no bytes have."""
+    plain = F.rtrim(col, F.lit("="))
+    pad, rest = F.length(col) - F.length(plain), F.length(plain) % 4
+    fits = col.rlike(r"\A[A-Za-z0-9+/]*={0,2}\z") & (rest != 1) & ((pad == 0) | (rest + pad == 4))
+    whole = F.rpad(plain, (F.length(plain) + 3 - (F.length(plain) + 3) % 4).cast("int"), "=")
+    return F.when(fits, F.unbase64(whole))
+
+
 def may_be_compressed(col: Column, fmt: str, try_base64: bool) -> Column:
     """Whether ``decompress`` could change or reject the text. Texts that cannot
     be compressed are kept away from the Python worker."""

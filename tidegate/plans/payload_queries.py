@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F, types as T
 
-from tidegate.functions.payload import detect_compression, is_likely_base64
+from tidegate.functions.payload import base64_bytes, detect_compression, is_likely_base64
 from tidegate.operators.claimcheck import claim_check, decode_and_fetch
 from tidegate.operators.decompress import decompress_body, decompress_safe
 from tidegate.plans.envelopes import (
@@ -142,6 +142,34 @@ def decompress_or_keep(spark, sf_dir):
     )
 
 
+@query(
+    "base64_strict",
+    """WITH packed AS (
+      SELECT doc_id, text, rtrim(to_base64(encode(text)), '=') AS bare FROM documents WHERE length(text) > 3
+    ), spoilt AS (
+      SELECT *, CASE doc_id % 5
+        WHEN 1 THEN TRUE
+        WHEN 2 THEN NOT regexp_matches(bare, '[+/]') AND len(bare) % 4 <> 1
+        WHEN 3 THEN FALSE WHEN 4 THEN FALSE ELSE TRUE END AS good FROM packed)
+    SELECT doc_id, CASE WHEN good THEN md5(text) END AS decoded_md5 FROM spoilt""",
+)
+def base64_strict(spark, sf_dir):
+    """Whole texts in base64: as it is, without padding, in the url alphabet, with a line
+    feed, one character too long."""
+    d = table(spark, sf_dir, "documents", ["doc_id", "text"]).where("length(text) > 3")
+    packed = F.base64(F.col("text").cast("binary"))
+    # Spark's writer may break lines; the standard form has none.
+    packed = F.regexp_replace(packed, "[\\r\\n]", "")
+    bare = F.rtrim(packed, F.lit("="))
+    spoilt = (
+        F.when(F.col("doc_id") % 5 == 1, bare).when(F.col("doc_id") % 5 == 2, F.translate(bare, "+/", "-_"))
+        .when(F.col("doc_id") % 5 == 3, F.concat(F.substring(bare, 1, 4), F.lit("\n"), F.substring(bare, 5, 1 << 30)))
+        .when(F.col("doc_id") % 5 == 4, F.concat(F.left(bare, (F.length(bare) - F.length(bare) % 4).cast("int")), F.lit("A")))
+        .otherwise(packed)
+    )
+    return d.select("doc_id", F.md5(base64_bytes(spoilt)).alias("decoded_md5"))
+
+
 @query(
     "object_uri_parse",
     """SELECT CAST(doc_id AS VARCHAR) AS message_id,

@@ -9,7 +9,7 @@ from tidegate.operators.catalog import (
 )
 from tidegate.operators.records import to_records
 from tidegate.operators.typed import (
-    conform, inferred_fields, schema_drift, validation_report,
+    conform, infer_schema, inferred_fields, schema_drift, validation_report,
 )
 from tidegate.plans.envelopes import events, order_messages
 from tidegate.plans.registry import query
@@ -62,6 +62,51 @@ def infer_protobuf(spark, sf_dir):
     return fields(spark, sf_dir, "protobuf")
 
 
+NESTED_KINDS = {
+    "lines": ("array", "TRUE"), "lines.[]": ("object", "n > 0"), "lines.[].sku": ("string", "n > 0"),
+    "lines.[].sizes": ("array", "n > 0"), "lines.[].sizes.[]": ("array", "n > 0"),
+    "lines.[].sizes.[].[]": ("long", "n > 0"), "none": ("array", "TRUE"), "deep": ("object", "TRUE"),
+    "deep.er": ("object", "TRUE"), "deep.er.big": ("string", "TRUE"), "deep.er.half": ("double", "TRUE"),
+}
+NESTED_SQL = "WITH o AS (SELECT *, o_orderkey % 4 AS n FROM orders) " + " UNION ALL ".join(
+    f"SELECT '{path}' AS path, '{kind}' AS kind, COUNT(*) AS n_messages FROM o WHERE {where}"
+    for path, (kind, where) in NESTED_KINDS.items()
+)
+
+
+@query("infer_nested_arrays", NESTED_SQL)
+def infer_nested_arrays(spark, sf_dir):
+    """Arrays speak through their first element, at any depth; the second line of an order is
+    of another shape and does not count."""
+    key = F.col("o_orderkey")
+    line = F.concat(F.lit('{"sku":"'), key.cast("string"), F.lit('","sizes":[['), (key * 3_000_000_000).cast("string"), F.lit("],7]}"))
+    lines = F.when(key % 4 > 0, F.concat(line, F.lit(',{"other":true}'))).otherwise("")
+    big = F.when(key % 2 == 0, "12345678901234567890").otherwise('"text"')
+    body = F.concat(
+        F.lit('{"lines":['), lines, F.lit('],"none":[],"deep":{"er":{"big":'), big, F.lit(',"half":'),
+        F.when(key % 3 == 0, "1.5").otherwise("2"), F.lit("}}}"),
+    )
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(body.alias("body"))
+    return inferred_fields(orders, "avro").select(F.concat_ws(".", "path").alias("path"), "kind", "n_messages")
+
+
+@query(
+    "infer_first_only",
+    """SELECT 'orderId' AS field, 'string' AS type UNION ALL SELECT 'first', 'int' UNION ALL SELECT 'second', 'boolean'""",
+)
+def infer_first_only(spark, sf_dir):
+    """The schema of the earliest body alone: later ones have other types."""
+    messages = order_messages(spark, sf_dir)
+    least = messages.agg(F.min(F.col("message_id").cast("bigint"))).first()[0]
+    earliest = F.col("message_id").cast("bigint") == least
+    body = F.when(earliest, '{"orderId":"x","first":1,"second":true}').otherwise('{"orderId":5,"first":"y","third":[1]}')
+    aged = messages.withColumns({
+        "body": body, "received_at": F.timestamp_seconds(F.col("message_id").cast("bigint")),
+    })
+    schema = infer_schema(aged, "avro", first_only=True)
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema.fields], "field string, type string")
+
+
 ORDER_SCHEMA = T.StructType(
     [
         T.StructField("orderId", T.LongType()),
