@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F, types as T
 
 from tidegate.operators.catalog import (
@@ -13,6 +15,8 @@ from tidegate.operators.typed import (
 )
 from tidegate.plans.envelopes import events, order_messages
 from tidegate.plans.registry import query
+from tidegate.session import run_dir
+from tidegate.sinks.schema_log import SchemaLog
 
 OBJECTS_SQL = """
 objects AS (
@@ -345,3 +349,30 @@ def subjects(spark, sf_dir):
         topic.alias("topic"), subject_name(topic).alias("value_subject"),
         subject_name(topic, True).alias("key_subject"),
     ).distinct()
+
+
+@query(
+    "schema_register_writers",
+    """SELECT event_type || '-value' AS subject, COUNT(DISTINCT props) AS schemas,
+              CAST(1 AS BIGINT) AS first_version, COUNT(DISTINCT props) AS last_version,
+              COUNT(DISTINCT props) AS different_versions, COUNT(DISTINCT props) AS different_ids
+       FROM events GROUP BY event_type""",
+)
+def schema_register_writers(spark, sf_dir):
+    """Three writers register overlapping thirds at once; versions come out dense."""
+    e = events(spark, sf_dir)
+    rows = e.select(
+        subject_name(F.col("event_type")).alias("subject"), F.lit("json").alias("profile"),
+        F.col("props").alias("schema_json"), (F.col("event_id") % 3).alias("third"),
+    )
+    root = run_dir(spark, "schema-log")
+
+    def write(third):
+        SchemaLog(spark, root).register(rows.where((F.col("third") == third) | (F.col("third") == (third + 1) % 3)))
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(write, range(3)))
+    return SchemaLog(spark, root).read().groupBy("subject").agg(
+        F.count("*").alias("schemas"), F.min("version").alias("first_version"), F.max("version").alias("last_version"),
+        F.countDistinct("version").alias("different_versions"), F.countDistinct("schema_id").alias("different_ids"),
+    )
