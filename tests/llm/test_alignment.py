@@ -109,6 +109,27 @@ def test_ids_equal_the_libraries(libraries, spark, sf_dir):
     assert [b[x:y].tolist() for x, y in zip(at, at[1:])] == processor.encode([t[1:] for t in texts])
 
 
+def test_ranks_encode_as_the_file_does(libraries, tmp_path):
+    import json
+
+    from tidegate.llm import byte_bpe
+
+    texts = [t.encode() for _, t in TEXTS if t] + [b"<|endoftext|>", b"a<|endoftext|>b", b"  x", b"\xff broken"]
+    plain = Tokenizer.from_file(BPE)
+    for special, tokenizer in ((True, libraries[0]), (False, plain)):
+        want = [tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids for t in texts]
+        assert byte_bpe.byte_level_encoder(BPE, special)(texts) == want
+    assert 50256 in byte_bpe.byte_level_encoder(BPE)([b"a<|endoftext|>b"])[0]
+    # A file that is no table of ranks goes to the tokenizer.
+    layout = json.load(open(BPE, encoding="utf-8"))
+    layout["model"]["merges"] = layout["model"]["merges"][::-1]
+    (tmp_path / "odd.json").write_text(json.dumps(layout), encoding="utf-8")
+    odd = str(tmp_path / "odd.json")
+    assert byte_bpe.ranks_of(odd) is None and byte_bpe.ranks_of(BPE)
+    want = [Tokenizer.from_file(odd).encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids for t in texts]
+    assert byte_bpe.byte_level_encoder(odd)(texts) == want
+
+
 def test_memos_forget_and_stay_right(libraries, monkeypatch):
     monkeypatch.setattr(ta, "WINDOW_MEMO_BYTES", 500)
     monkeypatch.setattr(ta, "SEGMENT_MEMO_BYTES", 500)

@@ -10,14 +10,13 @@ any corpus; everything that grows is Spark's.
 
 from __future__ import annotations
 
-import os
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from tokenizers import Tokenizer
 
+from tidegate.llm.byte_bpe import byte_level_encoder
 from tidegate.llm.common import pieces, prepare, text_buffer
 from tidegate.llm.segments import SegmentIds, release_memory
 from tidegate.session import materialize
@@ -71,13 +70,7 @@ class Encoder:
     """Token ids of whole texts by the tokenizer file, remembering words."""
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.segments = SegmentIds(self.tokenize)
-
-    def tokenize(self, segments: list[bytes]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast([s.decode() for s in segments], add_special_tokens=False)
-        return [e.ids for e in found]
+        self.segments = SegmentIds(byte_level_encoder(path))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, where each text's ids start)."""

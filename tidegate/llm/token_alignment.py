@@ -13,7 +13,6 @@ broadcast, which two parameters bound; the other pairs reach their links by a jo
 from __future__ import annotations
 
 import hashlib
-import os
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +20,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
+from tidegate.llm.byte_bpe import byte_characters, byte_level_encoder
 from tidegate.llm.column_packing import byte_level_cuts
 from tidegate.llm.common import pieces, prepare, text_buffer
 from tidegate.llm.segments import ByteMemo, GrowingLists, SegmentIds, ranges, release_memory, runs_of
@@ -41,14 +41,6 @@ SPACE_MARK = "▁"
 # --- the two vocabularies ---------------------------------------------------------
 
 
-def byte_characters() -> dict[str, int]:
-    """The character that byte-level vocabularies write for each byte: itself where it is
-    printable, else the next one from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Side:
     """Ids of whole texts by one tokenizer, and the bytes of every id."""
 
@@ -88,20 +80,13 @@ class Side:
 
 def byte_level_side(path: str) -> Side:
     """A byte-level tokenizer file; the strings of special tokens are plain text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     of = byte_characters()
-    entries = sorted((i, t) for t, i in tokenizer.get_vocab().items())
+    entries = sorted((i, t) for t, i in Tokenizer.from_file(path).get_vocab().items())
     token_bytes = [b""] * (entries[-1][0] + 1)
     for i, t in entries:
         token_bytes[i] = bytes(of[c] for c in t) if all(c in of for c in t) else t.encode()
 
-    def tokenize(segments):
-        texts = [s.decode("utf-8", "replace") for s in segments]
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    return Side(token_bytes, tokenize, byte_level_cuts)
+    return Side(token_bytes, byte_level_encoder(path, special_as_text=True), byte_level_cuts)
 
 
 def piece_side(path: str) -> Side:
