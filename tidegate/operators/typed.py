@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from operator import and_
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidegate.session import materialize
-
 PROFILES = ("avro", "json", "protobuf")
 ITEM = "[]"  # path step into the first element of an array
 WIDEST_SCHEMA = 20_000
 
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
+LONG_MIN, LONG_MAX = -(2**63), 2**63 - 1
 
 
 def check_profile(profile: str) -> str:
@@ -22,80 +23,78 @@ def check_profile(profile: str) -> str:
     return profile
 
 
+def json_kind(value) -> str:
+    if value is None:
+        return "null"
+    if isinstance(value, bool):
+        return "boolean"
+    if isinstance(value, int):
+        if INT_MIN <= value <= INT_MAX:
+            return "int"
+        return "long" if LONG_MIN <= value <= LONG_MAX else "big"
+    if isinstance(value, float):
+        return "double"
+    if isinstance(value, str):
+        return "string"
+    return "array" if isinstance(value, list) else "object"
+
+
+def describe(value, path: tuple, found: list) -> None:
+    """(path, position, kind) of every field; an array speaks through its first element."""
+    if isinstance(value, dict):
+        for position, (name, child) in enumerate(value.items()):
+            where = path + (name,)
+            found.append((where, position, json_kind(child)))
+            describe(child, where, found)
+    elif isinstance(value, list) and value:
+        where = path + (ITEM,)
+        found.append((where, 0, json_kind(value[0])))
+        describe(value[0], where, found)
+
+
+FIELD_NOTES = "path array<string>, kind string, position int, n_messages bigint"
+NOTES_HELD = 100_000  # notes a task holds before it hands them on
+
+
+def note_fields(batches):
+    """Counts of (path, kind) over a task's bodies: aggregated before the shuffle."""
+
+    def table(notes):
+        rows = [(list(path), kind, at, n) for (path, kind), (at, n) in notes.items()]
+        return pd.DataFrame(rows, columns=["path", "kind", "position", "n_messages"])
+
+    notes: dict = {}
+    for pdf in batches:
+        for body in pdf["body"]:
+            found: list = []
+            try:
+                value = json.loads(body)
+                if isinstance(value, dict):
+                    describe(value, (), found)
+            except (ValueError, RecursionError):
+                continue
+            for path, position, kind in found:
+                at, n = notes.get((path, kind), (position, 0))
+                notes[path, kind] = (min(at, position), n + 1)
+        if len(notes) > NOTES_HELD:
+            yield table(notes)
+            notes = {}
+    yield table(notes)
+
+
 def is_json_object(body: Column) -> Column:
     text = F.get_json_object(body, "$")
     return F.coalesce(text.startswith("{") & F.ltrim(body).startswith("{"), F.lit(False))
 
 
-def variant_kind(value: Column) -> Column:
-    """JSON kind of a variant, integers by their range."""
-    shape = F.schema_of_variant(value)
-    whole = F.try_variant_get(value, "$", "bigint")
-    return (
-        F.when(shape == "VOID", "null").when(shape == "BOOLEAN", "boolean").when(shape == "STRING", "string")
-        .when(shape.startswith("OBJECT"), "object").when(shape.startswith("ARRAY"), "array")
-        .when(shape == "BIGINT", F.when(whole.between(INT_MIN, INT_MAX), "int").otherwise("long"))
-        # Without a fraction and beyond a long: an integer. Others were written with one.
-        .when(shape.rlike(r"^DECIMAL\(\d+,0\)") & whole.isNull(), "big")
-        .otherwise("double")
-    )
-
-
-def members(containers: DataFrame) -> DataFrame:
-    """(path, position, kind, text) of what lies directly in the containers (path, text):
-    the fields of an object, the first element of an array. text is that of containers."""
-    spark = containers.sparkSession
-    parsed = containers.withColumn("parsed", F.try_parse_json("text")).where("parsed is not null")
-    opens = F.ltrim("text")
-    fields = (
-        parsed.where(opens.startswith("{"))
-        .lateralJoin(spark.tvf.variant_explode(F.col("parsed").outer()))
-        .select(
-            F.concat("path", F.array("key")).alias("path"),
-            (F.array_position(F.json_object_keys("text"), F.col("key")) - 1).cast("int").alias("position"),
-            F.col("value").alias("found"),
-            # The text as it stands keeps the order of its fields.
-            F.coalesce(
-                F.call_function("get_json_object", F.col("text"), F.concat(F.lit("$['"), "key", F.lit("']"))),
-                F.to_json("value"),
-            ).alias("inner"),
-        )
-    )
-    firsts = (
-        parsed.where(opens.startswith("["))
-        .select(
-            F.concat("path", F.array(F.lit(ITEM))).alias("path"), F.lit(0).alias("position"),
-            F.try_variant_get("parsed", "$[0]", "variant").alias("found"),
-            F.get_json_object("text", "$[0]").alias("inner"),
-        )
-        .where("found is not null")
-    )
-    kind = variant_kind(F.col("found"))
-    return fields.unionByName(firsts).select("path", "position", kind.alias("kind"), "inner").select(
-        "path", "position", "kind", F.when(F.col("kind").isin("object", "array"), F.col("inner")).alias("text")
-    )
-
-
 def observed_fields(df: DataFrame) -> DataFrame:
-    """(path, kinds, position, n_messages): one row per field path over all object bodies,
-    by built-in functions, level of nesting by level. Tasks count paths and kinds before the
-    shuffle. Bodies that name a field twice are no valid objects here, as in ``conform``."""
-    spark = df.sparkSession
-    none = F.array().cast("array<string>")
-    containers = df.where(is_json_object(F.col("body"))).select(none.alias("path"), F.col("body").alias("text"))
-    levels = []
-    while True:
-        found = members(containers)
-        levels.append(
-            found.groupBy("path", "kind").agg(F.min("position").alias("position"), F.count("*").alias("n"))
-        )
-        containers = materialize(spark, found.where("text is not null").select("path", "text"), "json-level")
-        if containers.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, levels).groupBy("path").agg(
+    """(path, kinds, position, n_messages): one row per field path over all object
+    bodies. Partial aggregation keeps the shuffle to one row per path and task."""
+    notes = df.where(is_json_object(F.col("body"))).select("body").mapInPandas(note_fields, FIELD_NOTES)
+    return notes.groupBy("path").agg(
         F.collect_set("kind").alias("kinds"),  # nine kinds at most
         F.min("position").alias("position"),
-        F.sum("n").alias("n_messages"),
+        F.sum("n_messages").alias("n_messages"),
     )
 
 
