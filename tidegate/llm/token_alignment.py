@@ -26,7 +26,8 @@ from tidegate.llm.common import pieces, prepare, text_buffer
 from tidegate.llm.segments import ByteMemo, GrowingLists, SegmentIds, ranges, release_memory, runs_of
 from tidegate.session import materialize
 
-#: Bytes of text handled together.
+#: Bytes handed to a worker at once, and bytes of text handled together.
+BATCH_BYTES = 4 << 20
 RUN_BYTES = 1 << 19
 #: Pairs whose counts are broadcast, at most.
 BROADCAST_PAIRS = 262_144
@@ -282,6 +283,7 @@ _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 def aligner(*paths: str) -> Aligner:
     if paths not in _ALIGNERS:
         _ALIGNERS[paths] = Aligner(*paths)
+        release_memory()
     return _ALIGNERS[paths]
 
 
@@ -291,13 +293,21 @@ PER_TEXT = ["n_a", "n_b", "n_groups", "n_links", "digest", "n_windows"]
 RUNS_SCHEMA = (
     "row array<long>, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
     "n_links array<long>, digest array<string>, n_windows array<int>, codes array<int>, "
-    "window_links array<int>, links array<long>"
+    "window_links array<int>, links array<{pair}>"
 )
 
 
+def pair_type(path_a: str, path_b: str) -> str:
+    """The type that holds every pair code of two vocabularies."""
+    n_a, n_b = (len(side(path).token_bytes) for side, path in ((byte_level_side, path_a), (piece_side, path_b)))
+    return "int" if n_a * n_b < 1 << 31 else "long"
+
+
 def aligned_runs(docs: DataFrame, path_a: str, path_b: str, run_bytes: int = RUN_BYTES) -> DataFrame:
     """A row per run of whole texts, see the module's docstring."""
+    pair = pair_type(path_a, path_b)
     kinds = {"digest": pa.string(), "n_windows": pa.int32(), "codes": pa.int32(), "window_links": pa.int32()}
+    kinds["links"] = pa.int32() if pair == "int" else pa.int64()
 
     def run(batches):
         work = aligner(path_a, path_b)
@@ -320,7 +330,7 @@ def aligned_runs(docs: DataFrame, path_a: str, path_b: str, run_bytes: int = RUN
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
-    return numbered.mapInArrow(run, RUNS_SCHEMA)
+    return numbered.mapInArrow(run, RUNS_SCHEMA.format(pair=pair))
 
 
 def values_of(row: pa.RecordBatch, i: int, name: str) -> np.ndarray:
@@ -337,7 +347,7 @@ def pair_counts(runs: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 each = values_of(batch, i, "window_links")
                 times = np.repeat(np.bincount(values_of(batch, i, "codes"), minlength=each.size), each)
-                both = np.concatenate([pairs, values_of(batch, i, "links")])
+                both = np.concatenate([pairs, values_of(batch, i, "links").astype(np.int64)])
                 pairs, inverse = np.unique(both, return_inverse=True)
                 counts = np.bincount(inverse, weights=np.concatenate([counts, times]), minlength=pairs.size).astype(np.int64)
                 if pairs.size > 1 << 20:
@@ -375,7 +385,7 @@ def text_sums(runs: DataFrame, pairs: np.ndarray, counts: np.ndarray, best: np.n
         pairs, counts, best = shipped.value
         for batch in batches:
             for i in range(batch.num_rows):
-                links, each = values_of(batch, i, "links"), values_of(batch, i, "window_links")
+                links, each = values_of(batch, i, "links").astype(np.int64), values_of(batch, i, "window_links")
                 codes, n_windows = values_of(batch, i, "codes"), values_of(batch, i, "n_windows")
                 window = np.repeat(np.arange(each.size), each)
                 place = np.minimum(np.searchsorted(pairs, links), max(0, pairs.size - 1))
@@ -414,6 +424,8 @@ def align_tokenizers(
     each; an empty table gives an empty one. Columns other than doc_id and text are ignored.
     """
     prepare(spark)
+    # Rows hold a run each, and both sides of a batch lie in memory.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     runs = materialize(spark, aligned_runs(docs, path_a, path_b), "alignment-runs")
     counts = materialize(spark, pair_counts(runs), "alignment-pairs")
     n_b = len(piece_side(path_b).token_bytes)
