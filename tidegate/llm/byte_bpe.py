@@ -53,25 +53,30 @@ def byte_level_encoder(path: str, special_as_text: bool = False) -> Callable[[li
     """A function from texts to their ids, without special tokens added. With special_as_text
     the strings of special tokens are plain text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = special_as_text
-    special = [] if special_as_text else [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens", [])
+    special = [] if special_as_text else [t["content"].encode() for t in added]
     ranks = ranks_of(path)
     fast = None
     if ranks is not None:
         fast = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    loaded: list[Tokenizer] = []
 
     def encode(texts: list[bytes]) -> list[list[int]]:
         if fast is None:
             return slow(texts)
         odd = [i for i, t in enumerate(texts) if any(s in t for s in special)] if special else []
         out = [fast(t.decode("utf-8", "replace")) for t in texts]
-        for i, ids in zip(odd, slow([texts[i] for i in odd])):
-            out[i] = ids
+        if odd:
+            for i, ids in zip(odd, slow([texts[i] for i in odd])):
+                out[i] = ids
         return out
 
     def slow(texts: list[bytes]) -> list[list[int]]:
-        found = tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        if not loaded:  # a second copy of the vocabulary, seldom needed
+            loaded.append(Tokenizer.from_file(path))
+            loaded[0].encode_special_tokens = special_as_text
+        found = loaded[0].encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [e.ids for e in found]
 
     return encode

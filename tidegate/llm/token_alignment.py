@@ -33,7 +33,7 @@ RUN_BYTES = 1 << 19
 BROADCAST_PAIRS = 262_144
 STEPS_PER_DOUBLING = 16
 #: Bytes that the memo of windows and each memo of segments hold.
-WINDOW_MEMO_BYTES, SEGMENT_MEMO_BYTES = 24 << 20, 32 << 20
+WINDOW_MEMO_BYTES, SEGMENT_MEMO_BYTES = 16 << 20, 20 << 20
 #: Windows whose text is hashed at once.
 HASHED_TOGETHER = 1 << 18
 SPACE_MARK = "▁"
