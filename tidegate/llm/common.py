@@ -16,6 +16,7 @@ SETTINGS = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # Rows that hold whole arrays: what goes to a Python worker at once is bounded in bytes too.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+    "spark.sql.parquet.enableNestedColumnVectorizedReader": "true",
 }
 
 

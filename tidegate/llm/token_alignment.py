@@ -426,6 +426,8 @@ def align_tokenizers(
     prepare(spark)
     # Rows hold a run each, and both sides of a batch lie in memory.
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # Read row by row: the columnar reader would hold all runs of a file at once.
+    spark.conf.set("spark.sql.parquet.enableNestedColumnVectorizedReader", "false")
     runs = materialize(spark, aligned_runs(docs, path_a, path_b), "alignment-runs")
     counts = materialize(spark, pair_counts(runs), "alignment-pairs")
     n_b = len(piece_side(path_b).token_bytes)
