@@ -123,3 +123,30 @@ def test_options_are_checked(change, tmp_path):
     options = {"queues": "q", "receiver": RECEIVER, "landing": str(tmp_path)}
     with pytest.raises(ValueError):
         QueueReader({**options, **change})
+
+
+def test_a_process_holds_a_row_group_of_a_queue_and_counts_without_reading(spark, messages, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from tidegate.plans import stand_in
+
+    monkeypatch.setattr(stand_in, "GROUP_BYTES", 4096)
+    root = str(tmp_path / "queues")
+    fill(messages, root)
+    queue = messages.first().queue_url
+    names = messages.where(messages.queue_url == queue).orderBy(
+        "received_at", messages.message_id.cast("long")
+    ).select("message_id").collect()
+    read = []
+    real = pq.ParquetFile.read_row_group
+    monkeypatch.setattr(pq, "read_table", lambda *a, **k: pytest.fail("a whole file is read"))
+    monkeypatch.setattr(pq.ParquetFile, "read_row_group", lambda self, n, **k: read.append(n) or real(self, n, **k))
+    service = FileQueues(root)
+    assert service.backlog(queue) == len(names) and not read
+    got = []
+    while rows := service.receive(queue, 10, 0):
+        assert len(rows) == min(10, len(names) - len(got))
+        got += [r["message_id"] for r in rows]
+    # In order, each group read once.
+    assert got == [r.message_id for r in names] and service.backlog(queue) == 0
+    assert len(read) == len(service.groups(queue)[1]) > 1

@@ -21,7 +21,10 @@ from tidegate.streaming.pipeline import read_batches, run_available, start_strea
 from tidegate.streaming.stateful import dedup_stream
 
 WINDOW_MS = 4 * 86_400_000
-RECEIVES_PER_ROUND = 2_000
+#: Rows of a written file that are checked for order together.
+ROWS_PER_SLICE = 100_000
+#: Receives of a worker in one round; more where a queue would take over ROUNDS rounds.
+RECEIVES_PER_ROUND, ROUNDS = 2_000, 4
 
 # Clicks and views pass the filter; a price of 40 or more cannot be converted;
 # retries are off, so a failure goes to the dead letters at once.
@@ -215,10 +218,13 @@ def receive_stream(spark, sf_dir):
     root = run_dir(spark, "receive")
     messages = packed_events(spark, sf_dir)
     stand_in.fill(messages, f"{root}/queues")
-    queues = [r.queue_url for r in messages.select("queue_url").distinct().collect()]
+    waiting = {r.queue_url: r["count"] for r in messages.groupBy("queue_url").count().collect()}
+    workers = max(1, spark.sparkContext.defaultParallelism // max(1, len(waiting)))
+    share = -(-max(waiting.values(), default=0) // (stand_in.TAKEN_AT_ONCE * workers * ROUNDS))
     source = stream_queues(
-        spark, queues, "tidegate.plans.stand_in:FileQueues", f"{root}/rounds",
-        receiver_options={"root": f"{root}/queues"}, max_polls=RECEIVES_PER_ROUND,
+        spark, list(waiting), "tidegate.plans.stand_in:FileQueues", f"{root}/rounds",
+        receiver_options={"root": f"{root}/queues"}, workers_per_queue=workers,
+        max_polls=max(RECEIVES_PER_ROUND, share),
     )
     query, folders = start_stream(
         source, flow(), root, lateness_ms=WINDOW_MS, available_now=False, interval="0 seconds"
