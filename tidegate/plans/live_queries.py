@@ -22,9 +22,9 @@ from tidegate.streaming.state_store import StateFolders, run_stateful, states_pe
 
 
 def run_in_parts(spark, messages: DataFrame, parts: list, pipe: Pipeline, root: str, lateness_ms: int) -> StateFolders:
-    """Land the parts one after the other, each worked off by a run of its own."""
+    """Land the parts one after the other, a file per task, each worked off by a run of its own."""
     for part in parts:
-        messages.where(part).coalesce(2).write.mode("append").parquet(f"{root}/landing")
+        messages.where(part).write.mode("append").parquet(f"{root}/landing")
         stream = read_messages(spark, f"{root}/landing", streaming=True)
         folders = run_stateful(stream, pipe, f"{root}/out", lateness_ms=lateness_ms)
     return folders
