@@ -176,3 +176,29 @@ def test_untimed_messages_disturb_nobody(spark):
     done = Pipeline(topic="t", dlq_topic="dead", retry=RetryPolicy(max_retries=5)).run(spark, frame(spark, rows))
     assert {r.message_id: r.topic for r in done.output().collect()} == {"msg-0": "t", "msg-1": "dead"}
     assert done.ledger().count() == 2
+
+
+def test_parts_land_in_a_file_per_task(spark, sf_dir, tmp_path):
+    from pathlib import Path
+
+    from tidegate.plans.flow_queries import landed_stream, packed_events
+    from tidegate.plans.live_queries import halves, run_in_parts
+
+    messages = packed_events(spark, sf_dir)
+    tasks = messages.rdd.getNumPartitions()
+    assert tasks > 2
+    landed_stream(spark, messages, str(tmp_path / "a"))
+    assert len(list(Path(tmp_path / "a/landing").glob("part-*"))) == 3 * tasks
+    run_in_parts(spark, messages, halves(), Pipeline(topic="events"), str(tmp_path / "b"), 60 * 86_400_000)
+    assert len(list(Path(tmp_path / "b/landing").glob("part-*"))) == 2 * tasks
+
+
+def test_order_across_slices_of_files(spark, monkeypatch):
+    from tidegate.plans.flow_queries import order_by_slices
+
+    rows = [("a", 1, "f", 0, 0), ("a", 2, "f", 1, 0), ("a", 3, "f", 2, 1), ("a", 4, "g", 0, 0),
+            ("b", 1, "f", 3, 1), ("b", 9, "f", 4, 2), ("b", 5, "g", 1, 0),
+            ("c", 2, "f", 5, 2), ("c", 1, "f", 6, 2), (None, None, "g", 2, 1), (None, 7, "g", 3, 1)]
+    placed = spark.createDataFrame(rows, "group_id string, sequence bigint, file string, row bigint, slice bigint")
+    found = {r.group_id: (r.records, r.in_order) for r in order_by_slices(placed).collect()}
+    assert found == {"a": (4, True), "b": (3, False), "c": (2, False), None: (2, True)}

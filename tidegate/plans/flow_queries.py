@@ -192,12 +192,13 @@ def flow_acknowledged(spark, sf_dir):
 
 
 def landed_stream(spark, messages: DataFrame, root: str) -> DataFrame:
-    """Land messages ten days at a time; the stream takes the folder in micro-batches
-    of two files, in the order they were written."""
+    """Land messages ten days at a time, a file per task; the stream takes the folder in
+    micro-batches of as many files, in the order they were written."""
     day = F.dayofmonth("received_at")
+    files = max(2, messages.rdd.getNumPartitions())
     for part in (day <= 10, (day > 10) & (day <= 20), day > 20):
-        messages.where(part).repartition(2).write.mode("append").parquet(f"{root}/landing")
-    return read_messages(spark, f"{root}/landing", streaming=True, max_files_per_trigger=2)
+        messages.where(part).repartition(files).write.mode("append").parquet(f"{root}/landing")
+    return read_messages(spark, f"{root}/landing", streaming=True, max_files_per_trigger=files)
 
 
 def streamed(spark, sf_dir):

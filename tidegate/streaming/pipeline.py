@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegate.operators.dedup import KEYS as DEDUP_KEYS, dedup_states
 from tidegate.operators.gated import final_states
 from tidegate.operators.retry import KEYS as RETRY_KEYS, retry_states
-from tidegate.plans.pipeline import FOLD_COLUMNS, Outcome, Pipeline, emitted
+from tidegate.plans.pipeline import FOLD_COLUMNS, LEDGER_COLUMNS, Outcome, Pipeline, emitted
 from tidegate.sinks.topics import (
     Delete, append_ledger, batch_path, delete_acknowledged, write_topic,
 )
@@ -74,8 +74,10 @@ class MicroBatches:
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
         pipe = self.pipeline
-        received = pipe.receive(messages)
-        newest = messages.agg(F.max(F.unix_millis("received_at"))).first()[0]
+        # The source is read twice, for these narrow columns and for the values.
+        received = pipe.receive(messages).select(*LEDGER_COLUMNS, "received_at", "passed")
+        received = self.stored(spark, received, "received", batch_id)
+        newest = received.agg(F.max(F.unix_millis("received_at"))).first()[0]
         newest = 0 if newest is None else newest
         carry = {
             "finals": True,
@@ -91,7 +93,8 @@ class MicroBatches:
             ),
             "retry", batch_id,
         )
-        decided = pipe.decide(converted, retry)
+        # Stored, since de-duplication reads it several times.
+        decided = self.stored(spark, pipe.decide(converted, retry), "retried", batch_id)
         dedup = self.stored(
             spark,
             dedup_states(
