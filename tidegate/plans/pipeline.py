@@ -132,7 +132,7 @@ class Pipeline:
         than once lies in the shared folder, so lost executors cost little."""
         received = self.receive(messages)
         converted = materialize(spark, self.convert(messages), "converted")
-        decided = self.deduplicate(self.decide(converted))
+        decided = self.deduplicate(materialize(spark, self.decide(converted), "retried"))
         return Outcome(self, received, converted, materialize(spark, decided, "decided"))
 
 
