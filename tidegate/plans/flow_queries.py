@@ -122,12 +122,28 @@ def flow_group_order(spark, sf_dir):
     queue = F.element_at("source_partition", "queue_url")
     placed = records.where(queue.endswith(".fifo")).select(
         F.col("key").alias("group_id"), F.col("message_id").cast("bigint").alias("sequence"),
-        F.struct("_metadata.file_name", "_metadata.row_index").alias("place"),
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"),
+        F.floor(F.col("_metadata.row_index") / ROWS_PER_SLICE).alias("slice"),
     )
-    before = F.lag("sequence").over(Window.partitionBy("group_id").orderBy("place"))
-    steps = placed.withColumn("follows", F.coalesce(before < F.col("sequence"), F.lit(True)))
+    return order_by_slices(placed)
+
+
+def order_by_slices(placed: DataFrame) -> DataFrame:
+    """Per group its records and whether sequences rise, row by row within a slice of a file,
+    then from slice to slice: no task sorts a whole group."""
+    rises = lambda before, after: F.coalesce(before < after, F.lit(True))
+    inside = Window.partitionBy("group_id", "file", "slice").orderBy("row")
+    slices = (
+        placed.withColumn("follows", rises(F.lag("sequence").over(inside), F.col("sequence")))
+        .groupBy("group_id", "file", "slice").agg(
+            F.count("*").alias("records"), F.bool_and("follows").alias("follows"),
+            F.min_by("sequence", "row").alias("first"), F.max_by("sequence", "row").alias("last"),
+        )
+    )
+    between = Window.partitionBy("group_id").orderBy("file", "slice")
+    steps = slices.withColumn("follows", F.col("follows") & rises(F.lag("last").over(between), F.col("first")))
     return steps.groupBy("group_id").agg(
-        F.count("*").alias("records"), F.bool_and("follows").alias("in_order")
+        F.sum("records").alias("records"), F.bool_and("follows").alias("in_order")
     )
 
 
