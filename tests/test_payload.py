@@ -124,3 +124,23 @@ def test_base64_column_equals_the_strict_decoder(spark):
     got = {r.i: r.b for r in df.select("i", base64_bytes(F.col("t")).alias("b")).collect()}
     assert got.pop(99) is None
     assert {i: None if b is None else bytes(b) for i, b in got.items()} == {i: strict_base64(t) for i, t in enumerate(texts)}
+
+
+def test_batches_of_long_bodies_are_cut_by_bytes(spark):
+    import pandas as pd
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    long_bodies = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("body"))
+
+    @F.pandas_udf("bigint")
+    def held(bodies: pd.Series) -> pd.Series:
+        return pd.Series([int(bodies.str.len().sum())] * len(bodies))
+
+    def arrow(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    limit = 4 << 20
+    assert long_bodies.select(held("body").alias("n")).agg(F.max("n")).first()[0] < limit
+    assert long_bodies.mapInArrow(arrow, "n bigint").agg(F.max("n")).first()[0] < limit

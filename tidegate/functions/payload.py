@@ -7,12 +7,14 @@ back a struct with the value or the error: a bad body never fails its batch.
 from __future__ import annotations
 
 import binascii
+import ctypes
 import json
 import re
 import uuid
 import zlib
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 
 FORMATS = ("GZIP", "DEFLATE", "ZLIB", "NONE", "AUTO")
@@ -205,7 +207,18 @@ def json_or_text(text: str):
 # --- Arrow UDFs -------------------------------------------------------------------
 
 
+def give_back() -> None:
+    """Return what the batch before used to the system: bodies of all lengths leave gaps that
+    a worker would keep to its end."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not every C library has it
+        pass
+
+
 def _results(values, work) -> pd.DataFrame:
+    give_back()
     rows = []
     for value in values:
         try:

@@ -8,6 +8,8 @@ from base64 import b64encode
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from tidegate.functions.payload import give_back
 from tidegate.sources.messages import spread
 
 # The three queues the events are spread over.
@@ -110,11 +112,13 @@ def pack_bytes(kind: str, text: str) -> bytes:
 
 @F.pandas_udf(T.BinaryType())
 def packed(kinds: pd.Series, texts: pd.Series) -> pd.Series:
+    give_back()
     return pd.Series([pack_bytes(k, t) for k, t in zip(kinds, texts)], dtype=object)
 
 
 @F.pandas_udf(T.StringType())
 def packed_base64(kinds: pd.Series, texts: pd.Series) -> pd.Series:
+    give_back()
     return pd.Series(
         [t if k == "none" else b64encode(pack_bytes(k, t)).decode() for k, t in zip(kinds, texts)],
         dtype=object,
