@@ -347,6 +347,32 @@ def test_max_plus_is_associative():
     assert (piece_scan.max_plus(piece_scan.max_plus(a, b), c) == piece_scan.max_plus(a, piece_scan.max_plus(b, c))).all()
 
 
+def test_matrices_are_stored_as_a_column_and_a_row():
+    model = piece_scan.Model(PIECES)
+    text = " " + passage(1, 400) + " 日本 ▁ñ😀 " + "x" * 90 + passage(2, 30)
+    cut = [text[at : at + 150 + model.reach - 1] for at in range(0, len(text), 150)]
+    bodies = [(b, min(150, len(text) - 150 * k)) for k, b in enumerate(cut)]
+    stored = piece_scan.chunk_matrices(model, bodies)
+    plain = [model.matrix(b.replace(" ", piece_scan.MARK), own) for b, own in bodies]
+    assert sum(m.size == 2 * model.reach for m in stored) >= len(stored) - 2
+    seen = lambda m: np.maximum(m, piece_scan.NONE // 2)
+    for a, b in zip(stored, plain):
+        assert (seen(piece_scan.spread(a)) == seen(b)).all()
+    for a, b, c, d in zip(stored, stored[1:], plain, plain[1:]):
+        assert (seen(piece_scan.spread(piece_scan.combined(a, b))) == seen(piece_scan.max_plus(c, d))).all()
+        assert (seen(piece_scan.spread(piece_scan.combined(c, b))) == seen(piece_scan.max_plus(c, d))).all()
+        assert (seen(piece_scan.spread(piece_scan.combined(a, d))) == seen(piece_scan.max_plus(c, d))).all()
+
+
+def test_segments_in_step_are_those_of_the_plain_search():
+    model = piece_scan.Model(PIECES)
+    words = [w.encode() for t in (passage(1), "the of and 日本語 ñandú ​ \x00 😀▁a " + "z" * 70) for w in (t, *t.split(" "))]
+    words = [w for w in words if w] * 2 + [b" ", b"  a"]
+    ids, sizes = model.segments(words)
+    want = [model.best_ids(w.decode().replace(" ", piece_scan.MARK)) for w in words]
+    assert sizes.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+
+
 # --- 8 packing --------------------------------------------------------------------
 
 

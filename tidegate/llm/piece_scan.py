@@ -1,11 +1,12 @@
 """SentencePiece encoding and decoding with a max-plus scan for giant documents.
 
 A text is encoded as the pieces of largest total score. Short documents are solved whole,
-each different word once. A giant one is split into chunks; a chunk yields a matrix of
-best scores from every way a piece may reach into it to every way one may reach out of
-it. Such matrices combine associatively, in groups of bounded size, level by level; going
-back down fixes how the best path crosses each border, and every chunk is then traced
-back by itself.
+each different word once, the new words of a run all in step. A giant one is split into
+chunks; a chunk yields a matrix of best scores from every way a piece may reach into it to
+every way one may reach out of it. Where all paths of a chunk meet, its matrix is a column
+plus a row, and only those two are kept. Matrices combine associatively, in groups of
+bounded size, level by level; going back down fixes how the best path crosses each border,
+and every chunk is then traced back by itself.
 """
 
 from __future__ import annotations
@@ -14,13 +15,12 @@ import hashlib
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.llm.common import pieces, prepare, text_buffer, with_key
-from tidegate.llm.segments import SegmentIds, release_memory
+from tidegate.llm.segments import SegmentIds, end_to_end, ranges, release_memory
 from tidegate.session import materialize
 
 #: Characters of a chunk, and matrices combined at once.
@@ -30,8 +30,10 @@ MARK = "▁"
 FLOOR = -1_000_000
 #: What stands for no path, and the score of a character without a piece.
 NONE, UNKNOWN = -(1 << 60), 2 * FLOOR
-#: Parts of giant texts that a task remembers, and characters from which one is not kept.
-REMEMBERED_PARTS, LONG_PART = 200_000, 200
+#: Chunks handled by one round of array operations.
+TOGETHER = 128
+#: Characters up to which texts are solved in step, and characters of them in one round.
+SHORT, IN_STEP = 64, 1 << 16
 
 
 class Model:
@@ -71,8 +73,31 @@ class Model:
                 own = np.frombuffer(written, np.uint8)
                 self.may_cut[own[:-1], own[1:]] = False
         self.may_cut[:, 0x80:0xC0] = False
+        # An id's share in the weight of a path; a character without a piece counts at its first byte.
+        self.weights = np.zeros(len(plain), np.int64)
+        for i, w in self.pieces.values():
+            self.weights[i] = w
+        for byte, i in self.bytes.items():
+            self.weights[i] = 0 if 0x80 <= byte < 0xC0 else self.unknown
+        self.index_beginnings()
         self.memo = SegmentIds(self.segments)
-        self.parts: dict[str, tuple[int, list[int]]] = {}
+
+    def index_beginnings(self) -> None:
+        """Number the beginnings of pieces (0: the empty one) and the characters in them (0: in
+        none); `keys` are number * characters + character, `then` the beginning one gets to."""
+        number = {b: i for i, b in enumerate(sorted(self.beginnings), 1)} | {"": 0}
+        letters = sorted(set("".join(self.pieces)))
+        code = {c: i for i, c in enumerate(letters, 1)}
+        self.letter = np.zeros(0x110000, np.int32)
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.letters = len(letters) + 1
+        keys = np.array([number[b[:-1]] * self.letters + code[b[-1]] for b in self.beginnings], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.then = keys[order], np.array([number[b] for b in self.beginnings], np.int32)[order]
+        self.ended = np.full(len(number), NONE, np.int64)
+        self.ended_id = np.full(len(number), -1, np.int32)
+        for piece, (i, w) in self.pieces.items():
+            self.ended[number[piece]], self.ended_id[number[piece]] = w, i
 
     def forward(self, text: str, first: int, stop: int):
         """Best weight to each place from first on, with pieces that start before stop, and
@@ -112,8 +137,95 @@ class Model:
         _, back = self.forward(text, 0, len(text))
         return self.trace(text, back, 0, len(text))
 
-    def segments(self, raw: list[bytes]) -> list[np.ndarray]:
-        return [np.array(self.best_ids(s.decode().replace(" ", MARK)), np.uint32) for s in raw]
+    def onward(self, text: str) -> list[int]:
+        """Best weight from each place to the end of the text."""
+        get, reach, end, beginnings = self.pieces.get, self.reach, len(text), self.beginnings
+        best = [0] * (end + 1)
+        for at in range(end - 1, -1, -1):
+            here = best[at + 1] + self.unknown
+            for to in range(at + 1, min(at + reach, end) + 1):
+                part = text[at:to]
+                if part not in beginnings:
+                    break
+                found = get(part)
+                if found is not None and best[to] + found[1] > here:
+                    here = best[to] + found[1]
+            best[at] = here
+        return best
+
+    def in_step(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """best_ids of texts with characters, longest first: (ids end to end, number of each).
+
+        A text takes a row per place in it, the end included; its paths never touch the
+        next one's, as no piece goes over the row of an end.
+        """
+        reach = self.reach
+        length = np.fromiter(map(len, texts), np.int64, len(texts))
+        points = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)[1:]
+        points = np.concatenate([np.zeros(reach, np.uint32), points])
+        end = reach + np.cumsum(length + 1) - 1
+        base = end - length
+        letter = self.letter[points]
+        letter[end] = 0
+        letter[:reach] = 0
+        # By the place where a piece ends, longest piece first: of equal sums that one stands.
+        weight = np.full((points.size, reach), NONE, np.int64)
+        piece = np.full((points.size, reach), -1, np.int32)
+        at, state = np.arange(reach, points.size), np.zeros(points.size - reach, np.int64)
+        inside = np.ones(points.size, bool)
+        inside[end] = False
+        weight[np.flatnonzero(inside[reach:]) + reach + 1, reach - 1] = self.unknown
+        for n in range(1, reach + 1):
+            key = state * self.letters + letter[at + n - 1]
+            found = np.minimum(np.searchsorted(self.keys, key), self.keys.size - 1)
+            hit = self.keys[found] == key
+            at, state = at[hit], self.then[found[hit]].astype(np.int64)
+            if not at.size:
+                break
+            whole = self.ended[state] >= weight[at + n, reach - n]
+            to = at[whole] + n
+            weight[to, reach - n], piece[to, reach - n] = self.ended[state[whole]], self.ended_id[state[whole]]
+        best = np.zeros(points.size, np.int64)
+        step = np.zeros(points.size, np.int64)
+        before = np.lib.stride_tricks.sliding_window_view(best, reach)
+        for place in range(1, int(length[0]) + 1):
+            to = base[: np.searchsorted(-length, -place, "right")] + place
+            sums = before[to - reach] + weight[to]
+            top = sums.argmax(1)
+            best[to] = sums[np.arange(to.size), top]
+            step[to] = reach - top
+        ends = np.zeros(points.size, bool)
+        to, first = end, base
+        while to.size:
+            ends[to] = True
+            to = to - step[to]
+            left = to > first
+            to, first = to[left], first[left]
+        to = np.flatnonzero(ends)
+        ids, text = piece[to, reach - step[to]].astype(np.int64), np.searchsorted(end, to)
+        unknown = np.flatnonzero(ids < 0)
+        if unknown.size:
+            raw = [chr(c).encode("utf-8", "surrogatepass") for c in points[to[unknown] - 1].tolist()]
+            many = np.ones(ids.size, np.int64)
+            many[unknown] = list(map(len, raw))
+            start = np.cumsum(many) - many
+            ids, text = np.repeat(ids, many), np.repeat(text, many)
+            ids[ranges(start[unknown], many[unknown])] = [self.bytes[b] for b in b"".join(raw)]
+        return ids.astype(np.uint32), np.bincount(text, minlength=length.size)
+
+    def segments(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of segments end to end, number of each)."""
+        texts = [s.decode().replace(" ", MARK) for s in raw]
+        length = np.fromiter(map(len, texts), np.int64, len(texts))
+        order = np.argsort(-length, kind="stable")
+        n_long = int((length > SHORT).sum())
+        found = [end_to_end([self.best_ids(texts[i]) for i in order[:n_long]])]
+        places = np.concatenate([[0], np.cumsum(length[order[n_long:]] + 1)])
+        for first, last in pieces(places, IN_STEP):
+            found.append(self.in_step([texts[i] for i in order[n_long + first : n_long + last]]))
+        ids, sizes = (np.concatenate(x) for x in zip(*found))
+        start, back = np.cumsum(sizes) - sizes, np.argsort(order)
+        return ids[ranges(start[back], sizes[back])], sizes[back]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray):
         """Ids of texts that each begin with the blank that the model puts before a text.
@@ -124,21 +236,8 @@ class Model:
         cut[1:] = self.may_cut[data[:-1], data[1:]]
         return self.memo.encode(data, offsets, cut)
 
-    def part(self, text: str) -> tuple[int, list[int]]:
-        """(weight, ids) of a piece of text that every path enters and leaves at its ends."""
-        found = self.parts.get(text)
-        if found is None:
-            if len(self.parts) > REMEMBERED_PARTS:
-                self.parts.clear()
-            best, back = self.forward(text, 0, len(text))
-            found = best[len(text)], self.trace(text, back, 0, len(text))
-            if len(text) < LONG_PART:
-                self.parts[text] = found
-        return found
-
     def forget(self) -> None:
         self.memo.forget()
-        self.parts.clear()
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of ids in order."""
@@ -182,7 +281,28 @@ def max_plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def as_matrix(raw: bytes, reach: int) -> np.ndarray:
-    return np.frombuffer(raw, np.int64).reshape(reach, reach)
+    """A stored matrix; two rows stand for the matrix of every entry of one plus every entry
+    of the other."""
+    return np.frombuffer(raw, np.int64).reshape(-1, reach)
+
+
+def spread(a: np.ndarray) -> np.ndarray:
+    """The whole matrix of a stored one."""
+    return a if a.shape[0] == a.shape[1] else np.maximum(a[0][:, None] + a[1][None, :], NONE)
+
+
+def combined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """max_plus of stored matrices, stored."""
+    whole_a, whole_b = a.shape[0] == a.shape[1], b.shape[0] == b.shape[1]
+    if whole_a and whole_b:
+        return max_plus(a, b)
+    if whole_a:
+        out = (a + b[0][None, :]).max(1), b[1]
+    elif whole_b:
+        out = a[0], (a[1][:, None] + b).max(0)
+    else:
+        out = a[0] + (a[1] + b[0]).max(), b[1]
+    return np.maximum(np.stack(out), NONE)
 
 
 def crossings(spark: SparkSession, matrices: DataFrame, reach: int) -> DataFrame:
@@ -193,47 +313,65 @@ def crossings(spark: SparkSession, matrices: DataFrame, reach: int) -> DataFrame
     """
     levels = [matrices]
     largest = matrices.agg(F.max("chunk")).first()[0] or 0
-    key = "doc_id long, tie long, chunk long"
-
-    def up(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("chunk")
-        total = as_matrix(group.matrix.iloc[0], reach)
-        for raw in group.matrix.iloc[1:]:
-            total = max_plus(total, as_matrix(raw, reach))
-        row = group.iloc[:1][["doc_id", "tie"]].copy()
-        row["chunk"] = group.chunk.iloc[0] // FAN
-        row["matrix"] = [total.tobytes()]
-        return row
+
+    def blocks(level: DataFrame) -> DataFrame:
+        return level.groupBy("doc_id", "tie", F.expr(f"chunk div {FAN}").alias("block")).agg(
+            F.sort_array(F.collect_list(F.struct("chunk", "matrix"))).alias("rows")
+        )
+
+    def steps_of(batch: pa.RecordBatch):
+        for rows in batch.column("rows"):
+            yield rows.values.field("chunk"), [as_matrix(m.as_buffer(), reach) for m in rows.values.field("matrix")]
+
+    def up(batches):
+        for batch in batches:
+            totals = []
+            for _, steps in steps_of(batch):
+                total = steps[0]
+                for step in steps[1:]:
+                    total = combined(total, step)
+                totals.append(total.tobytes())
+            columns = [*(batch.column(c) for c in ("doc_id", "tie", "block")), pa.array(totals, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "chunk", "matrix"])
 
     while largest > 0:
-        grouped = levels[-1].withColumn("block", F.expr(f"chunk div {FAN}")).groupBy("doc_id", "tie", "block")
-        levels.append(materialize(spark, grouped.applyInPandas(up, f"{key}, matrix binary"), "scan-up"))
+        done = blocks(levels[-1]).mapInArrow(up, "doc_id long, tie long, chunk long, matrix binary")
+        levels.append(materialize(spark, done, "scan-up"))
         largest //= FAN
 
-    def down(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("chunk")
-        steps = [as_matrix(raw, reach) for raw in group.matrix]
-        reached = [np.full(reach, NONE, np.int64)]
-        reached[0][group.block_enter.iloc[0]] = 0
-        for step in steps:
-            reached.append(np.maximum((reached[-1][:, None] + step).max(0), NONE))
-        leave = [int(group.block_leave.iloc[0])]
-        for step, vector in zip(reversed(steps), reversed(reached[:-1])):
-            leave.append(int((vector + step[:, leave[-1]]).argmax()))
-        states = leave[::-1]
-        out = group[["doc_id", "tie", "chunk"]].copy()
-        out["enter"], out["leave"] = states[:-1], states[1:]
-        return out
+    def down(batches):
+        for batch in batches:
+            chunks, states, sizes = [], [], []
+            for (chunk, steps), enter, leave in zip(
+                steps_of(batch), batch.column("enter").to_pylist(), batch.column("leave").to_pylist()
+            ):
+                steps = [spread(s) for s in steps]
+                reached = [np.full(reach, NONE, np.int64)]
+                reached[0][enter] = 0
+                for step in steps:
+                    reached.append(np.maximum((reached[-1][:, None] + step).max(0), NONE))
+                path = [leave]
+                for step, vector in zip(reversed(steps), reversed(reached[:-1])):
+                    path.append(int((vector + step[:, path[-1]]).argmax()))
+                path.reverse()
+                chunks.append(chunk)
+                states += zip(path[:-1], path[1:])
+                sizes.append(len(steps))
+            if sizes:
+                owner = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+                entered, left = (pa.array(x, pa.int32()) for x in zip(*states))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(owner), batch.column("tie").take(owner), pa.concat_arrays(chunks),
+                     entered, left],
+                    ["doc_id", "tie", "chunk", "enter", "leave"],
+                )
 
     state = levels[-1].select("doc_id", "tie", "chunk", F.lit(0).alias("enter"), F.lit(0).alias("leave"))
     for level in reversed(levels[:-1]):
-        parent = state.select(
-            "doc_id", "tie", F.col("chunk").alias("block"), F.col("enter").alias("block_enter"),
-            F.col("leave").alias("block_leave"),
+        placed = blocks(level).join(state.withColumnRenamed("chunk", "block"), ["doc_id", "tie", "block"])
+        state = materialize(
+            spark, placed.mapInArrow(down, "doc_id long, tie long, chunk long, enter int, leave int"), "scan-down"
         )
-        placed = level.withColumn("block", F.expr(f"chunk div {FAN}")).join(parent, ["doc_id", "tie", "block"])
-        state = placed.groupBy("doc_id", "tie", "block").applyInPandas(down, f"{key}, enter int, leave int")
-        state = materialize(spark, state, "scan-down")
     return state
 
 
@@ -242,8 +380,9 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, path: str, chunk: int =
 
     As the model file asks, a blank goes before each text and blanks become marks;
     characters without a piece become their bytes. Null texts are empty and have no ids.
-    Documents over `chunk` characters are split, so many tasks work on one. A repeated row
-    comes back as often as it came in; null ids stay. Other columns are ignored.
+    Documents over `chunk` characters are split, and many tasks make the matrices of one;
+    its row, which holds all its ids, is put together in one task, chunk after chunk. A
+    repeated row comes back as often as it came in; null ids stay. Other columns are ignored.
     """
     prepare(spark)
     keyed = with_key(docs)
@@ -278,111 +417,139 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, path: str, chunk: int =
                     ["doc_id", "tie", "n_chars", "ids"],
                 )
 
+    def bodies(text: str, first: int):
+        """(body, own characters) of up to TOGETHER chunks from the first-th on."""
+        places = range(first * chunk, min(len(text), (first + TOGETHER) * chunk), chunk)
+        return [(text[at : at + chunk + reach - 1], min(chunk, len(text) - at)) for at in places]
+
     def split(batches):
         for batch in batches:
-            for doc_id, tie, text in zip(batch.column("doc_id"), batch.column("tie"), batch.column("text")):
-                text = (" " + text.as_py()).replace(" ", MARK)
-                rows = range(0, len(text), chunk)
-                for some in range(0, len(rows), 64):
-                    part = rows[some : some + 64]
+            for nth, (doc_id, tie, text) in enumerate(zip(*(batch.column(c) for c in ("doc_id", "tie", "text")))):
+                text = " " + text.as_py()
+                for first in range(0, -(-len(text) // chunk), TOGETHER):
+                    part = bodies(text, first)
+                    same = lambda value: pa.array([value] * len(part), pa.int64())  # noqa: B023, E731
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([doc_id.as_py()] * len(part), pa.int64()), pa.array([tie.as_py()] * len(part), pa.int64()),
-                         pa.array([at // chunk for at in part], pa.int64()),
-                         pa.array([min(chunk, len(text) - at) for at in part], pa.int64()),
-                         pa.array([text[at : at + chunk + reach - 1] for at in part], pa.string())],
-                        ["doc_id", "tie", "chunk", "own", "body"],
+                        [same(doc_id.as_py()), same(tie.as_py()), pa.array(range(first, first + len(part)), pa.int64()),
+                         same(nth), pa.array([n for _, n in part], pa.int64()), pa.array([b for b, _ in part], pa.string())],
+                        ["doc_id", "tie", "chunk", "nth", "own", "body"],
                     )
 
     schema = "doc_id long, tie long, n_chars long, ids array<int>"
     short = keyed.where(~giant).mapInArrow(whole, schema)
-    long = keyed.where(giant).dropDuplicates(["doc_id", "tie"])
-    chunks = materialize(
-        spark,
-        long.mapInArrow(split, "doc_id long, tie long, chunk long, own long, body string").repartition("doc_id", "tie", "chunk"),
-        "scan-chunks",
-    )
+    # The number in its batch spreads a row that is often repeated.
+    chunks = keyed.where(giant).mapInArrow(
+        split, "doc_id long, tie long, chunk long, nth long, own long, body string"
+    ).repartition("doc_id", "tie", "chunk", "nth")
 
     @forgetting
     def transfer(batches):
         model = model_of(path)
         for batch in batches:
-            found = [chunk_matrix(model, b.as_py(), n.as_py()).tobytes() for b, n in zip(batch.column("body"), batch.column("own"))]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "tie", "chunk")), pa.array(found, pa.binary())],
-                ["doc_id", "tie", "chunk", "matrix"],
-            )
+            for first in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(first, TOGETHER)
+                found = chunk_matrices(model, list(zip(part.column("body").to_pylist(), part.column("own").to_pylist())))
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in ("doc_id", "tie", "chunk")), pa.array([m.tobytes() for m in found], pa.binary())],
+                    ["doc_id", "tie", "chunk", "matrix"],
+                )
 
-    matrices = materialize(
-        spark, chunks.mapInArrow(transfer, "doc_id long, tie long, chunk long, matrix binary"), "scan-matrices"
+    matrices = chunks.mapInArrow(transfer, "doc_id long, tie long, chunk long, matrix binary")
+    matrices = materialize(spark, matrices.dropDuplicates(["doc_id", "tie", "chunk"]), "scan-matrices")
+    states = crossings(spark, matrices, reach).groupBy("doc_id", "tie").agg(
+        F.sort_array(F.collect_list(F.struct("chunk", "enter", "leave"))).alias("states")
     )
-    states = crossings(spark, matrices, reach)
 
     @forgetting
     def traced(batches):
         model = model_of(path)
         for batch in batches:
-            found = [
-                chunk_ids(model, b, n, s, e) for b, n, s, e in zip(
-                    *(batch.column(c).to_pylist() for c in ("body", "own", "enter", "leave"))
+            for doc_id, tie, text, crossed in zip(*(batch.column(c) for c in ("doc_id", "tie", "text", "states"))):
+                text = " " + text.as_py()
+                enter, leave = (crossed.values.field(c).to_numpy(zero_copy_only=False) for c in ("enter", "leave"))
+                found = []
+                for first in range(0, enter.size, TOGETHER):
+                    some = slice(first, first + TOGETHER)
+                    found.append(chunks_ids(model, bodies(text, first), enter[some].tolist(), leave[some].tolist()))
+                ids = np.concatenate(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([doc_id.as_py()], pa.int64()), pa.array([tie.as_py()], pa.int64()),
+                     pa.array([len(text) - 1], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array([0, ids.size], pa.int32()), pa.array(ids.astype(np.int32)))],
+                    ["doc_id", "tie", "n_chars", "ids"],
                 )
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "tie", "chunk", "own")), pa.array(found, pa.list_(pa.int32()))],
-                ["doc_id", "tie", "chunk", "own", "ids"],
-            )
 
-    parts = chunks.join(states, ["doc_id", "tie", "chunk"]).mapInArrow(
-        traced, "doc_id long, tie long, chunk long, own long, ids array<int>"
+    # Merged at every size: broadcast, the states of all giant texts would lie in the driver.
+    long = keyed.where(giant).join(states.hint("merge"), ["doc_id", "tie"]).select("doc_id", "tie", "text", "states")
+    return short.unionByName(long.mapInArrow(traced, schema))
+
+
+class Chunk:
+    """A chunk's bytes, and the places in its own characters before which every path is cut:
+    between two bytes that stand side by side in no piece."""
+
+    def __init__(self, model: Model, body: str, own: int) -> None:
+        self.body, self.own, self.raw = body, own, body.encode("utf-8", "surrogatepass")
+        data = np.frombuffer(self.raw, np.uint8)
+        self.first_bytes = np.append(np.flatnonzero((data & 0xC0) != 0x80), data.size)
+        cuts = np.flatnonzero(model.may_cut[data[:-1], data[1:]]) + 1
+        self.cuts = np.searchsorted(self.first_bytes, cuts[cuts < self.first_bytes[own]])
+
+    def between(self, first: int, last: int) -> bytes:
+        return self.raw[self.first_bytes[first] : self.first_bytes[last]]
+
+    def written(self, first: int, last: int | None = None) -> str:
+        return self.body[first:last].replace(" ", MARK)
+
+
+def middle_ids(model: Model, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, starts) of parts of texts that every path enters and leaves at their ends."""
+    return model.encode(
+        np.frombuffer(b"".join(parts), np.uint8), np.concatenate([[0], np.cumsum(list(map(len, parts)))]).astype(np.int64)
     )
-    # The ids of one document make one row, as its text did.
-    joined = parts.groupBy("doc_id", "tie").agg(
-        (F.sum("own") - 1).alias("n_chars"), F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts")
-    ).select("doc_id", "tie", "n_chars", F.flatten("parts.ids").alias("ids"))
-    times = keyed.where(giant).groupBy("doc_id", "tie").count()
-    repeated = joined.join(times, ["doc_id", "tie"]).select(
-        "doc_id", "tie", "n_chars", "ids", F.explode(F.array_repeat(F.lit(0), F.col("count").cast("int"))).alias("_copy")
-    ).drop("_copy")
-    return short.unionByName(repeated)
-
-
-def part_cuts(model: Model, body: str, own: int) -> list[int]:
-    """Places in the chunk's own characters before which every path is cut: between two
-    characters that stand side by side in no piece."""
-    joined = model.joined
-    return [i for i in range(1, own) if body[i - 1 : i + 1] not in joined]
-
-
-def chunk_matrix(model: Model, body: str, own: int) -> np.ndarray:
-    """The chunk's matrix: between the first and the last cut all paths are one, so only the
-    ends need every entry and every exit."""
-    cuts = [c for c in part_cuts(model, body, own) if c >= model.reach]
-    if not cuts:
-        return model.matrix(body, own)
-    first, last = cuts[0], cuts[-1]
-    head = np.full(model.reach, NONE, np.int64)
-    for enter in range(model.reach):
-        head[enter] = model.forward(body[:first], enter, first)[0][first]
-    middle = 0
-    for a, b in zip(cuts, cuts[1:]):
-        middle += model.part(body[a:b])[0]
-    best, _ = model.forward(body[last:], 0, own - last)
-    tail = np.full(model.reach, NONE, np.int64)
-    over = min(model.reach, len(body) - own + 1)
-    tail[:over] = best[own - last : own - last + over]
-    return np.maximum(head[:, None] + middle + tail[None, :], NONE)
-
-
-def chunk_ids(model: Model, body: str, own: int, enter: int, leave: int) -> list[int]:
-    """Ids of the pieces that start in the chunk on the path from enter to leave."""
-    cuts = [c for c in part_cuts(model, body, own) if c >= enter]
-    ids: list[int] = []
-    at = enter
-    for cut in cuts:
-        if cut > at:
-            ids += model.part(body[at:cut])[1]
-            at = cut
-    _, back = model.forward(body[at:], 0, own - at)
-    return ids + model.trace(body[at:], back, 0, own + leave - at)
+
+
+def chunk_matrices(model: Model, bodies: list[tuple[str, int]]) -> list[np.ndarray]:
+    """The matrices of chunks as stored: between the first and the last cut all paths are one,
+    so only the ends need every entry and every exit."""
+    reach = model.reach
+    chunks = [Chunk(model, body, own) for body, own in bodies]
+    ends = [c.cuts[c.cuts >= reach][[0, -1]].tolist() if c.cuts.size and c.cuts[-1] >= reach else None for c in chunks]
+    ids, starts = middle_ids(model, [c.between(*e) if e else b"" for c, e in zip(chunks, ends)])
+    middle = np.diff(np.concatenate([[0], np.cumsum(model.weights[ids])])[starts])
+    out = []
+    for c, end, weight_between in zip(chunks, ends, middle.tolist()):
+        if end is None or reach < 3:
+            out.append(model.matrix(c.written(0), c.own))
+            continue
+        first, last = end
+        head = np.array(model.onward(c.written(0, first))[:reach], np.int64) + weight_between
+        best, _ = model.forward(c.written(last), 0, c.own - last)
+        tail = np.full(reach, NONE, np.int64)
+        over = min(reach, len(c.body) - c.own + 1)
+        tail[:over] = best[c.own - last : c.own - last + over]
+        out.append(np.stack([head, tail]))
+    return out
+
+
+def chunks_ids(model: Model, bodies: list[tuple[str, int]], enter: list[int], leave: list[int]) -> np.ndarray:
+    """Ids of the pieces that start in each chunk on its path from enter to leave, in order."""
+    parts, tails = [], []
+    for (body, own), come, go in zip(bodies, enter, leave):
+        if come >= own:  # a piece reaches across
+            parts.append(b"")
+            tails.append([])
+            continue
+        c = Chunk(model, body, own)
+        # Up to the last cut, or the border itself, the path runs inside the chunk.
+        last = own if go == 0 else max(come, int(c.cuts[-1]) if c.cuts.size else 0)
+        parts.append(c.between(come, last))
+        tail = c.written(last)
+        tails.append(model.trace(tail, model.forward(tail, 0, own - last)[1], 0, own + go - last) if go else [])
+    ids, starts = middle_ids(model, parts)
+    return np.concatenate([
+        x for first, last, tail in zip(starts[:-1], starts[1:], tails) for x in (ids[first:last], np.array(tail, np.uint32))
+    ])
 
 
 def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:

@@ -24,6 +24,17 @@ def runs_of(data: np.ndarray, start: np.ndarray) -> pa.Array:
     )
 
 
+def strings_of(array: pa.LargeBinaryArray) -> list[bytes]:
+    """The array's strings, without a scalar for each."""
+    if not len(array):
+        return []
+    places = np.frombuffer(array.buffers()[1], np.int64, len(array) + 1, array.offset * 8)
+    first, data = int(places[0]), array.buffers()[2]
+    whole = data.slice(first, int(places[-1]) - first).to_pybytes() if data is not None else b""
+    places = (places - first).tolist()
+    return [whole[a:b] for a, b in zip(places[:-1], places[1:])]
+
+
 def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ... size[0] of them, then those of the next."""
     if not size.size:
@@ -37,6 +48,12 @@ def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
+def end_to_end(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all lists end to end, size of each)."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), sizes
+
+
 def release_memory() -> None:
     """Give back to the system what a task has freed: the worker stays for later tasks."""
     gc.collect()
@@ -95,17 +112,18 @@ class ByteMemo:
         known = self.known
         found = list(map(known.get, strings))
         fresh = [i for i, slot in enumerate(found) if slot is None]
+        new = [strings[i] for i in fresh]
         for slot, i in enumerate(fresh, len(known)):
             found[i] = slot
-        known.update((strings[i], found[i]) for i in fresh)
-        self.held += sum(len(strings[i]) for i in fresh) + ENTRY_BYTES * len(fresh)
+        known.update(zip(new, range(len(known), len(known) + len(new))))
+        self.held += sum(map(len, new)) + ENTRY_BYTES * len(new)
         return np.array(found, np.int64), fresh
 
 
 class SegmentIds:
     """Ids of texts that are cut into segments; equal segments have equal ids.
 
-    tokenize gives the ids of each of a list of segments.
+    tokenize gives the ids of each of a list of segments, as lists or as end_to_end does.
     """
 
     def __init__(self, tokenize: Callable[[list[bytes]], list], most: int = MEMO_BYTES) -> None:
@@ -128,15 +146,13 @@ class SegmentIds:
         cut = cut.copy()
         cut[offsets[:-1][offsets[:-1] < data.size]] = True
         start = np.flatnonzero(cut)
-        row = np.searchsorted(offsets, start, "right") - 1
         coded = runs_of(data, start).dictionary_encode()
-        segments = coded.dictionary.to_pylist()
+        segments = strings_of(coded.dictionary)
         slot, fresh = self.memo.slots(segments)
         if fresh:
             found = self.tokenize([segments[i] for i in fresh])
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            self.ids.extend(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
+            found, sizes = found if isinstance(found, tuple) else end_to_end(found)
+            self.ids.extend(found, sizes)
             self.memo.held += 4 * int(sizes.sum())
         ids, size = self.ids.take(slot[coded.indices.to_numpy()])
-        counts = np.bincount(row, weights=size, minlength=n).astype(np.int64)
-        return ids, np.concatenate([[0], np.cumsum(counts)])
+        return ids, np.concatenate([[0], np.cumsum(size)])[np.searchsorted(start, offsets)]
