@@ -6,13 +6,14 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import AWKWARD, SCHEMA, docs_frame
-from tidegate.llm import token_alignment as ta
+from tidegate.llm import segments, token_alignment as ta
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -151,3 +152,15 @@ def test_digests_in_parts(monkeypatch):
 
 def test_empty_table(spark):
     assert ta.align_tokenizers(spark, spark.createDataFrame([], SCHEMA), BPE, PIECES).count() == 0
+
+
+def test_strings_of_slices_and_empty_texts():
+    words = [b"a", b"", "ñ\x00".encode(), b" b" * 40, b"c"]
+    array = pa.array(words, pa.large_binary())
+    assert segments.strings_of(array) == words
+    assert segments.strings_of(array.slice(1, 3)) == words[1:4]
+    assert segments.strings_of(array[:0]) == []
+    ids = segments.SegmentIds(lambda parts: [list(p) for p in parts])
+    data, offsets = np.frombuffer(b"abcab", np.uint8), np.array([0, 0, 2, 2, 5, 5])
+    found, starts = ids.encode(data, offsets, np.array([0, 1, 0, 1, 0], bool))
+    assert found.tolist() == list(b"abcab") and starts.tolist() == [0, 0, 2, 2, 5, 5]

@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 from tidegate.llm.byte_bpe import byte_characters, byte_level_encoder
 from tidegate.llm.column_packing import byte_level_cuts
 from tidegate.llm.common import pieces, prepare, text_buffer
-from tidegate.llm.segments import ByteMemo, GrowingLists, SegmentIds, ranges, release_memory, runs_of
+from tidegate.llm.segments import ByteMemo, GrowingLists, SegmentIds, ranges, release_memory, runs_of, strings_of
 from tidegate.session import materialize
 
 #: Bytes handed to a worker at once, and bytes of text handled together.
@@ -193,7 +193,7 @@ class Windows:
         name[ranges(end - n_b, n_b)] = ids_b
         coded = runs_of(name.view(np.uint8), 4 * (end - size)).dictionary_encode()
         code = coded.indices.to_numpy().astype(np.int64)
-        slot, fresh = self.memo.slots(coded.dictionary.to_pylist())
+        slot, fresh = self.memo.slots(strings_of(coded.dictionary))
         if fresh:
             first = np.empty(slot.size, np.int64)
             first[code[::-1]] = np.arange(code.size)[::-1]
