@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import SCHEMA, docs_frame, passage
-from tidegate.llm import common
+from tidegate.llm import common, ngram_join
 from tidegate.llm.column_packing import inverse_of, pack_documents
 from tidegate.llm.ngram_join import ngram_jaccard_join
 from tidegate.llm.pfp_dedup import remove_repeated_strings
@@ -106,3 +106,12 @@ def test_null_ids_whose_texts_share_a_32_bit_hash(spark):
 def test_inverse_needs_row_exchanges():
     matrix = np.array([[0.0, 2, 1], [1, 0, 3], [4, 1, 0]])
     assert np.allclose(inverse_of(matrix) @ matrix, np.eye(3))
+
+
+def test_shingles_are_in_order_where_short_and_long_texts_mix():
+    data, offsets = flat(["one two", "", passage(1, 90), "x", " ", passage(1, 90) + " " + passage(1, 90), "one two"])
+    row, value = ngram_join.shingle_sets(data, offsets, 5)
+    pairs = list(zip(row.tolist(), value.tolist()))
+    assert pairs == sorted(set(pairs))
+    assert np.bincount(row, minlength=7).tolist() == [1, 0, 86, 1, 0, 90, 1]
+    assert value[row == 0].tolist() == value[row == 6].tolist()

@@ -92,8 +92,13 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int):
         out_rows.append(row[short][firsts])
         out_hashes.append(mix(np.add.reduceat(part, firsts) + here[short][firsts].astype(np.uint64)))
     row, value = np.concatenate(out_rows), np.concatenate(out_hashes)
-    order = np.lexsort((value, row))
-    row, value = row[order], value[order]
+    if len(out_rows) > 1:
+        order = np.argsort(row, kind="stable")
+        row, value = row[order], value[order]
+    # Each text's own part alone: far quicker than an order by row and value.
+    cuts = np.searchsorted(row, np.arange(offsets.size)).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        value[a:b].sort()
     first = np.ones(row.size, bool)
     first[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
     return row[first], value[first]
@@ -248,7 +253,11 @@ def signatures(docs: DataFrame, words: int, percent: int, heavy, boundary: int)
         if tokens.size:
             at = np.minimum(np.searchsorted(tokens, value), tokens.size - 1)
             weight = np.where(tokens[at] == value, counts[at], 0)
-        order = np.lexsort((value, weight, row))
+        # Light ones stand in order already; heavy ones go behind them, by count.
+        light, often = np.flatnonzero(weight == 0), np.flatnonzero(weight)
+        often = often[np.lexsort((weight[often], row[often]))]
+        order = np.concatenate([light, often])
+        order = order[np.argsort(row[order], kind="stable")]
         row, value = row[order], value[order]
         sizes = np.bincount(row, minlength=offsets.size - 1)
         starts = np.cumsum(sizes) - sizes
