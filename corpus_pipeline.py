@@ -28,6 +28,8 @@ from tidegate.session import materialize
 #: with plain versions instead.
 ORACLE_SQL = None
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Words of a passage that is cut where it repeats: over 50.
+PASSAGE_WORDS = 51
 
 
 def recounted(docs: DataFrame) -> DataFrame:
@@ -62,9 +64,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the byte strings that also stand elsewhere. A null text comes
-    back empty; every place of a repeated string is cut."""
-    return recounted(remove_repeated_strings(spark, docs))
+    """All documents, without the byte strings and the passages of over 50 words that also
+    stand elsewhere. A null text comes back empty; every place of a repeated string is cut."""
+    return recounted(remove_repeated_strings(spark, docs, words=PASSAGE_WORDS))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -176,6 +176,66 @@ def test_repeated_strings_of_one_core(spark, nothing, monkeypatch):
     assert remove_repeated_strings(spark, nothing).count() == 0
 
 
+def plain_passages(rows, length, words):
+    """plain_removal, with the passages of so many words that stand elsewhere."""
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    places = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", b)] for _, b in texts]
+    seen = collections.Counter()
+    name = lambda b, at, p: tuple(b[x:y] for x, y in at[p : p + words])
+    for (_, b), at in zip(texts, places):
+        seen.update(b[p : p + length] for p in range(len(b) - length + 1))
+        seen.update(name(b, at, p) for p in range(len(at) - words + 1))
+    for (i, b), at in zip(texts, places):
+        gone = bytearray(len(b))
+        cuts = [(p, p + length) for p in range(len(b) - length + 1) if seen[b[p : p + length]] > 1]
+        cuts += [(at[p][0], at[p + words - 1][1]) for p in range(len(at) - words + 1) if seen[name(b, at, p)] > 1]
+        for first, last in cuts:
+            gone[first:last] = b"\1" * (last - first)
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        spans = sum(1 for q, g in enumerate(gone) if g and (q == 0 or not gone[q - 1]))
+        yield i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()
+
+
+def short_words(seed, n):
+    """n words of at most two bytes."""
+    return " ".join(w[1:3] for w in passage(seed, n).split())
+
+
+DIGESTS = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
+def test_repeated_passages_of_few_bytes(spark, nothing):
+    """Passages of 51 words go though they take fewer than 400 bytes, those of 50 stay."""
+    one, fifty = short_words(3, 51), short_words(4, 50)
+    rows = [(i, passage(200 + i, 40) + " " + one + "\n" + passage(300 + i, 9 + i)) for i in range(5)]
+    rows += [(i, passage(400 + i, 30) + " " + fifty + " " + passage(500 + i, 30)) for i in range(5, 9)]
+    # Other blanks, no blank at the texts' ends, the same text twice over, and one word again and again.
+    rows += [(9, one.replace(" ", " \t")), (10, one + "\u00a0x"), (11, "x" + one), (12, one), (13, "a " * 70)]
+    rows += [(14, None), (15, ""), (16, " \n "), (None, one), (16, "b " + one + "\n\n" + one)]
+    assert len(one) < 400
+    got = remove_repeated_strings(spark, docs_frame(spark, rows).repartition(3), words=51)
+    want = list(plain_passages(rows, 400, 51))
+    same(got.select(*DIGESTS).collect(), want)
+    removed = {r[0]: r[2] for r in want}
+    assert all(removed[i] == len(one) for i in range(5)) and not any(removed[i] for i in range(5, 9))
+    assert remove_repeated_strings(spark, nothing, words=51).count() == 0
+
+
+def test_repeated_passages_of_awkward_texts(spark, awkward):
+    got = remove_repeated_strings(spark, awkward, 400, words=20)
+    same(got.select(*DIGESTS).collect(), plain_passages(AWKWARD, 400, 20))
+
+
+def test_repeated_passages_of_one_core(spark, monkeypatch):
+    """More texts around one passage of few bytes than are put in order at once."""
+    from tidegate.llm import pfp_dedup
+
+    monkeypatch.setattr(pfp_dedup, "TOGETHER", 16)
+    rows = [(i, short_words(100 + i, 30 + i % 5) + " " + short_words(1, 60) + " " + short_words(300 + i, 20)) for i in range(60)]
+    got = remove_repeated_strings(spark, docs_frame(spark, rows), words=51)
+    same(got.select(*DIGESTS).collect(), plain_passages(rows, 400, 51))
+
+
 # --- 4 fingerprints ---------------------------------------------------------------
 
 

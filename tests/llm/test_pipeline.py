@@ -10,7 +10,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 import __spark_entry__ as driver
-from tests.llm.test_operators import BPE, plain_components, plain_quality, plain_removal
+from tests.llm.helpers import docs_frame, passage
+from tests.llm.test_operators import BPE, plain_components, plain_quality, plain_removal, short_words
 from tidegate.llm.toxicity import toxicity_scores
 from tidegate.session import materialize
 
@@ -56,6 +57,17 @@ def test_stages_on_their_own_input(spark, sf_dir):
     assert collections.Counter((r.doc_id, r.start, r.ids_crc32) for r in docs.collect()) == want
 
 
+def test_passages_of_few_bytes_are_cut(spark):
+    """The last text stage cuts passages of over 50 words, however few bytes they take."""
+    one, fifty = short_words(3, 51), short_words(4, 50)
+    rows = [(i, passage(200 + i, 40) + " " + one + " " + passage(300 + i, 9)) for i in range(4)]
+    rows += [(i, passage(400 + i, 30) + " " + fifty + " " + passage(500 + i, 30)) for i in range(4, 7)]
+    out = corpus_pipeline.repeated_passages(spark, docs_frame(spark, rows).select(*corpus_pipeline.COLUMNS), "")
+    assert out.columns == corpus_pipeline.COLUMNS
+    want = {i: t.replace(one, "") for i, t in rows}
+    assert {r.doc_id: r.text for r in out.collect()} == want and sum(one in t for _, t in rows) == 4
+
+
 def test_registered():
     queries = driver.queries()
     assert "pipeline" in queries
