@@ -9,7 +9,9 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import AWKWARD, SCHEMA, docs_frame
 from tidegate.llm import rmq_search
@@ -92,6 +94,22 @@ def test_empty_sides(spark):
     assert rmq_search.search_documents(spark, docs_frame(spark, [(1, None), (2, "-.-")]), queries).count() == 0
 
 
+def test_a_shard_is_a_row_group(spark, monkeypatch):
+    """Readers and writers hold a row group of a file, whatever the number of its shards."""
+    real, written = rmq_search.materialize, {}
+
+    def kept(session, df, name, *args, **options):
+        written[name] = real(session, df, name, *args, **options)
+        return written[name]
+
+    monkeypatch.setattr(rmq_search, "materialize", kept)
+    docs = spark.range(0, 4, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 500_000).alias("text"))
+    queries = spark.createDataFrame([(1, "words")], "item_id long, text string")
+    assert [r.doc_id for r in rmq_search.search_documents(spark, docs, queries).orderBy("rank").collect()] == [0, 1, 2, 3]
+    files = [pq.read_metadata(f.removeprefix("file://")) for f in written["search-index"].inputFiles()]
+    assert [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)] == [1] * 4
+
+
 def test_bounds_spare_documents():
     texts = [f"common word{i % 500} filler" for i in range(6000)] + ["rare common word3 gem jewel stone"]
     data = np.frombuffer("".join(texts).encode(), np.uint8)

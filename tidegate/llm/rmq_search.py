@@ -36,6 +36,10 @@ MERGE_GROUPS = 64
 TERM_BYTES = byte_table("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 TERM_BYTES[128:] = True
 
+#: Spark reads up to 4,096 rows of a row group at once and Parquet looks at the size of a page
+#: and of a row group every 100 rows only. A row here takes megabytes: each is a row group.
+ROW_GROUPS = {"parquet.block.row.count.limit": "1"}
+
 INDEX_SCHEMA = (
     "n_docs long, n_terms long, doc_ids array<long>, sizes array<int>, terms array<binary>, "
     "lengths array<int>, docs array<int>, tfs array<int>"
@@ -356,7 +360,8 @@ def ranked_search(spark: SparkSession, index: DataFrame, queries: DataFrame, top
 def search_documents(spark: SparkSession, docs: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     """ranked_search over an index of docs, built into the shared folder first."""
     prepare(spark)
-    return ranked_search(spark, materialize(spark, build_index(docs), "search-index"), queries, top)
+    index = materialize(spark, build_index(docs), "search-index", **ROW_GROUPS)
+    return ranked_search(spark, index, queries, top)
 
 
 def oracle_sql(top: int = TOP) -> str:
